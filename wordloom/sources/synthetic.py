@@ -1,0 +1,54 @@
+"""Reproducible synthetic corpus."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# The vocabulary, the suffixes and the layout of a file.
+VOCABULARY = (
+    "algorithm atomic benchmark cache concurrency condition directory engine "
+    "filesystem frequency index keyword latency lock memory mutex parallel path "
+    "posting query queue ranking resource search synchronization task thread token "
+    "worker"
+).split()
+SUFFIXES = [".txt", ".md", ".log", ".csv"]
+WORDS_PER_LINE = 20
+FILES_PER_FOLDER = 100
+
+
+def file_numbers(spark: SparkSession, files: int) -> DataFrame:
+    if files <= 0:
+        raise ValueError("files must be greater than zero")
+    return spark.range(files).select(F.col("id").alias("file_index"))
+
+
+def _word_at(seed: int, file_index: Column, position: Column) -> Column:
+    key = F.concat_ws("-", F.lit(seed).cast("string"), file_index.cast("string"),
+                      position.cast("string"))
+    number = F.conv(F.substring(F.md5(key), 1, 7), 16, 10).cast("bigint")
+    vocabulary = F.array(*[F.lit(word) for word in VOCABULARY])
+    return F.get(vocabulary, F.pmod(number, F.lit(len(VOCABULARY))).cast("int"))
+
+
+def synthetic_files(numbers: DataFrame, words_per_file: int, seed: int = 42) -> DataFrame:
+    """(file_index, path, text) for each ``file_index`` in ``numbers``.
+
+    A file is written inside its row, so the corpus needs no shuffle however
+    many files it has.
+    """
+    if words_per_file <= 0:
+        raise ValueError("words_per_file must be greater than zero")
+    index = F.col("file_index")
+    folder = F.format_string("batch-%03d", F.floor(index / FILES_PER_FOLDER))
+    suffix = F.get(F.array(*[F.lit(s) for s in SUFFIXES]), F.pmod(index, F.lit(4)).cast("int"))
+    path = F.concat(folder, F.format_string("/document-%06d", index), suffix)
+
+    def line(start: Column) -> Column:
+        stop = F.least(start + WORDS_PER_LINE, F.lit(words_per_file)) - 1
+        words = F.transform(F.sequence(start, stop), lambda at: _word_at(seed, index, at))
+        return F.array_join(words, " ")
+
+    starts = F.sequence(F.lit(0), F.lit(words_per_file - 1), F.lit(WORDS_PER_LINE))
+    text = F.concat(F.array_join(F.transform(starts, line), "\n"), F.lit("\n"))
+    return numbers.select("file_index", path.alias("path"), text.alias("text"))
