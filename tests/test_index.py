@@ -1,0 +1,183 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import brute_force, rows, table
+from wordloom.operators import classify, postings, statistics
+from wordloom.sources.synthetic import VOCABULARY, file_numbers, synthetic_files
+from wordloom.sources.tables import corpus_from_table
+
+TEXTS = {
+    "r/a.txt": "the cat The dog\ncat cat",
+    "r/b.md": "",
+    "r/c.log": "--- ...",
+    "r/d.bin": "the skipped words",
+    "r-b/e.csv": "the,1,2,2\nmouse",
+    "r/long.txt": "the " * 40,
+}
+CAP = 100
+
+
+@pytest.fixture
+def corpus(spark):
+    return corpus_from_table(table(spark, TEXTS), max_bytes=CAP)
+
+
+def eligible_texts():
+    return {p: t for p, t in TEXTS.items() if not p.endswith(".bin") and len(t) <= CAP}
+
+
+def expected_postings():
+    return {(w, p, n) for (w, p), n in brute_force(eligible_texts()).items()}
+
+
+def test_postings(corpus):
+    assert set(rows(postings.postings(corpus))) == expected_postings()
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 4, 8])
+def test_postings_and_stats_do_not_depend_on_the_layout(corpus, partitions):
+    laid_out = corpus.repartition(partitions)
+    assert set(rows(postings.postings(laid_out))) == expected_postings()
+    assert rows(statistics.index_stats(laid_out)) == rows(statistics.index_stats(corpus))
+
+
+def test_stats_and_invariants(corpus):
+    stats = statistics.index_stats(corpus).first().asDict()
+    found = expected_postings()
+    assert stats == {
+        "discovered": 6, "indexed": 4, "failed": 0, "skipped": 2,
+        "unique_words": len({w for w, _, _ in found}),
+        "total_tokens": sum(n for _, _, n in found),
+    }
+    assert stats["discovered"] == stats["indexed"] + stats["failed"] + stats["skipped"]
+
+
+def test_stats_of_nothing(spark):
+    empty = corpus_from_table(spark.createDataFrame([], "path string, text string"))
+    assert rows(statistics.index_stats(empty)) == [(0, 0, 0, 0, 0, 0)]
+
+
+def test_failed_and_inaccessible_rows(spark):
+    corpus = spark.createDataFrame(
+        [
+            ("a.txt", 3, "eligible", None, "one"),
+            ("b.txt", 3, "eligible", "gone", None),
+            ("c.txt", None, "inaccessible", "no link", None),
+        ],
+        "path string, size_bytes bigint, status string, error string, text string",
+    )
+    assert rows(statistics.index_stats(corpus)) == [(3, 1, 1, 1, 1, 1)]
+    assert rows(classify.failures(corpus)) == [("b.txt", 3, "gone")]
+    files = postings.ledger(corpus).where("kind = 'file'")
+    assert rows(statistics.file_stats(files)) == [(3, 1, 1, 1, 1)]
+
+
+def test_null_text_is_inaccessible(spark):
+    df = spark.createDataFrame([("a.txt", None)], "path string, text string")
+    assert corpus_from_table(df).first()["status"] == "inaccessible"
+
+
+def test_size_cap_is_inclusive(spark):
+    df = table(spark, {"a.txt": "x" * 10, "b.txt": "x" * 11, "c.txt": "é" * 6})
+    found = {r["path"]: r["status"] for r in corpus_from_table(df, max_bytes=10).collect()}
+    assert found == {"a.txt": "eligible", "b.txt": "skipped", "c.txt": "skipped"}
+
+
+def test_ledger_holds_postings_and_every_file(corpus):
+    ledger = postings.ledger(corpus)
+    found = ledger.where("kind = 'posting'").select("word", "path", "frequency")
+    assert set(rows(found)) == expected_postings()
+    files = ledger.where("kind = 'file'").select("path", "size_bytes", "token_count", "outcome")
+    totals = {p: 0 for p in eligible_texts()}
+    for _, path, n in expected_postings():
+        totals[path] += n
+    assert set(rows(files)) == {
+        (p, len(t), totals.get(p, 0), "indexed" if p in totals else "skipped")
+        for p, t in TEXTS.items()
+    }
+
+
+def test_token_counts_keep_empty_files(corpus):
+    counts = {r["path"]: r["token_count"] for r in postings.file_token_counts(corpus).collect()}
+    assert counts == {"r/a.txt": 6, "r/b.md": 0, "r/c.log": 0, "r-b/e.csv": 5}
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_nested_lists_hold_all_postings_in_path_order(corpus, shards):
+    nested = postings.nested_postings(postings.postings(corpus), shards).collect()
+    found = [(r["word"], p["path"], p["frequency"]) for r in nested for p in r["postings"]]
+    assert sorted(found) == sorted(expected_postings())
+    for row in nested:
+        paths = [p["path"] for p in row["postings"]]
+        assert paths == sorted(paths)
+    by_path = {}
+    for row in nested:
+        for p in row["postings"]:
+            by_path.setdefault(p["path"], set()).add(row["shard"])
+    assert all(len(found) == 1 for found in by_path.values())
+
+
+def test_shard_count():
+    assert [postings.shard_count(n, 10) for n in (0, 1, 10, 11, 100, 101)] == [1, 1, 1, 2, 10, 11]
+
+
+def test_word_maps(corpus):
+    maps = {r["path"]: r["word_counts"] for r in
+            postings.file_word_counts(postings.postings(corpus)).collect()}
+    assert maps["r/a.txt"] == {"the": 2, "cat": 3, "dog": 1}
+
+
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_postings_of_some_words(spark, corpus, max_bytes, monkeypatch):
+    if max_bytes is not None:
+        monkeypatch.setattr(postings, "fits_broadcast", lambda df: False)
+    terms = spark.createDataFrame([(1, "the"), (2, "the"), (2, "2")], "query_id int, word string")
+    found = set(rows(postings.postings_of(corpus, terms).select("word", "path", "frequency")))
+    assert found == {p for p in expected_postings() if p[0] in ("the", "2")}
+
+
+def test_equivalence_tells_runs_apart(spark):
+    runs = spark.createDataFrame(
+        [("a", 1, 1, 0, 0, 5, 9), ("b", 1, 1, 0, 0, 5, 9), ("c", 1, 1, 0, 0, 5, 8)],
+        "run_id string, discovered bigint, indexed bigint, failed bigint, skipped bigint,"
+        " unique_words bigint, total_tokens bigint",
+    )
+    found = {r["run_id"]: r["equivalent"] for r in statistics.equivalence(runs, "a").collect()}
+    assert found == {"a": True, "b": True, "c": False}
+
+
+def test_posting_differences(corpus):
+    index = postings.postings(corpus)
+    assert statistics.posting_differences(index, index.repartition(3)).isEmpty()
+    other = index.withColumn(
+        "frequency", F.when(F.col("word") == "dog", 7).otherwise(F.col("frequency"))
+    )
+    assert set(rows(statistics.posting_differences(index, other))) == {
+        ("dog", "r/a.txt", 1, 1), ("dog", "r/a.txt", 7, -1),
+    }
+
+
+def test_rendered_stats(corpus):
+    lines = dict(rows(statistics.rendered_stats(statistics.index_stats(corpus))))
+    assert lines["Discovered files"] == 6 and lines["Skipped files"] == 2
+    assert list(lines) == list(statistics.STAT_LABELS.values())
+
+
+def test_synthetic_corpus(spark):
+    made = synthetic_files(file_numbers(spark, 101), 45, seed=7).orderBy("file_index").collect()
+    assert [r["path"] for r in made[:4]] == [
+        "batch-000/document-000000.txt", "batch-000/document-000001.md",
+        "batch-000/document-000002.log", "batch-000/document-000003.csv",
+    ]
+    assert made[100]["path"] == "batch-001/document-000100.txt"
+    for row in made:
+        lines = row["text"].split("\n")
+        assert [len(line.split()) for line in lines] == [20, 20, 5, 0]
+        assert set(row["text"].split()) <= set(VOCABULARY)
+    again = synthetic_files(file_numbers(spark, 101), 45, seed=7).orderBy("file_index").collect()
+    assert made == again
+    assert made != synthetic_files(file_numbers(spark, 101), 45, seed=8).orderBy("file_index").collect()
+    with pytest.raises(ValueError):
+        file_numbers(spark, 0)
+    with pytest.raises(ValueError):
+        synthetic_files(file_numbers(spark, 1), 0)

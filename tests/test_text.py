@@ -1,0 +1,85 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import rows
+from wordloom.functions import text as fn
+
+
+def apply(spark, function, values):
+    numbered = spark.createDataFrame(list(enumerate(values)), "n int, v string")
+    return [row[1] for row in sorted(rows(numbered.select("n", function("v"))))]
+
+
+def test_tokenize_cases(spark):
+    cases = {
+        "don't C++ 3.14 a-b": ["don", "t", "c", "3", "14", "a", "b"],
+        "": [],
+        "__--": [],
+        "café naïve": ["caf", "na", "ve"],
+        "Kelvin İstanbul": ["elvin", "stanbul"],
+        "foo_bar 42x\nX": ["foo", "bar", "42x", "x"],
+    }
+    assert apply(spark, fn.tokenize, cases) == list(cases.values())
+    assert apply(spark, fn.count_tokens, cases) == [len(v) for v in cases.values()]
+    assert apply(spark, fn.count_tokens_by_line, cases) == [len(v) for v in cases.values()]
+    assert [fn.query_words(c) for c in cases] == [list(dict.fromkeys(v)) for v in cases.values()]
+
+
+def test_null_text_has_no_tokens(spark):
+    assert apply(spark, fn.count_tokens, [None]) == [0]
+
+
+def test_distinct_terms(spark):
+    assert apply(spark, fn.distinct_terms, ["the THE The cat"]) == [["the", "cat"]]
+
+
+def test_trim(spark):
+    assert apply(spark, fn.trim_space, ["\t x\n", "\u000b\f\r a b ", " x", "   "]) == [
+        "x", "a b", " x", "",
+    ]
+
+
+def test_unquote(spark):
+    cases = {
+        '"a b"': "a b", "'a'": "a", '"': '"', "\"a'": "\"a'", '""': "",
+        '"" x ""': '" x "', ' "a" ': "a", '" a "': " a ", "plain": "plain", "": "",
+    }
+    assert apply(spark, fn.unquote, cases) == list(cases.values())
+
+
+def test_suffixes(spark):
+    cases = {
+        "d/a.TXT": (".txt", True), "d/.txt": ("", False), "d/..txt": (".txt", True),
+        "d/a.txt.bin": (".bin", False), "d/notes.": (".", False), "d.txt/x": ("", False),
+        "d/a.txt\n": (".txt\n", False), "d/a": ("", False), "a.md": (".md", True),
+        "x/b.Log": (".log", True), "x/c.csv": (".csv", True), "x/c\nd.csv": (".csv", True),
+    }
+    assert apply(spark, fn.file_extension, cases) == [v[0] for v in cases.values()]
+    assert apply(spark, fn.is_supported, cases) == [v[1] for v in cases.values()]
+
+
+def test_component_order_differs_from_string_order(spark):
+    paths = ["r/src1/a.txt", "r/src1-b/a.txt", "r/src1.txt", "r/src1/b.txt"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    by_components = [r[0] for r in rows(df.orderBy(fn.path_components("path")))]
+    assert by_components == sorted(paths, key=lambda p: p.split("/"))
+    assert by_components != sorted(paths)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=60), min_size=1, max_size=20))
+def test_tokens_follow_the_definition(spark, texts):
+    def expected(text):
+        words, word = [], ""
+        for character in text + " ":
+            if character.isascii() and character.isalnum():
+                word += character.lower()
+            elif word:
+                words.append(word)
+                word = ""
+        return words
+
+    assert apply(spark, fn.tokenize, texts) == [expected(t) for t in texts]
+    assert apply(spark, fn.count_tokens_by_line, texts) == [len(expected(t)) for t in texts]

@@ -104,8 +104,8 @@ def match_terms(
     """
     if fits_broadcast(terms, max_broadcast_bytes):
         return index.join(F.broadcast(terms), "word")
-    pieces = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted_terms = terms.withColumn("salt", F.explode(pieces).cast("bigint"))
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    salted_terms = terms.withColumn("salt", F.explode(pieces))
     salt = F.pmod(F.xxhash64("path"), F.lit(SALTS).cast("bigint"))
     return (
         index.withColumn("salt", salt).join(salted_terms, ["word", "salt"]).drop("salt")

@@ -229,7 +229,7 @@ def with_text(spark: SparkSession, files: DataFrame) -> DataFrame:
             "size_bytes",
             "status",
             "error",
-            F.decode("content", F.lit("ISO-8859-1")).alias("text"),
+            F.decode("content", "ISO-8859-1").alias("text"),
         )
     )
 
@@ -267,5 +267,5 @@ def corpus_from_store(
         F.col("length").alias("size_bytes"),
         status_of(path, F.col("length"), max_bytes).alias("status"),
         F.lit(None).cast("string").alias("error"),
-        F.decode("content", F.lit("ISO-8859-1")).alias("text"),
+        F.decode("content", "ISO-8859-1").alias("text"),
     )
