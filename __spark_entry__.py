@@ -197,7 +197,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'Total tokens', total_tokens FROM stats""",
         "stats_equivalence": f"""WITH {_STATS}
             SELECT run_id, stats.*, TRUE AS equivalent
-            FROM stats, (VALUES ('plain'), ('relaid'), ('by_line')) AS runs(run_id)""",
+            FROM stats, (VALUES ('direct'), ('ledger'), ('by_line')) AS runs(run_id)""",
         "postings_equivalence": f"""WITH {_INDEX}
             SELECT word, path, frequency, CAST(0 AS BIGINT) AS balance
             FROM postings WHERE frequency < 0""",

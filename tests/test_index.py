@@ -38,7 +38,9 @@ def test_postings(corpus):
 def test_postings_and_stats_do_not_depend_on_the_layout(corpus, partitions):
     laid_out = corpus.repartition(partitions)
     assert set(rows(postings.postings(laid_out))) == expected_postings()
-    assert rows(statistics.index_stats(laid_out)) == rows(statistics.index_stats(corpus))
+    stats = rows(statistics.index_stats(corpus))
+    assert rows(statistics.index_stats(laid_out)) == stats
+    assert rows(statistics.ledger_stats(postings.ledger(laid_out))) == stats
 
 
 def test_stats_and_invariants(corpus):
@@ -68,8 +70,7 @@ def test_failed_and_inaccessible_rows(spark):
     )
     assert rows(statistics.index_stats(corpus)) == [(3, 1, 1, 1, 1, 1)]
     assert rows(classify.failures(corpus)) == [("b.txt", 3, "gone")]
-    files = postings.ledger(corpus).where("kind = 'file'")
-    assert rows(statistics.file_stats(files)) == [(3, 1, 1, 1, 1)]
+    assert rows(statistics.ledger_stats(postings.ledger(corpus))) == [(3, 1, 1, 1, 1, 1)]
 
 
 def test_null_text_is_inaccessible(spark):

@@ -62,7 +62,9 @@ def named(df, root):
     return {bytes.fromhex(r["path"]).removeprefix(prefix): r for r in raw}
 
 
-def test_inventory(spark, tree):
+@pytest.mark.parametrize("driver_entries", [0, 5000])
+def test_inventory(spark, tree, monkeypatch, driver_entries):
+    monkeypatch.setattr(trees, "DRIVER_ENTRIES", driver_entries)
     found = named(trees.inventory(spark, str(tree)), tree)
     by_status = {}
     for path, row in found.items():
@@ -170,7 +172,9 @@ def test_scan_order(spark, tmp_path):
     assert names == ["src1/a.txt", "src1-b/a.txt", "src1.txt"]
 
 
-def test_many_files_match_brute_force(spark, tmp_path):
+@pytest.mark.parametrize("driver_entries", [0, 1, 10, 60, 5000])
+def test_many_files_match_brute_force(spark, tmp_path, monkeypatch, driver_entries):
+    monkeypatch.setattr(trees, "DRIVER_ENTRIES", driver_entries)
     texts = {}
     for number in range(120):
         name = f"g{number % 7}/h{number % 3}/f{number}.md"

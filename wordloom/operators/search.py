@@ -71,17 +71,18 @@ def search_text(corpus: DataFrame, query: str, limit: int | None = None) -> Data
         "path",
         F.explode(F.filter(F.array(found), lambda kept: F.size(kept) > 0)).alias("found"),
     )
-    score = F.size("found").cast("bigint")
-    results = matches.select(
+    scored = matches.select(
         "path",
-        score.alias("score"),
-        score.alias("total_matches"),
+        F.size("found").cast("bigint").alias("score"),
         F.size(F.array_distinct("found")).cast("bigint").alias("matched_terms"),
     )
     if limit is None:
         # A full sort samples its input first. Without this narrow shuffle the
         # sampling would read and tokenize the whole corpus once more.
-        results = results.repartition("path")
+        scored = scored.repartition("path")
+    results = scored.select(
+        "path", "score", F.col("score").alias("total_matches"), "matched_terms"
+    )
     return ranked(results, limit)
 
 

@@ -37,17 +37,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def spread_small(df: DataFrame, key: str = "path") -> DataFrame:
-    """Hash-partition an input that is too small to give every core a split.
+def spread_small(df: DataFrame, key: str | None = "path") -> DataFrame:
+    """Spread an input that is too small to give every core a split.
 
     A file with a single row group is one task however many cores there are.
     The shuffle is only added below cores x TASK_BYTES; a larger input already
-    has enough splits, and moving its text would cost more than it saves. Since
-    the key is a grouping key, later groupings by (word, path) reuse this
-    partitioning and need no shuffle of their own.
+    has enough splits, and moving its text would cost more than it saves.
+
+    With ``path`` as the key, later groupings by (word, path) reuse this
+    partitioning and need no shuffle of their own. Without a key they do, which
+    is better before a sort over all rows: sorting samples its input, and a
+    shuffle in between keeps the sampling from counting everything twice.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = estimated_bytes(df)
     if size is None or size > cores * TASK_BYTES:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(cores) if key is None else df.repartition(cores, key)

@@ -49,6 +49,17 @@ def index_stats(
         .groupBy(*by, "outcome", "word")
         .agg(F.count("*").alias("n"))
     )
+    return _six_counts(by_word, by)
+
+
+def ledger_stats(entries: DataFrame) -> DataFrame:
+    """The six counts of a build, from its ledger and without its texts."""
+    by_word = entries.groupBy("outcome", "word").agg(F.sum("frequency").alias("n"))
+    return _six_counts(by_word)
+
+
+def _six_counts(by_word: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add up rows (outcome, word, n), where a null word stands for files."""
     is_file = F.col("word").isNull()
 
     def total(condition: Column, name: str) -> Column:
@@ -64,23 +75,6 @@ def index_stats(
     )
 
 
-def file_stats(files: DataFrame) -> DataFrame:
-    """The counts that follow from the stored file rows, all but unique words."""
-    outcome = F.col("outcome")
-    return files.agg(
-        F.count("*").alias("discovered"),
-        F.count_if(outcome == INDEXED).alias("indexed"),
-        F.count_if(outcome == FAILED).alias("failed"),
-        F.count_if(outcome == SKIPPED).alias("skipped"),
-        F.coalesce(F.sum("token_count"), F.lit(0)).alias("total_tokens"),
-    )
-
-
-def unique_words(index: DataFrame) -> DataFrame:
-    """Exact number of distinct words."""
-    return index.select("word").distinct().agg(F.count("*").alias("unique_words"))
-
-
 def rendered_stats(stats: DataFrame) -> DataFrame:
     """One (label, value) row per statistic."""
     return stats.select(

@@ -26,15 +26,15 @@ def write_index(entries: DataFrame, location: str) -> None:
     )
 
 
-def _read(spark: SparkSession, location: str, kind: str) -> DataFrame:
-    return spark.read.schema(LEDGER).parquet(location).where(F.col("kind") == kind)
+def stored_ledger(spark: SparkSession, location: str) -> DataFrame:
+    return spark.read.schema(LEDGER).parquet(location)
 
 
 def stored_postings(spark: SparkSession, location: str) -> DataFrame:
-    return _read(spark, location, "posting").select("word", "path", "frequency")
+    entries = stored_ledger(spark, location).where(F.col("kind") == "posting")
+    return entries.select("word", "path", "frequency")
 
 
 def stored_files(spark: SparkSession, location: str) -> DataFrame:
-    return _read(spark, location, "file").select(
-        "path", "size_bytes", "token_count", "outcome", "error"
-    )
+    entries = stored_ledger(spark, location).where(F.col("kind") == "file")
+    return entries.select("path", "size_bytes", "token_count", "outcome", "error")

@@ -8,13 +8,8 @@ from wordloom.operators import search as ops
 from wordloom.operators.classify import MAX_FILE_BYTES
 from wordloom.operators.postings import ledger, postings_of_word
 from wordloom.operators.sizing import spread_small
-from wordloom.operators.statistics import (
-    equivalence,
-    file_stats,
-    rendered_stats,
-    unique_words,
-)
-from wordloom.operators.store import stored_files, stored_postings, write_index
+from wordloom.operators.statistics import equivalence, ledger_stats, rendered_stats
+from wordloom.operators.store import stored_files, stored_ledger, stored_postings, write_index
 from wordloom.schemas import INDEX_STATS, POSTINGS, STAT_COLUMNS
 from wordloom.sources.filelog import append_log, create_log, log_rows, read_log
 from wordloom.sources.tables import corpus_from_table
@@ -62,7 +57,7 @@ class IndexSession:
         run_id: str | None = None,
     ) -> DataFrame:
         """Index a table of documents and return the statistics."""
-        corpus = spread_small(corpus_from_table(documents, path, text, max_bytes))
+        corpus = spread_small(corpus_from_table(documents, path, text, max_bytes), key=None)
         return self.index_corpus(corpus, log, run_id)
 
     def index_corpus(
@@ -71,11 +66,9 @@ class IndexSession:
         location = new_location(self._spark, "index", self._workspace)
         try:
             write_index(ledger(corpus), location)
-            files = stored_files(self._spark, location)
-            counts = file_stats(files).first().asDict()
-            counts.update(unique_words(stored_postings(self._spark, location)).first().asDict())
+            counts = ledger_stats(stored_ledger(self._spark, location)).first()
             if log and self._log is not None:
-                append_log(log_rows(files), self._log)
+                append_log(log_rows(stored_files(self._spark, location)), self._log)
         except Exception:
             discard(self._spark, location)
             raise

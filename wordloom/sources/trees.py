@@ -1,9 +1,9 @@
 """Directory trees as a corpus.
 
-Discovery is a Spark job per level of the tree, not a walk on the driver: each
-level's directories are spread over the executors, and what they list is
-written to the workspace, so that a lost executor costs a task and not the
-walk. Sizes are looked up in a second step that is spread by path, because one
+Discovery is a Spark job per level of the tree: each level's directories are
+spread over the executors, and what they list is written to the workspace, so
+that a lost executor costs a task and not the walk. The driver lists only the
+first few thousand entries, which for a small tree is all of it. Sizes are looked up in a second step that is spread by path, because one
 directory may hold most of the files. Paths travel as bytes and may hold any
 file name. The tree has to be mounted on all executors.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import stat
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,9 @@ BATCH_BYTES = 16 * 1024 * 1024
 #: Entries one task looks up.
 ENTRIES_PER_TASK = 20_000
 
+#: Entries the driver lists itself before it leaves the rest to executors.
+DRIVER_ENTRIES = 5_000
+
 _LISTED = pa.schema([("path", pa.binary()), ("kind", pa.string()), ("error", pa.string())])
 _SIZED = pa.schema([("path", pa.binary()), ("size_bytes", pa.int64()), ("error", pa.string())])
 _READ = pa.schema(
@@ -74,32 +78,51 @@ def _reason(error: OSError) -> str:
     return f"{type(error).__name__}: {error.strerror}"
 
 
-def _list_directories(base: bytes):
-    """Entries of directories. A directory without permission is passed over."""
+def _entries(base: bytes, directory: bytes) -> Iterator[tuple]:
+    """What a directory holds. One without permission is passed over."""
+    try:
+        with os.scandir(os.path.join(base, directory)) as found:
+            for entry in found:
+                try:
+                    nested = entry.is_dir(follow_symlinks=False)
+                except OSError:
+                    nested = False
+                path = os.path.join(directory, entry.name)
+                yield path, "directory" if nested else "entry", None
+    except PermissionError:
+        return
+    except OSError as error:
+        yield directory, "unlisted", _reason(error)
 
-    def entries(paths: Iterable[bytes]) -> Iterator[tuple]:
-        for directory in paths:
-            try:
-                with os.scandir(os.path.join(base, directory)) as found:
-                    for entry in found:
-                        try:
-                            nested = entry.is_dir(follow_symlinks=False)
-                        except OSError:
-                            nested = False
-                        path = os.path.join(directory, entry.name)
-                        yield path, "directory" if nested else "entry", None
-            except PermissionError:
-                continue
-            except OSError as error:
-                yield directory, "unlisted", _reason(error)
 
+def _list_directories(base: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = (path for batch in batches for path in batch.column("path").to_pylist())
-        return _batches(entries(paths), _LISTED)
+        return _batches((row for path in paths for row in _entries(base, path)), _LISTED)
 
     return run
 
 
+def _list_first(base: bytes, root: bytes, budget: int) -> tuple[list[tuple], list[bytes]]:
+    """List from the root while the entries fit ``budget``.
+
+    Returns the entries and the directories that are still to be listed. A
+    directory that would go over the budget is left out as a whole.
+    """
+    kept: list[tuple] = []
+    open_directories = [root]
+    while open_directories:
+        room = budget - len(kept)
+        found = list(islice(_entries(base, open_directories[-1]), room + 1))
+        if len(found) > room:
+            break
+        open_directories.pop()
+        kept += [row for row in found if row[1] != "directory"]
+        open_directories += [row[0] for row in found if row[1] == "directory"]
+        budget -= sum(row[1] == "directory" for row in found)
+    return kept, open_directories
+
+
 def _look_up(base: bytes):
     """Sizes of regular files. Links are followed; other kinds of entry drop out."""
 
@@ -156,29 +179,36 @@ def _validated(root: str) -> None:
         raise ValueError(f"not a directory: {root}")
 
 
-def list_tree(spark: SparkSession, root: str, location: str) -> DataFrame:
-    """Write all entries below ``root`` to ``location``, level by level."""
+def list_tree(spark: SparkSession, root: str, location: str) -> tuple[DataFrame, int]:
+    """All entries below ``root`` that are not directories, and their number.
+
+    What the executors list is written to ``location``, level by level.
+    """
     base = os.fsencode(os.getcwd())
-    level_rows = spark.createDataFrame([(bytearray(os.fsencode(root)),)], "path binary")
-    tasks, level = 1, 0
-    while True:
-        target = f"{location}/level={level}"
+    kept, unlisted = _list_first(base, os.fsencode(root), DRIVER_ENTRIES)
+    kept = [(bytearray(path), kind, error) for path, kind, error in kept]
+    entries = spark.createDataFrame(kept, _ddl(_LISTED))
+    level_rows = spark.createDataFrame([(bytearray(path),) for path in unlisted], "path binary")
+    directories, total = len(unlisted), len(kept)
+    levels: list[str] = []
+    while directories:
+        levels.append(f"{location}/level={len(levels)}")
+        tasks = min(directories, _tasks(spark, directories / 1000))
         (
             level_rows.repartition(tasks, "path")
             .mapInArrow(_list_directories(base), _ddl(_LISTED))
-            .write.parquet(target)
+            .write.parquet(levels[-1])
         )
-        listed = spark.read.schema(_ddl(_LISTED)).parquet(target)
-        level_rows = listed.where(F.col("kind") == "directory").select("path")
-        directories = level_rows.count()
-        if not directories:
-            break
-        tasks = min(directories, _tasks(spark, directories / 1000))
-        level += 1
-    entries = spark.read.schema(_ddl(_LISTED)).parquet(
-        *[f"{location}/level={number}" for number in range(level + 1)]
-    )
-    return entries.where(F.col("kind") != "directory")
+        listed = spark.read.schema(_ddl(_LISTED)).parquet(levels[-1])
+        nested = F.col("kind") == "directory"
+        counts = listed.agg(F.count("*").alias("all"), F.count_if(nested).alias("nested")).first()
+        level_rows = listed.where(nested).select("path")
+        directories = counts["nested"]
+        total += counts["all"] - directories
+    if levels:
+        listed = spark.read.schema(_ddl(_LISTED)).parquet(*levels)
+        entries = entries.unionByName(listed.where(F.col("kind") != "directory"))
+    return entries, total
 
 
 def inventory(
@@ -195,10 +225,10 @@ def inventory(
     """
     _validated(root)
     location = new_location(spark, "scan", workspace)
-    entries = list_tree(spark, root, f"{location}/entries")
+    entries, number = list_tree(spark, root, f"{location}/entries")
     base = os.fsencode(os.getcwd())
     sized = (
-        entries.repartition(_tasks(spark, entries.count() / ENTRIES_PER_TASK), "path")
+        entries.repartition(_tasks(spark, number / ENTRIES_PER_TASK), "path")
         .mapInArrow(_look_up(base), _ddl(_SIZED))
         .withColumn("path", F.col("path").cast("string"))
     )
