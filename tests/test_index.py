@@ -86,9 +86,8 @@ def test_size_cap_is_inclusive(spark):
 
 def test_ledger_holds_postings_and_every_file(corpus):
     ledger = postings.ledger(corpus)
-    found = ledger.where("kind = 'posting'").select("word", "path", "frequency")
-    assert set(rows(found)) == expected_postings()
-    files = ledger.where("kind = 'file'").select("path", "size_bytes", "token_count", "outcome")
+    assert set(rows(postings.posting_rows(ledger))) == expected_postings()
+    files = postings.file_rows(ledger).drop("error")
     totals = {p: 0 for p in eligible_texts()}
     for _, path, n in expected_postings():
         totals[path] += n

@@ -3,8 +3,11 @@ from pyspark.sql import functions as F
 
 from conftest import brute_force, rows, table
 from wordloom import IndexSession
-from wordloom.operators.statistics import posting_differences
-from wordloom.operators.postings import postings
+from wordloom.operators import sizing
+from wordloom.operators.postings import file_token_counts, ledger, postings
+from wordloom.operators.search import search_text
+from wordloom.operators.sizing import spread_small
+from wordloom.operators.statistics import index_stats, posting_differences
 from wordloom.plans import session as session_module
 from wordloom.sources import filelog
 from wordloom.sources.tables import corpus_from_table
@@ -135,15 +138,59 @@ def test_one_word_and_one_file_dominate(spark):
 
 def test_stored_index_is_clustered_and_filters_reach_it(spark):
     session = IndexSession(spark)
-    session.index_table(table(spark, {f"f{n}.txt": f"the w{n % 400} x{n}" for n in range(2000)}))
-    ranges = (
-        session.snapshot()
-        .groupBy(F.input_file_name())
-        .agg(F.min("word").alias("low"), F.max("word").alias("high"))
-        .orderBy("low")
-        .collect()
-    )
-    assert all(a["high"] <= b["low"] for a, b in zip(ranges, ranges[1:]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        session.index_table(
+            table(spark, {f"f{n}.txt": f"the w{n % 400} x{n}" for n in range(2000)})
+        )
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(session._location)
+    order = stored.select(
+        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "word", "path"
+    ).collect()
+    files = {}
+    for row in sorted(order, key=lambda r: r["at"]):
+        files.setdefault(row["file"], []).append((row["word"] or "", row["path"]))
+    assert all(keys == sorted(keys) for keys in files.values())
+    ranges = sorted((keys[0], keys[-1]) for keys in files.values())
+    assert len(ranges) > 1
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
     plan = session.search("w7 w8")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(word, [w7,w8])]" in plan
-    assert "isnotnull(kind" in plan and "ReadSchema: struct<word:string,path:string,frequency:bigint>" in plan
+    assert "PushedFilters: [IsNotNull(word), In(word, [w7,w8])]" in plan
+    assert "ReadSchema: struct<word:string,path:string,frequency:bigint>" in plan
+    plan = session.files()._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNull(word)]" in plan
+
+
+def shuffles(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return final.count("Exchange hashpartitioning"), final.count("Exchange rangepartitioning")
+
+
+def test_shuffles_of_the_main_jobs(spark, tmp_path):
+    """On an input with enough splits, the text itself is never shuffled."""
+    texts = {f"f{n}.txt": f"the w{n % 40} x{n}" for n in range(500)}
+    table(spark, texts).write.parquet(str(tmp_path / "t"))
+    corpus = corpus_from_table(spark.read.parquet(str(tmp_path / "t")))
+    assert shuffles(file_token_counts(corpus)) == (0, 0)
+    assert shuffles(postings(corpus)) == (1, 0)
+    assert shuffles(ledger(corpus)) == (1, 0)
+    assert shuffles(index_stats(corpus)) == (1, 0)
+    assert shuffles(search_text(corpus, "the w1", limit=3)) == (0, 0)
+    assert shuffles(search_text(corpus, "the w1")) == (1, 1)
+    session = IndexSession(spark)
+    session.index_corpus(corpus)
+    assert shuffles(session.search("the", limit=3)) == (0, 0)
+    assert shuffles(session.search("the w1", limit=3)) == (1, 0)
+
+
+def test_spreading_depends_on_the_size(spark, monkeypatch, tmp_path):
+    table(spark, {"a.txt": "one"}).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert spread_small(df).rdd.getNumPartitions() == 8
+    monkeypatch.setattr(sizing, "TASK_BYTES", 1)
+    assert spread_small(df) is df

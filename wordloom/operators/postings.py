@@ -122,15 +122,19 @@ def ledger(corpus: DataFrame) -> DataFrame:
         )
         .groupBy("word", "path", *file_columns)
         .agg(F.count("*").alias("frequency"))
-        .select(
-            "word",
-            "path",
-            "frequency",
-            *file_columns,
-            F.when(F.col("word").isNull(), F.lit("file"))
-            .otherwise(F.lit("posting"))
-            .alias("kind"),
-        )
+        .select("word", "path", "frequency", *file_columns)
+    )
+
+
+def posting_rows(entries: DataFrame) -> DataFrame:
+    """The postings of a ledger."""
+    return entries.where(F.col("word").isNotNull()).select("word", "path", "frequency")
+
+
+def file_rows(entries: DataFrame) -> DataFrame:
+    """The files of a ledger."""
+    return entries.where(F.col("word").isNull()).select(
+        "path", "size_bytes", "token_count", "outcome", "error"
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wordloom.schemas import LEDGER
 
@@ -11,16 +10,15 @@ from wordloom.schemas import LEDGER
 def write_index(entries: DataFrame, location: str) -> None:
     """Write a ledger as Parquet, clustered by word.
 
-    Ranges are cut on (kind, word, path), so a frequent word is split over as
-    many files as its postings need. The sort gives every row group a narrow
-    word range, and a lookup reads the row groups that can hold its words.
+    Ranges are cut on (word, path), so a frequent word is split over as many
+    files as its postings need. The sort gives every row group a narrow word
+    range: a lookup reads the row groups that can hold its words. The rows of
+    files have no word and come first, in row groups of their own.
     """
-    order = ["kind", "word", "path"]
     (
-        entries.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.partitionBy("kind")
-        .option("compression", "zstd")
+        entries.repartitionByRange("word", "path")
+        .sortWithinPartitions("word", "path")
+        .write.option("compression", "zstd")
         .mode("errorifexists")
         .parquet(location)
     )
@@ -28,13 +26,3 @@ def write_index(entries: DataFrame, location: str) -> None:
 
 def stored_ledger(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(location)
-
-
-def stored_postings(spark: SparkSession, location: str) -> DataFrame:
-    entries = stored_ledger(spark, location).where(F.col("kind") == "posting")
-    return entries.select("word", "path", "frequency")
-
-
-def stored_files(spark: SparkSession, location: str) -> DataFrame:
-    entries = stored_ledger(spark, location).where(F.col("kind") == "file")
-    return entries.select("path", "size_bytes", "token_count", "outcome", "error")

@@ -63,13 +63,13 @@ def files(spark: SparkSession, directory: str) -> DataFrame:
     return corpus_from_table(documents, max_bytes=CAP, keep=["source"])
 
 
-def corpus(spark: SparkSession, directory: str) -> DataFrame:
+def corpus(spark: SparkSession, directory: str, key: str | None = "path") -> DataFrame:
     """The same rows, laid out for work on the text."""
-    return spread_small(files(spark, directory))
+    return spread_small(files(spark, directory), key)
 
 
-def index(spark: SparkSession, directory: str) -> DataFrame:
-    return postings.postings(corpus(spark, directory))
+def index(spark: SparkSession, directory: str, key: str | None = "path") -> DataFrame:
+    return postings.postings(corpus(spark, directory, key))
 
 
 # Scans ---------------------------------------------------------------------
@@ -199,7 +199,7 @@ def stats_equivalence(spark, directory):
 def postings_equivalence(spark, directory):
     """Postings that differ between two ways to build them; there are none."""
     base = corpus(spark, directory)
-    from_ledger = postings.ledger(base).where(F.col("kind") == "posting")
+    from_ledger = postings.posting_rows(postings.ledger(base))
     return statistics.posting_differences(postings.postings(base), from_ledger)
 
 
@@ -252,19 +252,19 @@ def postings_lookup_missing(spark, directory):
 
 
 def search_all(spark, directory):
-    return search.search(index(spark, directory), QUERY)
+    return search.search(index(spark, directory, None), QUERY)
 
 
 def search_single_term(spark, directory):
-    return search.search(index(spark, directory), SINGLE)
+    return search.search(index(spark, directory, None), SINGLE)
 
 
 def search_multi_term(spark, directory):
-    return search.search(index(spark, directory), MULTI)
+    return search.search(index(spark, directory, None), MULTI)
 
 
 def search_no_match(spark, directory):
-    return search.search(index(spark, directory), "zzzz qqqqq")
+    return search.search(index(spark, directory, None), "zzzz qqqqq")
 
 
 def search_top20(spark, directory):
@@ -272,11 +272,11 @@ def search_top20(spark, directory):
 
 
 def search_rendered(spark, directory):
-    return search.rendered_results(search.search_text(corpus(spark, directory), QUERY))
+    return search.rendered_results(search.search_text(corpus(spark, directory, None), QUERY))
 
 
 def search_scan(spark, directory):
-    return search.search_text(corpus(spark, directory), QUERY)
+    return search.search_text(corpus(spark, directory, None), QUERY)
 
 
 def search_scan_top20(spark, directory):

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.operators import search as ops
 from wordloom.operators.classify import MAX_FILE_BYTES
-from wordloom.operators.postings import ledger, postings_of_word
+from wordloom.operators.postings import file_rows, ledger, posting_rows, postings_of_word
 from wordloom.operators.sizing import spread_small
 from wordloom.operators.statistics import equivalence, ledger_stats, rendered_stats
-from wordloom.operators.store import stored_files, stored_ledger, stored_postings, write_index
+from wordloom.operators.store import stored_ledger, write_index
 from wordloom.schemas import INDEX_STATS, POSTINGS, STAT_COLUMNS
 from wordloom.sources.filelog import append_log, create_log, log_rows, read_log
 from wordloom.sources.tables import corpus_from_table
@@ -66,9 +66,10 @@ class IndexSession:
         location = new_location(self._spark, "index", self._workspace)
         try:
             write_index(ledger(corpus), location)
-            counts = ledger_stats(stored_ledger(self._spark, location)).first()
+            stored = stored_ledger(self._spark, location)
+            counts = ledger_stats(stored).first()
             if log and self._log is not None:
-                append_log(log_rows(stored_files(self._spark, location)), self._log)
+                append_log(log_rows(file_rows(stored)), self._log)
         except Exception:
             discard(self._spark, location)
             raise
@@ -84,12 +85,12 @@ class IndexSession:
         """The whole index as (word, path, frequency); empty before any build."""
         if self._location is None:
             return self._spark.createDataFrame([], POSTINGS)
-        return stored_postings(self._spark, self._location)
+        return posting_rows(stored_ledger(self._spark, self._location))
 
     def files(self) -> DataFrame:
         """The file rows of the current index, failed and skipped ones included."""
         self._require_index()
-        return stored_files(self._spark, self._location)
+        return file_rows(stored_ledger(self._spark, self._location))
 
     def postings(self, word: str) -> DataFrame:
         return postings_of_word(self.snapshot(), word)

@@ -27,7 +27,7 @@ POSTINGS = T.StructType(
     ]
 )
 
-#: What one build stores: posting rows and file rows, told apart by ``kind``.
+#: What one build stores: a row per posting and, without a word, a row per file.
 LEDGER = T.StructType(
     [
         T.StructField("word", T.StringType()),
@@ -37,7 +37,6 @@ LEDGER = T.StructType(
         T.StructField("token_count", T.LongType()),
         T.StructField("outcome", T.StringType()),
         T.StructField("error", T.StringType()),
-        T.StructField("kind", T.StringType()),
     ]
 )
 
