@@ -71,8 +71,9 @@ def test_guards_and_clear(spark, tmp_path):
     with pytest.raises(RuntimeError):
         session.compare()
     session.index_table(table(spark, {"a.txt": "one"}))
-    with pytest.raises(ValueError):
-        session.search("")
+    for empty in ("", " \t", '""', " '' "):
+        with pytest.raises(ValueError):
+            session.search(empty)
     location = session._location
     session.clear()
     assert not exists(spark, location)
@@ -88,6 +89,8 @@ def test_failed_build_leaves_everything_as_it_was(spark, tmp_path, monkeypatch):
     before = rows(session.stats())
     with pytest.raises(ValueError):
         session.index_tree(str(tmp_path / "missing"))
+    (tmp_path / "tree").mkdir()
+    (tmp_path / "tree" / "x.txt").write_text("four")
 
     def refuse(files):
         raise OSError("no space")
@@ -95,6 +98,8 @@ def test_failed_build_leaves_everything_as_it_was(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session_module, "log_rows", refuse)
     with pytest.raises(OSError):
         session.index_table(table(spark, {"b.txt": "three"}))
+    with pytest.raises(OSError):
+        session.index_tree(str(tmp_path / "tree"))
     assert rows(session.stats()) == before
     assert [r["path"] for r in session.search("one").collect()] == ["a.txt"]
     assert len([p for p in (tmp_path / "work").iterdir()]) == 1
@@ -132,6 +137,8 @@ def test_one_word_and_one_file_dominate(spark):
     assert [(r["path"], r["score"]) for r in top] == [("r/large.txt", 5000), ("r/f000.txt", 2)]
     queries = spark.createDataFrame([(n, "hot") for n in range(10)] + [(99, "w7 v2")], "q int, t string")
     assert session.search_batch(queries, "q", "t").count() == 10 * 301 + 60
+    best = session.search_batch(queries, "q", "t", limit=1).where("query_id < 10")
+    assert {(r["path"], r["rank"]) for r in best.collect()} == {("r/large.txt", 1)}
     plain = postings(corpus_from_table(table(spark, texts)))
     assert posting_differences(plain, session.snapshot()).isEmpty()
 

@@ -47,6 +47,7 @@ def test_unquote(spark):
         '"" x ""': '" x "', ' "a" ': "a", '" a "': " a ", "plain": "plain", "": "",
     }
     assert apply(spark, fn.unquote, cases) == list(cases.values())
+    assert [fn.query_argument(case) for case in cases] == list(cases.values())
 
 
 def test_suffixes(spark):

@@ -11,8 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The token alphabet, the supported suffixes and the white space
-# of the C locale.
-TOKEN_PATTERN = "[0-9A-Za-z]+"
+# of the C locale. The class is ASCII in Spark's regular expressions, and it is
+# matched much faster than the three ranges it stands for.
+TOKEN_PATTERN = r"\p{Alnum}+"
 SUPPORTED_PATTERN = r"(?is)[^/][.](txt|md|log|csv)\z"
 SUFFIX_PATTERN = r"(?s)[^/]([.][^./]*)\z"
 SPACE_CHARACTERS = " \t\n\u000b\f\r"
@@ -91,4 +92,12 @@ def path_components(path: Column | str) -> Column:
 
 def query_words(query: str) -> list[str]:
     """Distinct folded tokens of one query string held by the driver."""
-    return list(dict.fromkeys(word.lower() for word in re.findall(TOKEN_PATTERN, query)))
+    return list(dict.fromkeys(word.lower() for word in re.findall("[0-9A-Za-z]+", query)))
+
+
+def query_argument(query: str) -> str:
+    """``unquote`` for one query string held by the driver."""
+    trimmed = query.strip(SPACE_CHARACTERS)
+    if len(trimmed) >= 2 and trimmed[0] == trimmed[-1] and trimmed[0] in "\"'":
+        return trimmed[1:-1]
+    return trimmed

@@ -13,6 +13,7 @@ from wordloom.operators.sizing import BROADCAST_BYTES, ROW_OVERHEAD, fits_broadc
 INLINE_TERMS = 500
 
 #: Pieces a posting list is cut into when query terms are joined by shuffle.
+#: Adaptive execution splits a piece further if it is still far above the others.
 SALTS = 64
 
 
@@ -132,11 +133,10 @@ def top_per_query(results: DataFrame, k: int) -> DataFrame:
     to a threshold; for larger ``k`` a first round ranks inside salted pieces.
     """
     best_first = (F.desc("score"), F.asc("path"))
-    threshold = int(
-        results.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if k > threshold:
-        salt = F.pmod(F.xxhash64("path"), F.lit(SALTS).cast("bigint"))
+    conf = results.sparkSession.conf
+    if k > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        pieces = max(SALTS, int(conf.get("spark.sql.shuffle.partitions")))
+        salt = F.pmod(F.xxhash64("path"), F.lit(pieces).cast("bigint"))
         piece = Window.partitionBy("query_id", "salt").orderBy(*best_first)
         results = (
             results.withColumn("salt", salt)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wordloom.functions.text import query_argument
 from wordloom.operators import search as ops
 from wordloom.operators.classify import MAX_FILE_BYTES
 from wordloom.operators.postings import file_rows, ledger, posting_rows, postings_of_word
@@ -44,8 +45,12 @@ class IndexSession:
         self, root: str, max_bytes: int = MAX_FILE_BYTES, log: bool = True, run_id: str | None = None
     ) -> DataFrame:
         """Index the files below ``root`` and return the statistics."""
-        corpus = corpus_from_tree(self._spark, root, max_bytes, self._workspace)
-        return self.index_corpus(corpus, log, run_id)
+        scan = new_location(self._spark, "scan", self._workspace)
+        try:
+            corpus = corpus_from_tree(self._spark, root, max_bytes, scan)
+            return self.index_corpus(corpus, log, run_id)
+        finally:
+            discard(self._spark, scan)
 
     def index_table(
         self,
@@ -98,15 +103,18 @@ class IndexSession:
     def search(self, query: str, limit: int | None = None) -> DataFrame:
         """Matching files, best first. A query without tokens matches nothing."""
         self._require_index()
-        if not query:
+        if not query_argument(query):
             raise ValueError("the query is empty")
         return ops.search(self.snapshot(), query, limit)
 
-    def search_batch(self, queries: DataFrame, id_column: str, text_column: str) -> DataFrame:
-        """Matches of every query in a table."""
+    def search_batch(
+        self, queries: DataFrame, id_column: str, text_column: str, limit: int | None = None
+    ) -> DataFrame:
+        """Matches of every query in a table, or its ``limit`` best with their rank."""
         self._require_index()
         terms = ops.query_terms(queries, id_column, text_column)
-        return ops.search_batch(self.snapshot(), terms)
+        results = ops.search_batch(self.snapshot(), terms)
+        return results if limit is None else ops.top_per_query(results, limit)
 
     def stats(self) -> DataFrame:
         """Statistics of the last complete build; zeros before any."""

@@ -215,16 +215,16 @@ def inventory(
     spark: SparkSession,
     root: str,
     max_bytes: int = MAX_FILE_BYTES,
-    workspace: str | None = None,
+    location: str | None = None,
 ) -> DataFrame:
     """Every regular file below ``root``, classified but not opened.
 
     Directories and other entries that are not regular files are left out; an
     entry whose kind or size cannot be read is inaccessible. The rows are
-    stored, so later steps do not look at the tree again.
+    stored at ``location``, so later steps do not look at the tree again.
     """
     _validated(root)
-    location = new_location(spark, "scan", workspace)
+    location = location or new_location(spark, "scan")
     entries, number = list_tree(spark, root, f"{location}/entries")
     base = os.fsencode(os.getcwd())
     sized = (
@@ -268,10 +268,10 @@ def corpus_from_tree(
     spark: SparkSession,
     root: str,
     max_bytes: int = MAX_FILE_BYTES,
-    workspace: str | None = None,
+    location: str | None = None,
 ) -> DataFrame:
     """The files below ``root`` as a corpus, with the text of eligible files."""
-    return with_text(spark, inventory(spark, root, max_bytes, workspace))
+    return with_text(spark, inventory(spark, root, max_bytes, location))
 
 
 def corpus_from_store(
