@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.plans import catalog
+from wordloom.sources.synthetic import VOCABULARY
 
 SMOKE_DIRECTORY = "/root/testdata/sf0.001"
 
@@ -108,12 +109,7 @@ arguments AS (
   FROM documents
 )"""
 
-_VOCABULARY = ", ".join(f"'{word}'" for word in (
-    "algorithm atomic benchmark cache concurrency condition directory engine "
-    "filesystem frequency index keyword latency lock memory mutex parallel path "
-    "posting query queue ranking resource search synchronization task thread token "
-    "worker"
-).split())
+_VOCABULARY = ", ".join(f"'{word}'" for word in VOCABULARY)
 
 _SYNTHETIC = f"""
 words AS (

@@ -175,6 +175,7 @@ def shuffles(df):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
+    assert final.count("regexp_extract_all") <= 1, "tokens are extracted twice"
     return final.count("Exchange hashpartitioning"), final.count("Exchange rangepartitioning")
 
 
@@ -199,5 +200,5 @@ def test_spreading_depends_on_the_size(spark, monkeypatch, tmp_path):
     table(spark, {"a.txt": "one"}).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
     assert spread_small(df).rdd.getNumPartitions() == 8
-    monkeypatch.setattr(sizing, "TASK_BYTES", 1)
+    monkeypatch.setattr(sizing, "SPREAD_BYTES", 1)
     assert spread_small(df) is df

@@ -12,6 +12,9 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 #: Input bytes one core is expected to work through in one task.
 TASK_BYTES = 128 * 1024 * 1024
 
+#: Input bytes per core up to which an input is spread before its text is worked on.
+SPREAD_BYTES = 16 * 1024 * 1024
+
 #: Fixed cost charged for every row of a broadcast table.
 ROW_OVERHEAD = 32
 
@@ -41,8 +44,8 @@ def spread_small(df: DataFrame, key: str | None = "path") -> DataFrame:
     """Spread an input that is too small to give every core a split.
 
     A file with a single row group is one task however many cores there are.
-    The shuffle is only added below cores x TASK_BYTES; a larger input already
-    has enough splits, and moving its text would cost more than it saves.
+    The shuffle is only added below cores x SPREAD_BYTES, so it moves little
+    per core; a larger input has splits enough, and its text stays in place.
 
     With ``path`` as the key, later groupings by (word, path) reuse this
     partitioning and need no shuffle of their own. Without a key they do, which
@@ -51,6 +54,6 @@ def spread_small(df: DataFrame, key: str | None = "path") -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = estimated_bytes(df)
-    if size is None or size > cores * TASK_BYTES:
+    if size is None or size > cores * SPREAD_BYTES:
         return df
     return df.repartition(cores) if key is None else df.repartition(cores, key)

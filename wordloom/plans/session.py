@@ -148,4 +148,4 @@ class IndexSession:
 
     def _require_index(self) -> None:
         if self._location is None:
-            raise RuntimeError("index a corpus in this session before searching")
+            raise RuntimeError("this session holds no index")
