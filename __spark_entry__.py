@@ -17,8 +17,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return catalog.search_all(spark, SMOKE_DIRECTORY)
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators, if that part is there."""
+    try:
+        import corpus_pipeline
+        from wordloom.llm import queries as llm
+    except ImportError:
+        return {}, {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, dict(llm.ORACLE_SQL)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(catalog.QUERIES)
+    return {**catalog.QUERIES, **_training_data()[0]}
 
 
 # The view of FIXTURES.md section 1, and the parts built on it.
@@ -124,6 +134,7 @@ _DOCUMENTS = "(SELECT count(*) FROM documents)"
 
 def oracle_sql() -> dict[str, str]:
     return {
+        **_training_data()[1],
         "scan_supported_ext": f"WITH {_FILES} SELECT path FROM files WHERE {_SUPPORTED}",
         "scan_size_cap": f"""WITH {_FILES}
             SELECT path, size_bytes FROM files WHERE size_bytes <= {catalog.CAP}""",
