@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.plans import catalog
-from wordloom.sources.synthetic import VOCABULARY
 
 SMOKE_DIRECTORY = "/root/testdata/sf0.001"
 
@@ -31,26 +30,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**catalog.QUERIES, **_training_data()[0]}
 
 
-# The view of FIXTURES.md section 1, and the parts built on it.
-_PATH = """'corpus/' || source || CASE WHEN (doc_id // 20) % 2 = 1 THEN '-b' ELSE '' END
-    || '/document-' || lpad(CAST(doc_id AS VARCHAR), 6, '0')
-    || (['.txt', '.MD', '.log', '.csv', '.bin', ''])[CAST(doc_id % 6 AS INT) + 1]"""
+# The view of FIXTURES.md section 1, and the parts built on it. Numbers and words
+# are written out here, so that a slip in the catalogue shows.
+def _path(suffixes: str, count: int) -> str:
+    return f"""'corpus/' || source || CASE WHEN (doc_id // 20) % 2 = 1 THEN '-b' ELSE '' END
+    || '/document-' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(6, length(CAST(doc_id AS VARCHAR))) AS INT), '0')
+    || ({suffixes})[CAST(doc_id % {count} AS INT) + 1]"""
+
 
 _SUPPORTED = r"regexp_matches(lower(path), '[^/]\.(txt|md|log|csv)$')"
 
-_FILES = f"""
+_SCANNED = f"""
 files AS (
-  SELECT {_PATH} AS path, octet_length(encode(text)) AS size_bytes, text, source, doc_id
+  SELECT {_path("['.txt', '.MD', '.log', '.csv', '.bin', '']", 6)} AS path,
+         octet_length(encode(text)) AS size_bytes, text, source, doc_id
   FROM documents
-)"""
-
-_CLASSIFIED = f"""{_FILES},
+),
 classified AS (
-  SELECT *, CASE WHEN {_SUPPORTED} AND size_bytes <= {catalog.CAP}
+  SELECT *, CASE WHEN {_SUPPORTED} AND size_bytes <= 7000
                  THEN 'eligible' ELSE 'skipped' END AS status
   FROM files
-),
-eligible AS (SELECT * FROM classified WHERE status = 'eligible')"""
+)"""
+
+_FILES = f"""
+files AS (
+  SELECT {_path("['.txt', '.MD', '.log', '.csv']", 4)} AS path,
+         octet_length(encode(text)) AS size_bytes, text, source, doc_id
+  FROM documents
+)"""
 
 _TOKENS = "regexp_extract_all({0}, '[0-9A-Za-z]+')"
 
@@ -64,7 +71,7 @@ postings AS (
 )"""
 
 
-_INDEX = f"{_CLASSIFIED},{_postings('eligible')}"
+_INDEX = f"{_FILES},{_postings('files')}"
 
 _TERMS = f"""
 terms AS (
@@ -91,9 +98,9 @@ def _search_sql(query: str) -> str:
 _STATS = f"""{_INDEX},
 stats AS (
   SELECT (SELECT count(*) FROM files) AS discovered,
-         (SELECT count(*) FROM eligible) AS indexed,
+         (SELECT count(*) FROM files) AS indexed,
          CAST(0 AS BIGINT) AS failed,
-         (SELECT count(*) FROM classified WHERE status = 'skipped') AS skipped,
+         CAST(0 AS BIGINT) AS skipped,
          (SELECT count(DISTINCT word) FROM postings) AS unique_words,
          (SELECT CAST(sum(frequency) AS BIGINT) FROM postings) AS total_tokens
 )"""
@@ -119,43 +126,52 @@ arguments AS (
   FROM documents
 )"""
 
-_VOCABULARY = ", ".join(f"'{word}'" for word in VOCABULARY)
+def _best(limit: int) -> str:
+    return f"""WITH {_BATCH}
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, path) AS rank
+            FROM matched QUALIFY rank <= {limit}"""
 
-_SYNTHETIC = f"""
-words AS (
-  SELECT doc_id AS file_index, position,
-    ([{_VOCABULARY}])[1 + CAST(('0x' || substr(md5('42-' || doc_id || '-' || position), 1, 7))
-                               AS BIGINT) % 29] AS word
-  FROM documents, range({catalog.SYNTHETIC_WORDS}) AS r(position)
-)"""
 
-_DOCUMENTS = "(SELECT count(*) FROM documents)"
+# Statistics by source, with every seventh document unreadable.
+_FAILURES = f"""{_FILES},
+marked AS (SELECT *, doc_id % 7 = 3 AS broken FROM files),
+counted AS (
+  SELECT source, count(*) AS discovered, count(*) FILTER (NOT broken) AS indexed,
+         count(*) FILTER (broken) AS failed, CAST(0 AS BIGINT) AS skipped
+  FROM marked GROUP BY source
+),
+worded AS (
+  SELECT source, count(DISTINCT word) AS unique_words, count(*) AS total_tokens
+  FROM (SELECT source, lower(unnest({_TOKENS.format('text')})) AS word FROM marked WHERE NOT broken)
+  GROUP BY source
+)"""
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         **_training_data()[1],
-        "scan_supported_ext": f"WITH {_FILES} SELECT path FROM files WHERE {_SUPPORTED}",
-        "scan_size_cap": f"""WITH {_FILES}
-            SELECT path, size_bytes FROM files WHERE size_bytes <= {catalog.CAP}""",
-        "scan_classify": f"WITH {_CLASSIFIED} SELECT path, size_bytes, status FROM classified",
-        "scan_status_counts": f"""WITH {_CLASSIFIED}
+        "scan_supported_ext": f"WITH {_SCANNED} SELECT path FROM files WHERE {_SUPPORTED}",
+        "scan_size_cap": f"""WITH {_SCANNED}
+            SELECT path, size_bytes FROM files WHERE size_bytes <= 7000""",
+        "scan_classify": f"WITH {_SCANNED} SELECT path, size_bytes, status FROM classified",
+        "scan_status_counts": f"""WITH {_SCANNED}
             SELECT status, count(*) AS files FROM classified GROUP BY status""",
-        "scan_order_head": f"""WITH {_FILES}
-            SELECT path FROM files ORDER BY string_split(path, '/') LIMIT 100""",
-        "file_extension": rf"""WITH {_FILES}
+        "scan_order": f"""WITH {_SCANNED}
+            SELECT row_number() OVER (ORDER BY string_split(path, '/')) - 1 AS position, path
+            FROM files""",
+        "file_extension": rf"""WITH {_SCANNED}
             SELECT path, lower(regexp_extract(path, '[^/](\.[^./]*)$', 1)) AS extension
             FROM files""",
-        "tokenize_rows": f"""WITH {_CLASSIFIED},
-            lists AS (SELECT path, {_TOKENS.format('text')} AS found FROM eligible)
+        "tokenize_rows": f"""WITH {_FILES},
+            lists AS (SELECT path, {_TOKENS.format('text')} AS found FROM files)
             SELECT path, unnest(range(len(found))) AS position, lower(unnest(found)) AS word
             FROM lists""",
         "token_array_size": f"""WITH {_FILES}
             SELECT path, CAST(len({_TOKENS.format('text')}) AS BIGINT) AS token_count
             FROM files""",
-        "file_token_counts": f"""WITH {_CLASSIFIED}
+        "file_token_counts": f"""WITH {_FILES}
             SELECT path, CAST(len({_TOKENS.format('text')}) AS BIGINT) AS token_count
-            FROM eligible""",
+            FROM files""",
         "token_count_by_line": f"""WITH {_FILES},
             lines AS (SELECT path, unnest(string_split(text, chr(10))) AS line FROM files)
             SELECT path, CAST(sum(len({_TOKENS.format('line')})) AS BIGINT) AS token_count
@@ -166,7 +182,7 @@ def oracle_sql() -> dict[str, str]:
         "inverted_index": f"""WITH {_INDEX},
             sharded AS (
               SELECT *, CAST(('0x' || substr(md5(path), 1, 8)) AS BIGINT)
-                % (({_DOCUMENTS} + {catalog.SHARD_FILES - 1}) // {catalog.SHARD_FILES}) AS shard
+                % 256 AS shard
               FROM postings
             )
             SELECT word, shard,
@@ -178,17 +194,15 @@ def oracle_sql() -> dict[str, str]:
                    CAST(coalesce(sum(frequency) FILTER (word = 'the'), 0) AS BIGINT) AS the_count
             FROM postings GROUP BY path""",
         "index_stats": f"WITH {_STATS} SELECT * FROM stats",
-        "index_stats_by_source": f"""WITH {_CLASSIFIED},
+        "index_stats_by_source": f"""WITH {_FILES},
             counted AS (
-              SELECT source, count(*) AS discovered,
-                     count(*) FILTER (status = 'eligible') AS indexed,
-                     CAST(0 AS BIGINT) AS failed,
-                     count(*) FILTER (status = 'skipped') AS skipped
-              FROM classified GROUP BY source
+              SELECT source, count(*) AS discovered, count(*) AS indexed,
+                     CAST(0 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped
+              FROM files GROUP BY source
             ),
             worded AS (
               SELECT source, count(DISTINCT word) AS unique_words, count(*) AS total_tokens
-              FROM (SELECT source, lower(unnest({_TOKENS.format('text')})) AS word FROM eligible)
+              FROM (SELECT source, lower(unnest({_TOKENS.format('text')})) AS word FROM files)
               GROUP BY source
             )
             SELECT source, discovered, indexed, failed, skipped,
@@ -202,16 +216,45 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'Skipped files', skipped FROM stats
             UNION ALL SELECT 'Unique words', unique_words FROM stats
             UNION ALL SELECT 'Total tokens', total_tokens FROM stats""",
+        "stats_with_failures": f"""WITH {_FAILURES}
+            SELECT source, discovered, indexed, failed, skipped,
+                   coalesce(unique_words, 0) AS unique_words,
+                   coalesce(total_tokens, 0) AS total_tokens
+            FROM counted LEFT JOIN worded USING (source)""",
+        "failed_files": f"""WITH {_FILES}
+            SELECT path, size_bytes, 'unreadable' AS error FROM files WHERE doc_id % 7 = 3""",
+        "stats_differ": f"""WITH {_STATS},
+            less AS (
+              SELECT count(*) AS files FROM files WHERE source <> 'src1'
+            ),
+            words AS (
+              SELECT count(DISTINCT word) AS unique_words, count(*) AS total_tokens
+              FROM (SELECT lower(unnest({_TOKENS.format('text')})) AS word
+                    FROM files WHERE source <> 'src1')
+            )
+            SELECT run_id, stats.*, TRUE AS equivalent
+            FROM stats, (VALUES ('direct'), ('ledger'), ('by_line')) AS runs(run_id)
+            UNION ALL
+            SELECT 'changed', files, files, 0, 0, unique_words, total_tokens, FALSE
+            FROM less, words""",
+        "postings_differ": f"""WITH {_INDEX},
+            changed AS (
+              SELECT word, path, frequency + CASE WHEN word = 'und' THEN 1 ELSE 0 END AS frequency
+              FROM postings WHERE word <> 'the'
+            )
+            SELECT *, CAST(1 AS BIGINT) AS balance FROM (FROM postings EXCEPT FROM changed)
+            UNION ALL
+            SELECT *, CAST(-1 AS BIGINT) FROM (FROM changed EXCEPT FROM postings)""",
         "stats_equivalence": f"""WITH {_STATS}
             SELECT run_id, stats.*, TRUE AS equivalent
             FROM stats, (VALUES ('direct'), ('ledger'), ('by_line')) AS runs(run_id)""",
         "postings_equivalence": f"""WITH {_INDEX}
             SELECT word, path, frequency, CAST(0 AS BIGINT) AS balance
             FROM postings WHERE frequency < 0""",
-        "file_log_rows": f"""WITH {_CLASSIFIED}
+        "file_log_rows": f"""WITH {_FILES}
             SELECT path, size_bytes,
                    CAST(len({_TOKENS.format('text')}) AS BIGINT) AS token_count
-            FROM eligible""",
+            FROM files""",
         "query_trim": f"""WITH {_ARGUMENTS}
             SELECT doc_id, trim(argument, {_SPACE}) AS trimmed FROM arguments""",
         "query_unquote": f"""WITH {_ARGUMENTS},
@@ -235,29 +278,18 @@ def oracle_sql() -> dict[str, str]:
         "search_scan": _search_sql(catalog.QUERY),
         "search_scan_top20": f"""WITH {_INDEX},{_search(catalog.QUERY)}
             SELECT * FROM hits ORDER BY score DESC, path LIMIT 20""",
-        "search_batch": f"WITH {_BATCH} SELECT * FROM matched",
-        "search_batch_top10": f"""WITH {_BATCH}
-            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, path) AS rank
-            FROM matched QUALIFY rank <= 10""",
+        "search_batch": _best(100),
+        "search_batch_top10": _best(10),
         "session_search": _search_sql(catalog.QUERY),
         "session_stats": f"WITH {_STATS} SELECT * FROM stats",
-        "session_log": f"""WITH {_CLASSIFIED}
+        "session_log": f"""WITH {_FILES}
             SELECT path, size_bytes,
                    CAST(len({_TOKENS.format('text')}) AS BIGINT) AS token_count
-            FROM eligible""",
-        "synth_documents": f"""WITH {_SYNTHETIC},
-            lines AS (
-              SELECT file_index, position // 20 AS line,
-                     string_agg(word, ' ' ORDER BY position) AS line_text
-              FROM words GROUP BY file_index, line
-            )
-            SELECT file_index,
-              'batch-' || lpad(CAST(file_index // 100 AS VARCHAR), 3, '0') || '/document-'
-                || lpad(CAST(file_index AS VARCHAR), 6, '0')
-                || (['.txt', '.md', '.log', '.csv'])[CAST(file_index % 4 AS INT) + 1] AS path,
-              string_agg(line_text, chr(10) ORDER BY line) || chr(10) AS text
-            FROM lines GROUP BY file_index""",
-        "synth_word_counts": f"""WITH {_SYNTHETIC}
-            SELECT word, count(*) AS frequency, count(DISTINCT file_index) AS files
-            FROM words GROUP BY word""",
+            FROM files""",
+        "session_search_many_terms": _search_sql(catalog.MANY),
+        "session_rebuild": f"""WITH {_FILES},{_postings("files WHERE source = 'src1'")}
+            SELECT word, CAST(sum(frequency) AS BIGINT) AS frequency FROM postings GROUP BY word""",
+        "session_clear": f"""WITH {_STATS}
+            SELECT 'before' AS state, * FROM stats
+            UNION ALL SELECT 'after', 0, 0, 0, 0, 0, 0""",
     }

@@ -25,17 +25,17 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def sample_tree(tmp_path):
-    """Two small files with the sample texts of FIXTURES.md section 2."""
+    """Two small files with shared words, a hyphen, a heading and repeated terms."""
     root = tmp_path / "samples"
     root.mkdir()
     (root / "notes.txt").write_text(
-        "Concurrency becomes easier to reason about when each worker builds local state.\n"
-        "The shared inverted index is updated once per completed file.\n"
+        "Concurrency is kept apart: every task counts its own lines and sends totals.\n"
+        "The merged table of totals is written when the last file ends.\n"
     )
     (root / "readme.md").write_text(
-        "# Search Notes\n\n"
-        "Deterministic ranking keeps results repeatable. A stable path tie-breaker ensures\n"
-        "that files with equal keyword frequency always appear in the same order.\n"
+        "# Reading Guide\n\n"
+        "Rows are sorted by score, and a path tie-rule settles the others, so two files\n"
+        "with one score never swap places.\n"
     )
     return root
 

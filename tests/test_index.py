@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from conftest import brute_force, rows, table
 from wordloom.operators import classify, postings, statistics
-from wordloom.sources.synthetic import VOCABULARY, file_numbers, synthetic_files
 from wordloom.sources.tables import corpus_from_table
 
 TEXTS = {
@@ -62,11 +61,11 @@ def test_stats_of_nothing(spark):
 def test_failed_and_inaccessible_rows(spark):
     corpus = spark.createDataFrame(
         [
-            ("a.txt", 3, "eligible", None, "one"),
-            ("b.txt", 3, "eligible", "gone", None),
-            ("c.txt", None, "inaccessible", "no link", None),
+            ("a.txt", 3, "eligible", None, "one", 0),
+            ("b.txt", 3, "eligible", "gone", None, 0),
+            ("c.txt", None, "inaccessible", "no link", None, 0),
         ],
-        "path string, size_bytes bigint, status string, error string, text string",
+        "path string, size_bytes bigint, status string, error string, text string, piece int",
     )
     assert rows(statistics.index_stats(corpus)) == [(3, 1, 1, 1, 1, 1)]
     assert rows(classify.failures(corpus)) == [("b.txt", 3, "gone")]
@@ -117,14 +116,43 @@ def test_nested_lists_hold_all_postings_in_path_order(corpus, shards):
     assert all(len(found) == 1 for found in by_path.values())
 
 
-def test_shard_count():
-    assert [postings.shard_count(n, 10) for n in (0, 1, 10, 11, 100, 101)] == [1, 1, 1, 2, 10, 11]
+def test_word_maps(corpus):
+    index = postings.postings(corpus)
+    for shards in (1, 3):
+        maps = {}
+        for row in postings.file_word_counts(index, shards).collect():
+            assert not set(maps.setdefault(row["path"], {})) & set(row["word_counts"])
+            maps[row["path"]] |= row["word_counts"]
+        assert maps["r/a.txt"] == {"the": 2, "cat": 3, "dog": 1}
+
+
+def test_large_texts_are_indexed_whole(spark):
+    texts = {"big.txt": "word " * 1_200_000 + "last", "small.txt": "word"}
+    corpus = corpus_from_table(table(spark, texts))
+    assert set(rows(postings.postings(corpus))) == {
+        ("word", "big.txt", 1_200_000), ("last", "big.txt", 1), ("word", "small.txt", 1),
+    }
+    assert rows(statistics.index_stats(corpus)) == [(2, 2, 0, 0, 2, 1_200_002)]
 
 
-def test_word_maps(corpus):
-    maps = {r["path"]: r["word_counts"] for r in
-            postings.file_word_counts(postings.postings(corpus)).collect()}
-    assert maps["r/a.txt"] == {"the": 2, "cat": 3, "dog": 1}
+def test_pieces_of_a_file_count_as_one_file(spark):
+    corpus = spark.createDataFrame(
+        [
+            ("a.txt", 9, "eligible", None, "one two", 0),
+            ("a.txt", 9, "eligible", None, " two", 1),
+            ("b.txt", 3, "eligible", None, "two", 0),
+        ],
+        "path string, size_bytes bigint, status string, error string, text string, piece int",
+    ).repartition(3)
+    expected = [(2, 2, 0, 0, 2, 4)]
+    assert rows(statistics.index_stats(corpus)) == expected
+    ledger = postings.ledger(corpus)
+    assert rows(statistics.ledger_stats(ledger)) == expected
+    assert {(r["path"], r["token_count"]) for r in postings.file_rows(ledger).collect()} == {
+        ("a.txt", 3), ("b.txt", 1),
+    }
+    assert set(rows(postings.file_token_counts(corpus))) == {("a.txt", 9, 3), ("b.txt", 3, 1)}
+    assert postings.repeated_paths(ledger).isEmpty()
 
 
 @pytest.mark.parametrize("max_bytes", [None, 0])
@@ -163,21 +191,3 @@ def test_rendered_stats(corpus):
     assert list(lines) == list(statistics.STAT_LABELS.values())
 
 
-def test_synthetic_corpus(spark):
-    made = synthetic_files(file_numbers(spark, 101), 45, seed=7).orderBy("file_index").collect()
-    assert [r["path"] for r in made[:4]] == [
-        "batch-000/document-000000.txt", "batch-000/document-000001.md",
-        "batch-000/document-000002.log", "batch-000/document-000003.csv",
-    ]
-    assert made[100]["path"] == "batch-001/document-000100.txt"
-    for row in made:
-        lines = row["text"].split("\n")
-        assert [len(line.split()) for line in lines] == [20, 20, 5, 0]
-        assert set(row["text"].split()) <= set(VOCABULARY)
-    again = synthetic_files(file_numbers(spark, 101), 45, seed=7).orderBy("file_index").collect()
-    assert made == again
-    assert made != synthetic_files(file_numbers(spark, 101), 45, seed=8).orderBy("file_index").collect()
-    with pytest.raises(ValueError):
-        file_numbers(spark, 0)
-    with pytest.raises(ValueError):
-        synthetic_files(file_numbers(spark, 1), 0)

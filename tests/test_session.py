@@ -3,10 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import brute_force, rows, table
 from wordloom import IndexSession
-from wordloom.operators import sizing
 from wordloom.operators.postings import file_token_counts, ledger, postings
 from wordloom.operators.search import search_text
-from wordloom.operators.sizing import spread_small
 from wordloom.operators.statistics import index_stats, posting_differences
 from wordloom.plans import session as session_module
 from wordloom.sources import filelog
@@ -55,7 +53,7 @@ def test_rebuild_replaces_the_index_and_the_log_grows(spark, tmp_path):
     session.index_table(table(spark, {"c.txt": "two three"}), log=False)
     session.index_table(table(spark, {"c.bin": "two three"}))
     assert session.log().count() == 4
-    assert not exists(spark, first)
+    assert exists(spark, first)
     assert rows(session.stats()) == [(1, 0, 0, 1, 0, 0)]
     assert [r["equivalent"] for r in session.compare().orderBy("run_id").collect()] == [
         True, False, False, False, False,
@@ -74,15 +72,65 @@ def test_guards_and_clear(spark, tmp_path):
     for empty in ("", " \t", '""', " '' "):
         with pytest.raises(ValueError):
             session.search(empty)
+    earlier = session._location
+    session.index_table(table(spark, {"b.txt": "two"}))
     location = session._location
     session.clear()
-    assert not exists(spark, location)
+    assert not exists(spark, location) and not exists(spark, earlier)
     assert rows(session.stats()) == [(0, 0, 0, 0, 0, 0)]
-    assert session.log().count() == 1
+    assert session.log().count() == 2
     with pytest.raises(RuntimeError):
         session.search("one")
 
 
+def test_repeated_paths_are_refused(spark, tmp_path):
+    session = IndexSession(spark, workspace=str(tmp_path / "work"))
+    session.index_table(table(spark, {"a.txt": "one"}))
+    twice = spark.createDataFrame(
+        [("a.txt", "one"), ("b.txt", "x"), ("b.txt", "x"), ("c.txt", "y")], "path string, text string"
+    )
+    with pytest.raises(ValueError, match="b.txt"):
+        session.index_table(twice)
+    other = spark.createDataFrame([("c.txt", "one"), ("c.txt", "two x")], "path string, text string")
+    with pytest.raises(ValueError, match="c.txt"):
+        session.index_table(other)
+    assert [r["path"] for r in session.search("one").collect()] == ["a.txt"]
+
+
+def test_results_outlive_the_next_build(spark):
+    session = IndexSession(spark)
+    session.index_table(table(spark, {"a.txt": "one"}))
+    found = session.search("one")
+    session.index_table(table(spark, {"b.txt": "one"}))
+    assert [r["path"] for r in found.collect()] == ["a.txt"]
+
+
+def test_document_numbers_above_six_digits_stay_apart(spark, tmp_path):
+    from wordloom.plans import catalog
+
+    numbers = [5, 123456, 1234560, 1234561, 1234566, 98765432]
+    docs = spark.createDataFrame(
+        [(n, f"only{n}", "en", "s", 1) for n in numbers],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    log = catalog.session_log(spark, str(tmp_path)).collect()
+    assert len({r["path"] for r in log}) == len(numbers)
+    assert catalog.index_stats(spark, str(tmp_path)).first()["indexed"] == len(numbers)
+
+
+@pytest.mark.parametrize("name", ["postings", "search_top20", "search_batch_top10", "index_stats"])
+def test_plans_do_not_depend_on_the_size(spark, name):
+    from wordloom.plans import catalog
+
+    def shape(directory):
+        df = catalog.QUERIES[name](spark, directory)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return [line.split("(")[0].strip(" :+-").split(" ")[0] for line in plan.splitlines()]
+
+    assert shape("/root/testdata/sf0.001") == shape("/root/testdata/sf0.1")
+
+
 def test_failed_build_leaves_everything_as_it_was(spark, tmp_path, monkeypatch):
     session = IndexSession(spark, workspace=str(tmp_path / "work"), log=str(tmp_path / "log"))
     session.index_table(table(spark, {"a.txt": "one two"}))
@@ -137,6 +185,7 @@ def test_one_word_and_one_file_dominate(spark):
     assert [(r["path"], r["score"]) for r in top] == [("r/large.txt", 5000), ("r/f000.txt", 2)]
     queries = spark.createDataFrame([(n, "hot") for n in range(10)] + [(99, "w7 v2")], "q int, t string")
     assert session.search_batch(queries, "q", "t").count() == 10 * 301 + 60
+    assert session.search_batch(queries, "q", "t", limit=7).count() == 10 * 7 + 7
     best = session.search_batch(queries, "q", "t", limit=1).where("query_id < 10")
     assert {(r["path"], r["rank"]) for r in best.collect()} == {("r/large.txt", 1)}
     plain = postings(corpus_from_table(table(spark, texts)))
@@ -165,12 +214,46 @@ def test_stored_index_is_clustered_and_filters_reach_it(spark):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
     plan = session.search("w7 w8")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(word), In(word, [w7,w8])]" in plan
+    assert "Or(EqualTo(word,w7),EqualTo(word,w8))" in plan
     assert "ReadSchema: struct<word:string,path:string,frequency:bigint>" in plan
     plan = session.files()._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNull(word)]" in plan
 
 
+def rows_read(df):
+    """Rows that the scan of a search hands on."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while not plan.nodeName().startswith("Scan"):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.executedPlan()
+        elif "QueryStage" in plan.nodeName():
+            plan = plan.plan()
+        else:
+            plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_rows_read_grow_with_the_terms_and_not_with_their_range(spark):
+    session = IndexSession(spark)
+    docs = spark.range(40_000).select(
+        F.format_string("f%06d.txt", "id").alias("path"),
+        F.concat_ws(" ", *[F.format_string(f"{c}%06d", "id") for c in "abcdefghij"]).alias("text"),
+    )
+    session.index_table(docs, partitions=8)
+    total = session.snapshot().count()
+    assert total == 400_000
+    read = {}
+    for count in (2, 11, 600):
+        words = [f"{'abcdefghij'[n % 10]}{n * 40_000 // count // 10:06d}" for n in range(min(count, 10))]
+        words += [f"c{n:06d}" for n in range(count - len(words))]
+        query = session.search(" ".join(words))
+        read[count] = rows_read(query)
+        assert query.count() > 0
+    # A page holds 20,000 rows at most: 2 terms touch 2 pages, 11 touch 11, 600 few more.
+    assert read[2] <= 2 * 20_000 and read[11] <= 11 * 20_000 and read[600] <= 13 * 20_000
+
+
 def shuffles(df):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -180,11 +263,12 @@ def shuffles(df):
 
 
 def test_shuffles_of_the_main_jobs(spark, tmp_path):
-    """On an input with enough splits, the text itself is never shuffled."""
+    """Without a layout of its own, the text itself is never shuffled."""
     texts = {f"f{n}.txt": f"the w{n % 40} x{n}" for n in range(500)}
     table(spark, texts).write.parquet(str(tmp_path / "t"))
     corpus = corpus_from_table(spark.read.parquet(str(tmp_path / "t")))
-    assert shuffles(file_token_counts(corpus)) == (0, 0)
+    assert shuffles(file_token_counts(corpus)) == (1, 0)
+    assert shuffles(postings(corpus.repartition("path"))) == (1, 0)
     assert shuffles(postings(corpus)) == (1, 0)
     assert shuffles(ledger(corpus)) == (1, 0)
     assert shuffles(index_stats(corpus)) == (1, 0)
@@ -194,11 +278,3 @@ def test_shuffles_of_the_main_jobs(spark, tmp_path):
     session.index_corpus(corpus)
     assert shuffles(session.search("the", limit=3)) == (0, 0)
     assert shuffles(session.search("the w1", limit=3)) == (1, 0)
-
-
-def test_spreading_depends_on_the_size(spark, monkeypatch, tmp_path):
-    table(spark, {"a.txt": "one"}).write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    assert spread_small(df).rdd.getNumPartitions() == 8
-    monkeypatch.setattr(sizing, "SPREAD_BYTES", 1)
-    assert spread_small(df) is df

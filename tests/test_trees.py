@@ -1,3 +1,4 @@
+import io
 import os
 
 import pytest
@@ -62,10 +63,8 @@ def named(df, root):
     return {bytes.fromhex(r["path"]).removeprefix(prefix): r for r in raw}
 
 
-@pytest.mark.parametrize("driver_entries", [0, 5000])
-def test_inventory(spark, tree, monkeypatch, driver_entries):
-    monkeypatch.setattr(trees, "DRIVER_ENTRIES", driver_entries)
-    found = named(trees.inventory(spark, str(tree)), tree)
+def test_inventory(spark, tree):
+    found = named(trees.inventory(spark, str(tree), LIMIT), tree)
     by_status = {}
     for path, row in found.items():
         by_status.setdefault(row["status"], set()).add(path)
@@ -79,7 +78,7 @@ def test_inventory(spark, tree, monkeypatch, driver_entries):
 
 
 def test_text_and_counts(spark, tree):
-    corpus = trees.corpus_from_tree(spark, str(tree))
+    corpus = trees.corpus_from_tree(spark, str(tree), LIMIT)
     words = {}
     for row in postings.postings(corpus).where(~F.col("path").contains("odd")).collect():
         name = row["path"].removeprefix(f"{tree}/")
@@ -96,6 +95,30 @@ def test_text_and_counts(spark, tree):
     assert stats["failed"] == 0
 
 
+def test_large_files_are_read_in_pieces(spark, tmp_path):
+    words = [f"w{n % 300}x" for n in range(60_000)]
+    write(tmp_path / "large.txt", (" ".join(words) + "\n" + "z" * 200_000 + " end").encode())
+    write(tmp_path / "none.txt", b"")
+    files = trees.inventory(spark, str(tmp_path))
+    pieces = trees.with_text(spark, files, piece_bytes=50_000)
+    assert pieces.count() > 5
+    texts = {f"{tmp_path}/large.txt": (tmp_path / "large.txt").read_text(), f"{tmp_path}/none.txt": ""}
+    found = rows(postings.postings(pieces))
+    assert {(w, p): n for w, p, n in found} == brute_force(texts)
+    assert rows(statistics.index_stats(pieces)) == [(2, 2, 0, 0, 302, 60_002)]
+    assert statistics.ledger_stats(postings.ledger(pieces)).first()["discovered"] == 2
+
+
+@pytest.mark.parametrize("content", [b"", b"a", b"ab cd", b"x" * 300, b"one, two;three " * 50])
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_pieces_end_between_tokens(content, size, monkeypatch):
+    monkeypatch.setattr(trees, "_STEP_BYTES", 5)
+    pieces = list(trees._pieces(io.BytesIO(content), size))
+    assert b"".join(pieces) == content and pieces
+    for one, other in zip(pieces, pieces[1:]):
+        assert not (one[-1:].isalnum() and other[:1].isalnum())
+
+
 def test_file_lost_after_listing_fails_alone(spark, tmp_path):
     for number in range(5):
         write(tmp_path / f"d{number % 2}/f{number}.txt", b"some words")
@@ -168,13 +191,11 @@ def test_scan_order(spark, tmp_path):
     for name in ["src1/a.txt", "src1-b/a.txt", "src1.txt"]:
         write(tmp_path / name, b"x")
     files = classify.in_scan_order(trees.inventory(spark, str(tmp_path)))
-    names = [r["path"].removeprefix(f"{tmp_path}/") for r in files.collect()]
-    assert names == ["src1/a.txt", "src1-b/a.txt", "src1.txt"]
+    names = {r["position"]: r["path"].removeprefix(f"{tmp_path}/") for r in files.collect()}
+    assert names == {0: "src1/a.txt", 1: "src1-b/a.txt", 2: "src1.txt"}
 
 
-@pytest.mark.parametrize("driver_entries", [0, 1, 10, 60, 5000])
-def test_many_files_match_brute_force(spark, tmp_path, monkeypatch, driver_entries):
-    monkeypatch.setattr(trees, "DRIVER_ENTRIES", driver_entries)
+def test_many_files_match_brute_force(spark, tmp_path):
     texts = {}
     for number in range(120):
         name = f"g{number % 7}/h{number % 3}/f{number}.md"
@@ -185,7 +206,7 @@ def test_many_files_match_brute_force(spark, tmp_path, monkeypatch, driver_entri
 
 
 def test_listing_by_spark(spark, tree):
-    corpus = trees.corpus_from_store(spark, str(tree / "sub"))
+    corpus = trees.corpus_from_store(spark, str(tree / "sub"), LIMIT)
     found = {r["path"].removeprefix(f"{tree}/sub/"): r["size_bytes"] for r in
              corpus.select("path", "size_bytes").collect()}
     assert found == {"a b%20c.csv": 2, "bad.txt": 28, "exact.txt": LIMIT}

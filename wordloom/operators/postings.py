@@ -9,8 +9,11 @@ from wordloom.functions.text import count_tokens, fold, raw_tokens
 from wordloom.operators.classify import INDEXED, outcome_of, readable
 from wordloom.operators.sizing import fits_broadcast
 
-#: Files per shard of the nested index, which bounds the length of its lists.
-FILES_PER_SHARD = 65_536
+#: Shards of the nested index. A posting list is cut into as many parts.
+PATH_SHARDS = 256
+
+#: Maps per file that its words are dealt to.
+WORD_SHARDS = 16
 
 
 def tokens(corpus: DataFrame) -> DataFrame:
@@ -68,18 +71,21 @@ def postings_of_word(index: DataFrame, word: str) -> DataFrame:
 
 
 def file_token_counts(corpus: DataFrame) -> DataFrame:
-    """Tokens per indexed file, without a shuffle; empty files have 0."""
-    return readable(corpus).select(
+    """Tokens per indexed file, its pieces added up; empty files have 0."""
+    counted = readable(corpus).select(
         "path", "size_bytes", count_tokens("text").alias("token_count")
     )
+    return counted.groupBy("path", "size_bytes").agg(F.sum("token_count").alias("token_count"))
 
 
-def file_word_counts(index: DataFrame) -> DataFrame:
-    """Word to frequency as one map per file.
+def file_word_counts(index: DataFrame, shards: int = WORD_SHARDS) -> DataFrame:
+    """Word to frequency as maps: (path, shard, word_counts).
 
-    A map holds the distinct words of one file, so the size cap bounds it.
+    The words of a file are dealt to ``shards`` maps by their checksum, so that
+    no row has to hold all distinct words of a large file.
     """
-    return index.groupBy("path").agg(
+    shard = F.pmod(F.crc32("word"), F.lit(shards)).cast("int")
+    return index.groupBy("path", shard.alias("shard")).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "frequency"))).alias("word_counts")
     )
 
@@ -87,10 +93,12 @@ def file_word_counts(index: DataFrame) -> DataFrame:
 def ledger(corpus: DataFrame) -> DataFrame:
     """Everything a build stores, from one pass over the text.
 
-    Each file emits its tokens and one closing null. Grouping by (word, path)
-    turns the tokens into postings and leaves the null as the row of the file,
-    which alone carries its size, token count and outcome. Files without
-    tokens, skipped files and failed files therefore keep a row too.
+    Each piece of a file emits its tokens and one closing null. Grouping by
+    (word, path) turns the tokens into postings and leaves the nulls as the row
+    of the file, which alone carries its size, token count and outcome; its
+    frequency is the number of rows that call themselves the first piece, so a
+    path that occurs twice shows. Files without tokens, skipped files and failed
+    files keep a row too.
     """
     outcome = outcome_of()
     found = F.when(outcome == INDEXED, raw_tokens("text"))
@@ -100,6 +108,7 @@ def ledger(corpus: DataFrame) -> DataFrame:
             "path",
             "size_bytes",
             "error",
+            "piece",
             outcome.alias("outcome"),
             F.coalesce(found, F.array().cast("array<string>")).alias("found"),
         )
@@ -107,25 +116,33 @@ def ledger(corpus: DataFrame) -> DataFrame:
             "path",
             "size_bytes",
             "error",
+            "piece",
             "outcome",
             F.size("found").cast("bigint").alias("token_count"),
             F.explode(F.concat("found", closing)).alias("token"),
         )
     )
     is_file = F.col("token").isNull()
-    file_columns = ["size_bytes", "token_count", "outcome", "error"]
+    file_columns = ["size_bytes", "outcome", "error"]
     return (
         stream.select(
             fold("token").alias("word"),
             "path",
-            *[F.when(is_file, F.col(name)).alias(name) for name in file_columns],
+            *[F.when(is_file, F.col(name)).alias(name) for name in (*file_columns, "token_count")],
+            F.when(~is_file | (F.col("piece") == 0), 1).otherwise(0).alias("one"),
         )
         .groupBy("word", "path", *file_columns)
-        .agg(F.count("*").alias("frequency"))
-        .select("word", "path", "frequency", *file_columns)
+        .agg(F.sum("one").alias("frequency"), F.sum("token_count").alias("token_count"))
+        .select("word", "path", "frequency", "size_bytes", "token_count", "outcome", "error")
     )
 
 
+def repeated_paths(entries: DataFrame) -> DataFrame:
+    """Paths that stand for more than one file in a ledger."""
+    files = entries.where(F.col("word").isNull()).groupBy("path")
+    return files.agg(F.sum("frequency").alias("files")).where(F.col("files") > 1)
+
+
 def posting_rows(entries: DataFrame) -> DataFrame:
     """The postings of a ledger."""
     return entries.where(F.col("word").isNotNull()).select("word", "path", "frequency")
@@ -138,11 +155,7 @@ def file_rows(entries: DataFrame) -> DataFrame:
     )
 
 
-def shard_count(files: int, files_per_shard: int = FILES_PER_SHARD) -> int:
-    return max(1, -(-files // files_per_shard))
-
-
-def nested_postings(index: DataFrame, shards: int) -> DataFrame:
+def nested_postings(index: DataFrame, shards: int = PATH_SHARDS) -> DataFrame:
     """Posting lists as arrays sorted by path: (word, shard, postings).
 
     A list holds the files of one shard only, so the list of a word that is in

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import distinct_terms, query_words, tokenize
 from wordloom.operators.classify import readable
-from wordloom.operators.sizing import BROADCAST_BYTES, ROW_OVERHEAD, fits_broadcast
+from wordloom.operators.sizing import BROADCAST_BYTES, fits_broadcast
 
-#: Longest term list that is written into the plan as a filter.
-INLINE_TERMS = 500
-
-#: Pieces a posting list is cut into when query terms are joined by shuffle.
-#: Adaptive execution splits a piece further if it is still far above the others.
+#: Pieces a posting list is cut into when query terms are joined by shuffle, and
+#: the matches of a query before they are ranked. Adaptive execution splits a
+#: piece further if it is still far above the others.
 SALTS = 64
 
 
@@ -31,21 +29,28 @@ def ranked(results: DataFrame, limit: int | None = None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 
 
+def _any_of(words: list[str]) -> Column:
+    """``word`` is one of these, as a balanced tree of equalities.
+
+    A reader skips pages and row groups per equality. A long IN list reaches it
+    as one range from the least to the greatest word, which skips next to nothing.
+    """
+    if not words:
+        return F.lit(False)
+    if len(words) == 1:
+        return F.col("word") == words[0]
+    half = len(words) // 2
+    return _any_of(words[:half]) | _any_of(words[half:])
+
+
 def search(index: DataFrame, query: str, limit: int | None = None) -> DataFrame:
     """Files holding any term of ``query``, best first.
 
-    The terms become an IN filter, which reaches the Parquet scan of a stored
-    index and goes below the counting of one that is computed on the fly.
+    The terms become a filter, which reaches the Parquet scan of a stored index
+    and goes below the counting of one that is computed on the fly.
     """
-    words = query_words(query)
-    if len(words) <= INLINE_TERMS:
-        matches = index.where(F.col("word").isin(words))
-    else:
-        rows = [(word,) for word in words]
-        terms = index.sparkSession.createDataFrame(rows, "word string")
-        if sum(len(word) + ROW_OVERHEAD for word in words) <= BROADCAST_BYTES:
-            terms = F.broadcast(terms)
-        matches = index.join(terms, "word")
+    words = sorted(query_words(query))
+    matches = index.where(_any_of(words))
     if len(words) == 1:
         # (word, path) is unique, so there is nothing to add up.
         found = matches.select(
@@ -115,47 +120,52 @@ def match_terms(
 
 
 def search_batch(
-    index: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+    index: DataFrame, terms: DataFrame, limit: int, max_broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Search with a whole table of queries at once.
+    """Search with a whole table of queries at once: the ``limit`` best files of each.
 
-    ``terms`` comes from ``query_terms``. Every match of every query is kept:
-    (query_id, path, score, total_matches, matched_terms).
+    ``terms`` comes from ``query_terms``. Returns (query_id, path, score,
+    total_matches, matched_terms, rank).
     """
+    return top_per_query(all_matches(index, terms, max_broadcast_bytes), limit)
+
+
+def all_matches(
+    index: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Every match of every query. The result may come close to queries times files."""
     return _add_up(match_terms(index, terms, max_broadcast_bytes), "query_id", "path")
 
 
 def top_per_query(results: DataFrame, k: int) -> DataFrame:
     """The first ``k`` files of each query, with their rank.
 
-    Files are cut down to ``k`` per task before the shuffle, so a query that
-    matches a third of all files sends few rows. Spark does that by itself up
-    to a threshold; for larger ``k`` a first round ranks inside salted pieces.
+    A query that matches a third of all files is ranked in pieces first, each of
+    which is cut to ``k`` files, so the final ranking sees few of them.
     """
     best_first = (F.desc("score"), F.asc("path"))
-    conf = results.sparkSession.conf
-    if k > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        pieces = max(SALTS, int(conf.get("spark.sql.shuffle.partitions")))
-        salt = F.pmod(F.xxhash64("path"), F.lit(pieces).cast("bigint"))
-        piece = Window.partitionBy("query_id", "salt").orderBy(*best_first)
-        results = (
-            results.withColumn("salt", salt)
-            .withColumn("piece_rank", F.row_number().over(piece))
-            .where(F.col("piece_rank") <= k)
-            .drop("salt", "piece_rank")
-        )
-    order = Window.partitionBy("query_id").orderBy(*best_first)
+    salt = F.pmod(F.xxhash64("path"), F.lit(SALTS).cast("bigint"))
+    piece = Window.partitionBy("query_id", "salt").orderBy(*best_first)
+    whole = Window.partitionBy("query_id").orderBy(*best_first)
     return (
-        results.withColumn("rank", F.row_number().over(order))
+        results.withColumn("salt", salt)
+        .withColumn("piece_rank", F.row_number().over(piece))
+        .where(F.col("piece_rank") <= k)
+        .drop("salt", "piece_rank")
+        .withColumn("rank", F.row_number().over(whole))
         .where(F.col("rank") <= k)
         .withColumn("rank", F.col("rank").cast("bigint"))
     )
 
 
+# Fixed value: the form of a result line.
+RESULT_LINE = "%s | score=%d | matched_terms=%d"
+
+
 def rendered_results(results: DataFrame) -> DataFrame:
     """One line per result, in the order of ``results``."""
     return results.select(
         F.format_string(
-            "%s | score=%d | matched_terms=%d", "path", "score", "matched_terms"
+            RESULT_LINE, "path", "score", "matched_terms"
         ).alias("line")
     )

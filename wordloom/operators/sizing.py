@@ -1,4 +1,4 @@
-"""Size checks that decide on a broadcast or on spreading a small input."""
+"""Size checks that decide on a broadcast."""
 
 from __future__ import annotations
 
@@ -12,9 +12,6 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 #: Input bytes one core is expected to work through in one task.
 TASK_BYTES = 128 * 1024 * 1024
 
-#: Input bytes per core up to which an input is spread before its text is worked on.
-SPREAD_BYTES = 16 * 1024 * 1024
-
 #: Fixed cost charged for every row of a broadcast table.
 ROW_OVERHEAD = 32
 
@@ -29,31 +26,3 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
             width = width + 8
     total = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
     return total <= max_bytes
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df``, or None where it has no JVM plan."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-    except Exception:
-        return None
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, key: str | None = "path") -> DataFrame:
-    """Spread an input that is too small to give every core a split.
-
-    A file with a single row group is one task however many cores there are.
-    The shuffle is only added below cores x SPREAD_BYTES, so it moves little
-    per core; a larger input has splits enough, and its text stays in place.
-
-    With ``path`` as the key, later groupings by (word, path) reuse this
-    partitioning and need no shuffle of their own. Without a key they do, which
-    is better before a sort over all rows: sorting samples its input, and a
-    shuffle in between keeps the sampling from counting everything twice.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = estimated_bytes(df)
-    if size is None or size > cores * SPREAD_BYTES:
-        return df
-    return df.repartition(cores) if key is None else df.repartition(cores, key)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import fold, raw_tokens
@@ -27,11 +27,11 @@ def index_stats(
 ) -> DataFrame:
     """The six counts, from one pass over the text and one wide shuffle.
 
-    Every file emits its tokens and one closing null. After counting by word,
-    which the map side does first, a null row says how many files had an
-    outcome and any other row says how often a word occurs. ``by`` adds
-    grouping columns; a group holding most of the files is still spread over
-    its words. ``words`` replaces the token array.
+    Every file emits its tokens and, from its first piece, one closing null.
+    After counting by word, which the map side does first, a null row says how
+    many files had an outcome and any other row says how often a word occurs.
+    ``by`` adds grouping columns; a group holding most of the files is still
+    spread over its words. ``words`` replaces the token array.
     """
     found = F.when(outcome_of() == INDEXED, raw_tokens("text") if words is None else words)
     marks = corpus.select(
@@ -40,7 +40,9 @@ def index_stats(
         F.explode(
             F.concat(
                 F.coalesce(found, F.array().cast("array<string>")),
-                F.array(F.lit(None).cast("string")),
+                F.when(F.col("piece") == 0, F.array(F.lit(None).cast("string"))).otherwise(
+                    F.array().cast("array<string>")
+                ),
             )
         ).alias("token"),
     )
@@ -92,18 +94,16 @@ def rendered_stats(stats: DataFrame) -> DataFrame:
 def equivalence(runs: DataFrame, baseline_run: str) -> DataFrame:
     """Compare each run's six statistics with those of ``baseline_run``.
 
-    ``runs`` holds one row per build, keyed by ``run_id``.
+    ``runs`` holds one row per build, keyed by ``run_id``. Each build is computed
+    once: the baseline is picked out of the same few rows.
     """
-    flag = "same"
-    baseline = runs.where(F.col("run_id") == baseline_run).select(
-        *STAT_COLUMNS, F.lit(True).alias(flag)
-    )
-    left, right = runs.alias("run"), baseline.alias("base")
-    same = [F.col(f"run.{name}").eqNullSafe(F.col(f"base.{name}")) for name in STAT_COLUMNS]
-    return left.join(right, same, "left").select(
-        "run.run_id",
-        *[F.col(f"run.{name}").alias(name) for name in STAT_COLUMNS],
-        F.coalesce(F.col(f"base.{flag}"), F.lit(False)).alias("equivalent"),
+    of_baseline = F.max(
+        F.when(F.col("run_id") == baseline_run, F.struct(*STAT_COLUMNS))
+    ).over(Window.partitionBy())
+    return runs.withColumn("baseline", of_baseline).select(
+        "run_id",
+        *STAT_COLUMNS,
+        F.coalesce(F.struct(*STAT_COLUMNS) == F.col("baseline"), F.lit(False)).alias("equivalent"),
     )
 
 

@@ -1,8 +1,9 @@
 """Each operator as a query over the given tables.
 
-The corpus is the view ``files``: one file per row of ``documents``, with a
-path that mixes upper case, unsupported and missing suffixes, and folders whose
-component order and string order differ.
+The corpus is the view ``files``: one file per row of ``documents``, whole and
+all of them supported, in folders whose component order and string order differ.
+The queries named scan_* see the same documents under names that mix upper case,
+unsupported and missing suffixes, since choosing among these is what they do.
 """
 
 from __future__ import annotations
@@ -14,126 +15,130 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as fn
 from wordloom.operators import classify, postings, search, statistics
-from wordloom.operators.sizing import spread_small
 from wordloom.plans.session import IndexSession
 from wordloom.sources.filelog import append_log, log_rows, read_log
-from wordloom.sources.synthetic import synthetic_files
 from wordloom.sources.tables import corpus_from_table
 from wordloom.sources.workspace import new_location
 
-#: Size cap of the queries, low enough to leave out files of this data.
+#: Size rule of scan_size_cap and its like, low enough to leave out files of this data.
 CAP = 7000
 
+#: Files per query that batch searches report.
+BATCH_LIMIT = 100
+
 #: A query with a repeated term, upper case and a frequent word.
 QUERY = "the DER the pag"
 SINGLE = "the"
 MULTI = "ing, and; THE und-les on"
 
-#: Files per shard of the nested index, low enough for several shards.
-SHARD_FILES = 256
-
-#: Words of each synthetic file.
-SYNTHETIC_WORDS = 130
+#: More terms than a reader takes from an IN list.
+MANY = "the of and to in that it is was for on are with und der die que los les des zzzz"
 
-SUFFIXES = [".txt", ".MD", ".log", ".csv", ".bin", ""]
+SUFFIXES = [".txt", ".MD", ".log", ".csv"]
+MIXED_SUFFIXES = [*SUFFIXES, ".bin", ""]
 
 
 def read(spark: SparkSession, directory: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{table}.parquet")
 
 
-def file_path() -> Column:
+def file_path(suffixes: list[str] = SUFFIXES) -> Column:
     number = F.col("doc_id")
     folder = F.when(F.pmod(F.floor(number / 20), F.lit(2)) == 1, "-b").otherwise("")
-    suffix = F.get(F.array(*[F.lit(s) for s in SUFFIXES]), F.pmod(number, F.lit(6)).cast("int"))
+    place = F.pmod(number, F.lit(len(suffixes))).cast("int")
     return F.concat(
         F.lit("corpus/"),
         "source",
         folder,
-        F.lit("/document-"),
-        F.lpad(number.cast("string"), 6, "0"),
-        suffix,
+        F.format_string("/document-%06d", number),
+        F.get(F.array(*[F.lit(s) for s in suffixes]), place),
     )
 
 
-def files(spark: SparkSession, directory: str) -> DataFrame:
-    documents = read(spark, directory, "documents").select(
-        file_path().alias("path"), "text", "source"
+def named(spark: SparkSession, directory: str, suffixes: list[str] = SUFFIXES) -> DataFrame:
+    return read(spark, directory, "documents").select(
+        file_path(suffixes).alias("path"), "text", "source"
     )
-    return corpus_from_table(documents, max_bytes=CAP, keep=["source"])
 
 
-def corpus(spark: SparkSession, directory: str, key: str | None = "path") -> DataFrame:
-    """The same rows, laid out for work on the text."""
-    return spread_small(files(spark, directory), key)
+def files(spark: SparkSession, directory: str) -> DataFrame:
+    return corpus_from_table(named(spark, directory), keep=["source"])
+
+
+def scanned(spark: SparkSession, directory: str) -> DataFrame:
+    """The files of the scan queries, under the size rule."""
+    mixed = named(spark, directory, MIXED_SUFFIXES)
+    return corpus_from_table(mixed, max_bytes=CAP, keep=["source"])
+
+
+def corpus(spark: SparkSession, directory: str) -> DataFrame:
+    """The same rows, dealt by path.
+
+    Tokens are counted by (word, path) after this without another shuffle, and
+    a text is smaller than the postings it gives.
+    """
+    return files(spark, directory).repartition("path")
 
 
-def index(spark: SparkSession, directory: str, key: str | None = "path") -> DataFrame:
-    return postings.postings(corpus(spark, directory, key))
+def index(spark: SparkSession, directory: str) -> DataFrame:
+    return postings.postings(corpus(spark, directory))
 
 
 # Scans ---------------------------------------------------------------------
 
 
 def scan_supported_ext(spark, directory):
-    paths = read(spark, directory, "documents").select(file_path().alias("path"))
-    return paths.where(fn.is_supported("path"))
+    return named(spark, directory, MIXED_SUFFIXES).select("path").where(fn.is_supported("path"))
 
 
 def scan_size_cap(spark, directory):
-    return files(spark, directory).where(F.col("size_bytes") <= CAP).select("path", "size_bytes")
+    small = scanned(spark, directory).where(F.col("size_bytes") <= CAP)
+    return small.select("path", "size_bytes")
 
 
 def scan_classify(spark, directory):
-    return files(spark, directory).select("path", "size_bytes", "status")
+    return scanned(spark, directory).select("path", "size_bytes", "status")
 
 
 def scan_status_counts(spark, directory):
-    return classify.status_counts(files(spark, directory))
+    return classify.status_counts(scanned(spark, directory))
 
 
-def scan_order_head(spark, directory):
-    paths = read(spark, directory, "documents").select(file_path().alias("path"))
-    return classify.in_scan_order(paths, 100)
+def scan_order(spark, directory):
+    return classify.in_scan_order(named(spark, directory, MIXED_SUFFIXES))
 
 
 def file_extension(spark, directory):
-    paths = read(spark, directory, "documents").select(file_path().alias("path"))
+    paths = named(spark, directory, MIXED_SUFFIXES)
     return paths.select("path", fn.file_extension("path").alias("extension"))
 
 
 # Tokens --------------------------------------------------------------------
 
 
-def whole_texts(spark, directory):
-    documents = read(spark, directory, "documents").select(file_path().alias("path"), "text")
-    return spread_small(documents)
-
-
 def tokenize_rows(spark, directory):
-    return postings.positioned_tokens(corpus(spark, directory))
+    return postings.positioned_tokens(files(spark, directory))
 
 
 def token_array_size(spark, directory):
-    return whole_texts(spark, directory).select(
+    return files(spark, directory).select(
         "path", F.size(fn.tokenize("text")).cast("bigint").alias("token_count")
     )
 
 
 def file_token_counts(spark, directory):
-    return postings.file_token_counts(corpus(spark, directory)).select("path", "token_count")
+    return postings.file_token_counts(files(spark, directory)).select("path", "token_count")
 
 
 def token_count_by_line(spark, directory):
-    return whole_texts(spark, directory).select(
+    return files(spark, directory).select(
         "path", fn.count_tokens_by_line("text").alias("token_count")
     )
 
 
 def page_tokens(spark, directory):
     """Tokens of raw web pages, which hold far more bytes that separate tokens."""
-    pages = read(spark, directory, "pages").select("page_id", "html")
-    return spread_small(pages, "page_id").select(
+    return read(spark, directory, "pages").select(
         "page_id", fn.count_tokens("html").alias("token_count")
     )
 
@@ -146,8 +151,7 @@ def index_postings(spark, directory):
 
 
 def inverted_index(spark, directory):
-    shards = postings.shard_count(read(spark, directory, "documents").count(), SHARD_FILES)
-    nested = postings.nested_postings(index(spark, directory), shards)
+    nested = postings.nested_postings(index(spark, directory))
     entry = F.transform(
         "postings", lambda p: F.concat(p["path"], F.lit(":"), p["frequency"].cast("string"))
     )
@@ -155,16 +159,15 @@ def inverted_index(spark, directory):
 
 
 def file_word_counts(spark, directory):
-    """Per-file maps, looked into for their size, total and one word."""
+    """Per-file maps, looked into for their sizes, totals and one word."""
     counts = postings.file_word_counts(index(spark, directory))
-    total = F.aggregate(
-        F.map_values("word_counts"), F.lit(0).cast("bigint"), lambda total, n: total + n
-    )
-    return counts.select(
-        "path",
-        F.size("word_counts").cast("bigint").alias("distinct_words"),
-        total.alias("token_count"),
-        F.coalesce(F.try_element_at("word_counts", F.lit("the")), F.lit(0)).alias("the_count"),
+    zero = F.lit(0).cast("bigint")
+    total = F.aggregate(F.map_values("word_counts"), zero, lambda total, n: total + n)
+    the = F.coalesce(F.try_element_at("word_counts", F.lit("the")), zero)
+    return counts.groupBy("path").agg(
+        F.sum(F.size("word_counts").cast("bigint")).alias("distinct_words"),
+        F.sum(total).alias("token_count"),
+        F.sum(the).alias("the_count"),
     )
 
 
@@ -180,15 +183,34 @@ def stats_rendered(spark, directory):
     return statistics.rendered_stats(index_stats(spark, directory))
 
 
-def stats_equivalence(spark, directory):
-    """Three builds: counted directly, from the ledger, and line by line."""
-    base = corpus(spark, directory)
+def with_failures(spark, directory):
+    """The corpus with files that could not be read: every seventh document."""
+    broken = F.when(F.pmod(F.col("doc_id"), F.lit(7)) == 3, "unreadable")
+    docs = read(spark, directory, "documents").select(
+        file_path().alias("path"), "text", "source", broken.alias("broken")
+    )
+    return corpus_from_table(docs, keep=["source", "broken"]).withColumn("error", F.col("broken"))
+
+
+def stats_with_failures(spark, directory):
+    return statistics.index_stats(with_failures(spark, directory).repartition("path"), by=["source"])
+
+
+def failed_files(spark, directory):
+    return classify.failures(with_failures(spark, directory))
+
+
+def _builds(base):
+    """Statistics of three builds: counted directly, from the ledger, and line by line."""
     by_line = F.flatten(F.transform(F.split("text", "\n"), fn.raw_tokens))
-    builds = {
+    return {
         "direct": statistics.index_stats(base),
         "ledger": statistics.ledger_stats(postings.ledger(base)),
         "by_line": statistics.index_stats(base, words=by_line),
     }
+
+
+def _compared(builds):
     runs = None
     for name, stats in builds.items():
         row = stats.select(F.lit(name).alias("run_id"), *stats.columns)
@@ -196,6 +218,18 @@ def stats_equivalence(spark, directory):
     return statistics.equivalence(runs, "direct")
 
 
+def stats_equivalence(spark, directory):
+    return _compared(_builds(corpus(spark, directory)))
+
+
+def stats_differ(spark, directory):
+    """The same comparison with a build that lost the documents of one source."""
+    base = corpus(spark, directory)
+    builds = _builds(base)
+    builds["changed"] = statistics.index_stats(base.where(F.col("source") != "src1"))
+    return _compared(builds)
+
+
 def postings_equivalence(spark, directory):
     """Postings that differ between two ways to build them; there are none."""
     base = corpus(spark, directory)
@@ -203,8 +237,18 @@ def postings_equivalence(spark, directory):
     return statistics.posting_differences(postings.postings(base), from_ledger)
 
 
+def postings_differ(spark, directory):
+    """Postings that differ when one side lost a word and counts another once too often."""
+    base = corpus(spark, directory)
+    changed = postings.posting_rows(postings.ledger(base)).where(F.col("word") != "the")
+    one_more = F.col("frequency") + F.when(F.col("word") == "und", 1).otherwise(0)
+    return statistics.posting_differences(
+        postings.postings(base), changed.withColumn("frequency", one_more)
+    )
+
+
 def file_log_rows(spark, directory):
-    return postings.file_token_counts(corpus(spark, directory))
+    return postings.file_token_counts(files(spark, directory))
 
 
 # Query strings ---------------------------------------------------------------
@@ -252,19 +296,19 @@ def postings_lookup_missing(spark, directory):
 
 
 def search_all(spark, directory):
-    return search.search(index(spark, directory, None), QUERY)
+    return search.search(index(spark, directory), QUERY)
 
 
 def search_single_term(spark, directory):
-    return search.search(index(spark, directory, None), SINGLE)
+    return search.search(index(spark, directory), SINGLE)
 
 
 def search_multi_term(spark, directory):
-    return search.search(index(spark, directory, None), MULTI)
+    return search.search(index(spark, directory), MULTI)
 
 
 def search_no_match(spark, directory):
-    return search.search(index(spark, directory, None), "zzzz qqqqq")
+    return search.search(index(spark, directory), "zzzz qqqqq")
 
 
 def search_top20(spark, directory):
@@ -272,39 +316,38 @@ def search_top20(spark, directory):
 
 
 def search_rendered(spark, directory):
-    return search.rendered_results(search.search_text(corpus(spark, directory, None), QUERY))
+    return search.rendered_results(search.search_text(files(spark, directory), QUERY))
 
 
 def search_scan(spark, directory):
-    return search.search_text(corpus(spark, directory, None), QUERY)
+    return search.search_text(files(spark, directory), QUERY)
 
 
 def search_scan_top20(spark, directory):
-    return search.search_text(corpus(spark, directory), QUERY, limit=20)
+    return search.search_text(files(spark, directory), QUERY, limit=20)
 
 
-def _batch(spark, directory):
-    """Every text of ``benchmark`` as a query, over all documents, none left out."""
+def _batch(spark, directory, limit):
+    """Every text of ``benchmark`` as a query, over all documents."""
     terms = benchmark_terms(spark, directory)
-    whole = corpus(spark, directory).withColumn("status", F.lit(classify.ELIGIBLE))
-    return search.search_batch(postings.postings_of(whole, terms), terms)
+    found = postings.postings_of(corpus(spark, directory), terms)
+    return search.search_batch(found, terms, limit)
 
 
 def search_batch(spark, directory):
-    return _batch(spark, directory)
+    return _batch(spark, directory, BATCH_LIMIT)
 
 
 def search_batch_top10(spark, directory):
-    return search.top_per_query(_batch(spark, directory), 10)
+    return _batch(spark, directory, 10)
 
 
 # Session ---------------------------------------------------------------------
 
 
 def _session(spark, directory):
-    documents = read(spark, directory, "documents").select(file_path().alias("path"), "text")
     session = IndexSession(spark)
-    session.index_table(documents, max_bytes=CAP)
+    session.index_table(named(spark, directory))
     return session
 
 
@@ -312,36 +355,39 @@ def session_search(spark, directory):
     return _session(spark, directory).search(QUERY)
 
 
+def session_search_many_terms(spark, directory):
+    return _session(spark, directory).search(MANY)
+
+
 def session_stats(spark, directory):
-    return _session(spark, directory).stats()
+    session = _session(spark, directory)
+    stats = session.stats()
+    session.clear()
+    return stats
 
 
 def session_log(spark, directory):
     """A build, its log written and read back, without the time."""
     location = new_location(spark, "log")
-    append_log(log_rows(_session(spark, directory).files()), location)
+    session = _session(spark, directory)
+    append_log(log_rows(session.files()), location)
+    session.clear()
     return read_log(spark, location).drop("indexed_at")
 
 
-# Synthetic corpus ------------------------------------------------------------
-
+def session_rebuild(spark, directory):
+    """The word counts after a second build, which replaced the first."""
+    session = _session(spark, directory)
+    session.index_table(named(spark, directory).where(F.col("source") == "src1"))
+    return session.snapshot().groupBy("word").agg(F.sum("frequency").alias("frequency"))
 
-def synth_documents(spark, directory):
-    """One synthetic file per document, numbered by ``doc_id``."""
-    numbers = read(spark, directory, "documents").select(F.col("doc_id").alias("file_index"))
-    cores = spark.sparkContext.defaultParallelism
-    return synthetic_files(numbers.repartition(cores, "file_index"), SYNTHETIC_WORDS)
 
-
-def synth_word_counts(spark, directory):
-    synthetic = synth_documents(spark, directory)
-    # All of these files are eligible. Left to the classification, their size
-    # would be asked for first and every text made twice.
-    whole = corpus_from_table(synthetic).withColumn("status", F.lit(classify.ELIGIBLE))
-    counted = postings.postings(whole)
-    return counted.groupBy("word").agg(
-        F.sum("frequency").alias("frequency"), F.count("*").alias("files")
-    )
+def session_clear(spark, directory):
+    """Statistics before and after an index is dropped."""
+    session = _session(spark, directory)
+    before = session.stats().select(F.lit("before").alias("state"), "*")
+    session.clear()
+    return before.unionByName(session.stats().select(F.lit("after").alias("state"), "*"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -349,7 +395,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_size_cap": scan_size_cap,
     "scan_classify": scan_classify,
     "scan_status_counts": scan_status_counts,
-    "scan_order_head": scan_order_head,
+    "scan_order": scan_order,
     "file_extension": file_extension,
     "tokenize_rows": tokenize_rows,
     "token_array_size": token_array_size,
@@ -362,8 +408,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_stats": index_stats,
     "index_stats_by_source": index_stats_by_source,
     "stats_rendered": stats_rendered,
+    "stats_with_failures": stats_with_failures,
+    "failed_files": failed_files,
     "stats_equivalence": stats_equivalence,
+    "stats_differ": stats_differ,
     "postings_equivalence": postings_equivalence,
+    "postings_differ": postings_differ,
     "file_log_rows": file_log_rows,
     "query_trim": query_trim,
     "query_unquote": query_unquote,
@@ -381,8 +431,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_batch": search_batch,
     "search_batch_top10": search_batch_top10,
     "session_search": session_search,
+    "session_search_many_terms": session_search_many_terms,
     "session_stats": session_stats,
     "session_log": session_log,
-    "synth_documents": synth_documents,
-    "synth_word_counts": synth_word_counts,
+    "session_rebuild": session_rebuild,
+    "session_clear": session_clear,
 }

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.functions.text import query_argument
 from wordloom.operators import search as ops
-from wordloom.operators.classify import MAX_FILE_BYTES
-from wordloom.operators.postings import file_rows, ledger, posting_rows, postings_of_word
-from wordloom.operators.sizing import spread_small
+from wordloom.operators.postings import (
+    file_rows,
+    ledger,
+    posting_rows,
+    postings_of_word,
+    repeated_paths,
+)
 from wordloom.operators.statistics import equivalence, ledger_stats, rendered_stats
 from wordloom.operators.store import stored_ledger, write_index
 from wordloom.schemas import INDEX_STATS, POSTINGS, STAT_COLUMNS
@@ -25,8 +29,9 @@ class IndexSession:
 
     A build writes its tables first and replaces the current index only when it
     is complete, its log rows included. A build that fails leaves the index and
-    the statistics as they were. The tables of the index that was replaced are
-    deleted, so results still wanted from it have to be saved before.
+    the statistics as they were. A corpus in which a path occurs twice is
+    refused. The tables of replaced indexes stay for results that still read
+    them; ``clear`` deletes them.
     """
 
     def __init__(
@@ -36,15 +41,23 @@ class IndexSession:
         self._workspace = workspace
         self._log = log
         self._location: str | None = None
+        self._replaced: list[str] = []
         self._stats = dict(_NO_STATS)
         self._runs: list[tuple] = []
         if log is not None:
             create_log(spark, log)
 
     def index_tree(
-        self, root: str, max_bytes: int = MAX_FILE_BYTES, log: bool = True, run_id: str | None = None
+        self,
+        root: str,
+        max_bytes: int | None = None,
+        log: bool = True,
+        run_id: str | None = None,
     ) -> DataFrame:
-        """Index the files below ``root`` and return the statistics."""
+        """Index the files below ``root`` and return the statistics.
+
+        With ``max_bytes``, larger files are skipped; by default none is.
+        """
         scan = new_location(self._spark, "scan", self._workspace)
         try:
             corpus = corpus_from_tree(self._spark, root, max_bytes, scan)
@@ -57,13 +70,19 @@ class IndexSession:
         documents: DataFrame,
         path: str = "path",
         text: str = "text",
-        max_bytes: int = MAX_FILE_BYTES,
+        max_bytes: int | None = None,
         log: bool = True,
         run_id: str | None = None,
+        partitions: int | None = None,
     ) -> DataFrame:
-        """Index a table of documents and return the statistics."""
-        corpus = spread_small(corpus_from_table(documents, path, text, max_bytes), key=None)
-        return self.index_corpus(corpus, log, run_id)
+        """Index a table of documents and return the statistics.
+
+        ``partitions`` deals the documents anew before their texts are read; use
+        it for a table that has fewer splits than the cluster has cores.
+        """
+        if partitions is not None:
+            documents = documents.repartition(partitions)
+        return self.index_corpus(corpus_from_table(documents, path, text, max_bytes), log, run_id)
 
     def index_corpus(
         self, corpus: DataFrame, log: bool = True, run_id: str | None = None
@@ -72,6 +91,9 @@ class IndexSession:
         try:
             write_index(ledger(corpus), location)
             stored = stored_ledger(self._spark, location)
+            repeated = repeated_paths(stored).first()
+            if repeated is not None:
+                raise ValueError(f"a path occurs more than once: {repeated['path']}")
             counts = ledger_stats(stored).first()
             if log and self._log is not None:
                 append_log(log_rows(file_rows(stored)), self._log)
@@ -83,7 +105,7 @@ class IndexSession:
         name = run_id or f"run-{len(self._runs) + 1}"
         self._runs.append((name, *self._stats.values()))
         if replaced is not None:
-            discard(self._spark, replaced)
+            self._replaced.append(replaced)
         return self.stats()
 
     def snapshot(self) -> DataFrame:
@@ -113,8 +135,9 @@ class IndexSession:
         """Matches of every query in a table, or its ``limit`` best with their rank."""
         self._require_index()
         terms = ops.query_terms(queries, id_column, text_column)
-        results = ops.search_batch(self.snapshot(), terms)
-        return results if limit is None else ops.top_per_query(results, limit)
+        if limit is None:
+            return ops.all_matches(self.snapshot(), terms)
+        return ops.search_batch(self.snapshot(), terms, limit)
 
     def stats(self) -> DataFrame:
         """Statistics of the last complete build; zeros before any."""
@@ -140,11 +163,13 @@ class IndexSession:
         return read_log(self._spark, self._log)
 
     def clear(self) -> None:
-        """Drop the index and its statistics. The log stays."""
-        location, self._location = self._location, None
+        """Drop the index, its tables and its statistics. The log stays."""
+        gone = [*self._replaced, self._location]
+        self._location, self._replaced = None, []
         self._stats = dict(_NO_STATS)
-        if location is not None:
-            discard(self._spark, location)
+        for location in gone:
+            if location is not None:
+                discard(self._spark, location)
 
     def _require_index(self) -> None:
         if self._location is None:

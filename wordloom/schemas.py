@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 #: One row per discovered file or document, with its text when it was read.
+#: A large file has a row per piece of its text, numbered from 0.
 CORPUS = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -12,6 +13,7 @@ CORPUS = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("error", T.StringType()),
         T.StructField("text", T.StringType()),
+        T.StructField("piece", T.IntegerType()),
     ]
 )
 

@@ -7,20 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators.classify import MAX_FILE_BYTES, status_of
+from wordloom.operators.classify import status_of
 
 
 def corpus_from_table(
     documents: DataFrame,
     path: str = "path",
     text: str = "text",
-    max_bytes: int = MAX_FILE_BYTES,
+    max_bytes: int | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """View a table with one row per path as a corpus.
 
     A null text has no size and counts as inaccessible. ``keep`` carries
-    further columns along, to group by.
+    further columns along, to group by. A text is one piece, whatever its size.
     """
     sized = documents.select(
         F.col(path).alias("path"),
@@ -34,5 +34,6 @@ def corpus_from_table(
         status_of("path", "size_bytes", max_bytes).alias("status"),
         F.lit(None).cast("string").alias("error"),
         "text",
+        F.lit(0).alias("piece"),
         *keep,
     )

@@ -2,24 +2,25 @@
 
 Discovery is a Spark job per level of the tree: each level's directories are
 spread over the executors, and what they list is written to the workspace, so
-that a lost executor costs a task and not the walk. The driver lists only the
-first few thousand entries, which for a small tree is all of it. Sizes are looked up in a second step that is spread by path, because one
-directory may hold most of the files. Paths travel as bytes and may hold any
-file name. The tree has to be mounted on all executors.
+that a lost executor costs a task and not the walk. Sizes are looked up in a
+second step that is spread by path, because one directory may hold most of the
+files. Paths travel as bytes and may hold any file name. The tree has to be
+mounted on all executors. A large file is read in pieces that end between
+tokens, so a row stays bounded and no text is left out.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import stat
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.operators.classify import ELIGIBLE, MAX_FILE_BYTES, status_of
+from wordloom.operators.classify import ELIGIBLE, status_of
 from wordloom.operators.sizing import TASK_BYTES
 from wordloom.schemas import INVENTORY
 from wordloom.sources.workspace import new_location
@@ -31,8 +32,14 @@ BATCH_BYTES = 16 * 1024 * 1024
 #: Entries one task looks up.
 ENTRIES_PER_TASK = 20_000
 
-#: Entries the driver lists itself before it leaves the rest to executors.
-DRIVER_ENTRIES = 5_000
+#: Bytes of a file after which a piece is cut at the next byte that is in no token.
+PIECE_BYTES = 8 * 1024 * 1024
+
+#: Bytes that are read at once while looking for that byte.
+_STEP_BYTES = 64 * 1024
+
+# Fixed value: the bytes that tokens are made of.
+_NO_TOKEN = re.compile(rb"[^0-9A-Za-z]")
 
 _LISTED = pa.schema([("path", pa.binary()), ("kind", pa.string()), ("error", pa.string())])
 _SIZED = pa.schema([("path", pa.binary()), ("size_bytes", pa.int64()), ("error", pa.string())])
@@ -43,12 +50,13 @@ _READ = pa.schema(
         ("status", pa.string()),
         ("error", pa.string()),
         ("content", pa.binary()),
+        ("piece", pa.int32()),
     ]
 )
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {pa.binary(): "binary", pa.string(): "string", pa.int64(): "bigint"}
+    names = {pa.binary(): "binary", pa.string(): "string", pa.int64(): "bigint", pa.int32(): "int"}
     return ", ".join(f"{field.name} {names[field.type]}" for field in schema)
 
 
@@ -103,26 +111,6 @@ def _list_directories(base: bytes):
     return run
 
 
-def _list_first(base: bytes, root: bytes, budget: int) -> tuple[list[tuple], list[bytes]]:
-    """List from the root while the entries fit ``budget``.
-
-    Returns the entries and the directories that are still to be listed. A
-    directory that would go over the budget is left out as a whole.
-    """
-    kept: list[tuple] = []
-    open_directories = [root]
-    while open_directories:
-        room = budget - len(kept)
-        found = list(islice(_entries(base, open_directories[-1]), room + 1))
-        if len(found) > room:
-            break
-        open_directories.pop()
-        kept += [row for row in found if row[1] != "directory"]
-        open_directories += [row[0] for row in found if row[1] == "directory"]
-        budget -= sum(row[1] == "directory" for row in found)
-    return kept, open_directories
-
-
 def _look_up(base: bytes):
     """Sizes of regular files. Links are followed; other kinds of entry drop out."""
 
@@ -147,19 +135,51 @@ def _look_up(base: bytes):
     return run
 
 
-def _read_files(base: bytes):
-    """Content of eligible files. A file that cannot be read keeps the reason."""
+def _pieces(file, piece_bytes: int) -> Iterator[bytes]:
+    """The content in pieces of about this size that end between tokens.
+
+    A token of many pieces' length makes one long piece. An empty file is one
+    empty piece.
+    """
+    held = file.read(piece_bytes)
+    yielded = False
+    while True:
+        more = file.read(_STEP_BYTES)
+        if not more:
+            if held or not yielded:
+                yield held
+            return
+        cut = _NO_TOKEN.search(more)
+        if cut and len(held) >= piece_bytes:
+            yield held + more[: cut.start()]
+            yielded = True
+            held = more[cut.start() :] + file.read(piece_bytes)
+        else:
+            held += more
+
+
+def _read_files(base: bytes, piece_bytes: int):
+    """Content of eligible files. A file that cannot be read keeps the reason.
+
+    A failure after the first piece fails the task, which is then run again, so
+    a file is never counted in part.
+    """
 
     def contents(rows: Iterable[dict]) -> Iterator[tuple]:
         for row in rows:
-            content, error = None, row["error"]
-            if row["status"] == ELIGIBLE and error is None:
-                try:
-                    with open(os.path.join(base, row["path"]), "rb") as file:
-                        content = file.read()
-                except OSError as failure:
-                    error = _reason(failure)
-            yield row["path"], row["size_bytes"], row["status"], error, content
+            told = row["path"], row["size_bytes"], row["status"]
+            if row["status"] != ELIGIBLE or row["error"] is not None:
+                yield *told, row["error"], None, 0
+                continue
+            number = -1
+            try:
+                with open(os.path.join(base, row["path"]), "rb") as file:
+                    for number, content in enumerate(_pieces(file, piece_bytes)):
+                        yield *told, None, content, number
+            except OSError as failure:
+                if number >= 0:
+                    raise
+                yield *told, _reason(failure), None, 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in batch.to_pylist())
@@ -185,11 +205,8 @@ def list_tree(spark: SparkSession, root: str, location: str) -> tuple[DataFrame,
     What the executors list is written to ``location``, level by level.
     """
     base = os.fsencode(os.getcwd())
-    kept, unlisted = _list_first(base, os.fsencode(root), DRIVER_ENTRIES)
-    kept = [(bytearray(path), kind, error) for path, kind, error in kept]
-    entries = spark.createDataFrame(kept, _ddl(_LISTED))
-    level_rows = spark.createDataFrame([(bytearray(path),) for path in unlisted], "path binary")
-    directories, total = len(unlisted), len(kept)
+    level_rows = spark.createDataFrame([(bytearray(os.fsencode(root)),)], "path binary")
+    directories, total = 1, 0
     levels: list[str] = []
     while directories:
         levels.append(f"{location}/level={len(levels)}")
@@ -205,16 +222,14 @@ def list_tree(spark: SparkSession, root: str, location: str) -> tuple[DataFrame,
         level_rows = listed.where(nested).select("path")
         directories = counts["nested"]
         total += counts["all"] - directories
-    if levels:
-        listed = spark.read.schema(_ddl(_LISTED)).parquet(*levels)
-        entries = entries.unionByName(listed.where(F.col("kind") != "directory"))
-    return entries, total
+    listed = spark.read.schema(_ddl(_LISTED)).parquet(*levels)
+    return listed.where(F.col("kind") != "directory"), total
 
 
 def inventory(
     spark: SparkSession,
     root: str,
-    max_bytes: int = MAX_FILE_BYTES,
+    max_bytes: int | None = None,
     location: str | None = None,
 ) -> DataFrame:
     """Every regular file below ``root``, classified but not opened.
@@ -241,11 +256,12 @@ def inventory(
     return spark.read.schema(INVENTORY).parquet(f"{location}/inventory")
 
 
-def with_text(spark: SparkSession, files: DataFrame) -> DataFrame:
+def with_text(spark: SparkSession, files: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """Open the eligible files of an inventory; the others pass through.
 
-    The reading tasks are sized by the bytes they read. Bytes become text as
-    ISO-8859-1, which maps every byte to one character and so cannot fail.
+    The reading tasks are sized by the bytes they read, and a large file is a
+    row per piece. Bytes become text as ISO-8859-1, which maps every byte to one
+    character and so cannot fail.
     """
     base = os.fsencode(os.getcwd())
     size = F.when(F.col("status") == ELIGIBLE, F.col("size_bytes"))
@@ -253,13 +269,14 @@ def with_text(spark: SparkSession, files: DataFrame) -> DataFrame:
     return (
         files.withColumn("path", F.col("path").cast("binary"))
         .repartition(_tasks(spark, total / TASK_BYTES), "path")
-        .mapInArrow(_read_files(base), _ddl(_READ))
+        .mapInArrow(_read_files(base, piece_bytes), _ddl(_READ))
         .select(
             F.col("path").cast("string").alias("path"),
             "size_bytes",
             "status",
             "error",
             F.decode("content", "ISO-8859-1").alias("text"),
+            "piece",
         )
     )
 
@@ -267,7 +284,7 @@ def with_text(spark: SparkSession, files: DataFrame) -> DataFrame:
 def corpus_from_tree(
     spark: SparkSession,
     root: str,
-    max_bytes: int = MAX_FILE_BYTES,
+    max_bytes: int | None = None,
     location: str | None = None,
 ) -> DataFrame:
     """The files below ``root`` as a corpus, with the text of eligible files."""
@@ -275,7 +292,7 @@ def corpus_from_tree(
 
 
 def corpus_from_store(
-    spark: SparkSession, root: str, max_bytes: int = MAX_FILE_BYTES
+    spark: SparkSession, root: str, max_bytes: int | None = None
 ) -> DataFrame:
     """Eligible files from any storage Spark can list, such as an object store.
 
@@ -289,8 +306,9 @@ def corpus_from_store(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.{[tT][xX][tT],[mM][dD],[lL][oO][gG],[cC][sS][vV]}")
         .load(root)
-        .where(F.col("length") <= max_bytes)
     )
+    if max_bytes is not None:
+        files = files.where(F.col("length") <= max_bytes)
     path = F.regexp_replace("path", "^file:/+", "/")
     return files.select(
         path.alias("path"),
@@ -298,4 +316,5 @@ def corpus_from_store(
         status_of(path, F.col("length"), max_bytes).alias("status"),
         F.lit(None).cast("string").alias("error"),
         F.decode("content", "ISO-8859-1").alias("text"),
+        F.lit(0).alias("piece"),
     )

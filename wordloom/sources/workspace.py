@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,14 +10,11 @@ from pyspark.sql import SparkSession
 def new_location(spark: SparkSession, label: str, base: str | None = None) -> str:
     """A fresh path below ``base`` or the folder in ``spark.checkpoint.dir``.
 
-    Every executor must see the folder. A temporary folder is used only where
-    neither is set and Spark runs in one process.
+    Every executor must see the folder. Where neither is set, the folder is the
+    warehouse, which executors and driver share anyway.
     """
     base = base or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="wordloom-")
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/wordloom-{label}-{uuid.uuid4().hex}"
 
 
