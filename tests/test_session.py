@@ -19,12 +19,12 @@ def results(df, root):
 def test_sample_files(spark, sample_tree, tmp_path):
     session = IndexSession(spark, log=str(tmp_path / "log"))
     stats = session.index_tree(str(sample_tree))
-    assert rows(stats) == [(2, 2, 0, 0, 46, 47)]
+    assert rows(stats) == [(2, 2, 0, 0, 43, 49)]
     expected = {
         "concurrency thread": [("notes.txt", 1, 1)],
-        "the": [("notes.txt", 1, 1), ("readme.md", 1, 1)],
-        "the THE The": [("notes.txt", 1, 1), ("readme.md", 1, 1)],
-        "the path files": [("readme.md", 3, 3), ("notes.txt", 1, 1)],
+        "the": [("notes.txt", 2, 1), ("readme.md", 1, 1)],
+        "the THE The": [("notes.txt", 2, 1), ("readme.md", 1, 1)],
+        "the path files": [("readme.md", 3, 3), ("notes.txt", 2, 1)],
         "file": [("notes.txt", 1, 1)],
         "!!!": [],
         "absent": [],
@@ -33,11 +33,11 @@ def test_sample_files(spark, sample_tree, tmp_path):
         assert results(session.search(query), sample_tree) == found
     logged = {(r["path"], r["size_bytes"], r["token_count"]) for r in session.log().collect()}
     assert logged == {
-        (f"{sample_tree}/notes.txt", 142, 22), (f"{sample_tree}/readme.md", 171, 25),
+        (f"{sample_tree}/notes.txt", 140, 25), (f"{sample_tree}/readme.md", 130, 24),
     }
     assert rows(session.postings("nothing")) == []
     assert rows(session.postings("tie")) == [("tie", f"{sample_tree}/readme.md", 1)]
-    assert dict(rows(session.stats_lines()))["Total tokens"] == 47
+    assert dict(rows(session.stats_lines()))["Total tokens"] == 49
 
 
 def test_rebuild_replaces_the_index_and_the_log_grows(spark, tmp_path):
