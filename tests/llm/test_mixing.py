@@ -1,0 +1,76 @@
+from collections import defaultdict
+
+import pytest
+from helpers import awkward, awkward_rows, empty
+
+from wordloom.llm import mixing
+
+
+def water_level(sizes, weights=(5, 2, 1), most=3):
+    """Targets by repeated sharing, source by source."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {name: weights[at % len(weights)] for at, name in enumerate(names)}
+    full = {}
+    while True:
+        rest = sum(sizes.values()) - sum(full.values())
+        total = sum(weight[name] for name in names if name not in full)
+        share = {name: rest * weight[name] / total for name in names if name not in full}
+        over = [name for name, value in share.items() if value > most * sizes[name]]
+        if not over:
+            return {**full, **share}
+        full |= {name: most * sizes[name] for name in over}
+
+
+def check(rows, found):
+    sizes = defaultdict(int)
+    for _, text, _, source, _ in rows:
+        sizes[source] += len((text or "").split())
+    goal = water_level(sizes)
+    assert len(found) == len(rows)
+    taken = defaultdict(int)
+    source_of = {(row[0], len((row[1] or "").split())): row[3] for row in rows}
+    for row in found:
+        source = source_of[row["doc_id"], row["size"]]
+        assert row["source_size"] == sizes[source]
+        assert row["target"] == pytest.approx(goal[source], abs=1e-6)
+        assert 0 <= row["taken"] <= 3 * row["size"]
+        taken[source] += row["taken"]
+    for source, words in taken.items():
+        # Rows that share an id are cut alike, which may cost a word each.
+        assert abs(words - goal[source]) <= 2
+
+
+def test_awkward_rows_meet_their_targets(spark):
+    docs = awkward(spark, ["size", "key", "target", "of", "cut", "rest"])
+    check(awkward_rows(), mixing.mix(docs).collect())
+
+
+def test_small_sources_stop_at_three_times_their_size(spark):
+    rows = [(n, "a b c", None, "big", 1) for n in range(200)] + [(900, "x y", None, "aaa", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = mixing.mix(docs).collect()
+    assert [row["taken"] for row in found if row["doc_id"] == 900] == [6]
+    check(rows, found)
+
+
+def test_a_hot_source_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 20)
+    rows = [(n, "w " * (n % 9), None, "hot" if n % 3 else f"s{n % 7}", 1) for n in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    first = mixing.mix(docs).collect()
+    check(rows, first)
+    again = mixing.mix(docs.repartition(5)).collect()
+    assert sorted(map(tuple, first)) == sorted(map(tuple, again))
+
+
+def test_mixed_documents_hold_the_words_that_are_taken(spark):
+    docs = awkward(spark, ["of", "last", "row", "copy", "in_part"])
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    words = sum(len((row["text"] or "").split()) for row in mixed.collect())
+    assert words == sum(row["taken"] for row in mixing.mix(docs).collect())
+
+
+def test_empty_table(spark):
+    assert mixing.mix(empty(spark)).collect() == []
+    assert mixing.mixed_documents(empty(spark)).collect() == []

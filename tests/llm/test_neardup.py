@@ -1,0 +1,121 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from helpers import awkward, awkward_rows, empty, fold
+
+from wordloom.llm import neardup
+from wordloom.llm.superminhash import band_keys, shingle_set, signatures
+
+
+def shingles(text, words):
+    found = fold(text).split()
+    width = min(words, len(found))
+    return frozenset(tuple(found[at : at + width]) for at in range(len(found) - width + 1)) if found else frozenset()
+
+
+def brute_force(rows, words, percent=80):
+    """(id, set size, smallest id of the group) of each row, from all pairs."""
+    sets = [shingles(text, words) for _, text in rows]
+    group = list(range(len(rows)))
+
+    def root(at):
+        while group[at] != at:
+            at = group[at]
+        return at
+
+    holders = defaultdict(list)
+    for at, one in enumerate(sets):
+        for shingle in one:
+            holders[shingle].append(at)
+    for at, one in enumerate(sets):
+        for other, shared in Counter(o for s in one for o in holders[s] if o < at).items():
+            if 100 * shared >= percent * len(one | sets[other]):
+                group[root(at)] = root(other)
+    members = defaultdict(list)
+    for at, (doc_id, _) in enumerate(rows):
+        members[root(at)].append(doc_id)
+    least = {at: min((i for i in ids if i is not None), default=None) for at, ids in members.items()}
+    return sorted(
+        ((doc_id, len(sets[at]), least[root(at)]) for at, (doc_id, _) in enumerate(rows)), key=repr
+    )
+
+
+def found(spark, rows, words):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = neardup.near_duplicates(docs, words).collect()
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out), key=repr)
+
+
+def near_copies(count, words, changes, seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{n}" for n in range(500)]
+    base = [rng.choice(vocabulary) for _ in range(words)]
+    for _ in range(count):
+        copy = list(base)
+        for _ in range(rng.randint(0, changes)):
+            copy[rng.randrange(words)] = rng.choice(vocabulary)
+        yield " ".join(copy)
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_groups_equal_all_pairs(spark, words, monkeypatch):
+    monkeypatch.setattr(neardup, "CHUNK_SHINGLES", 500)
+    monkeypatch.setattr(neardup, "CHUNK_PROBES", 8)
+    texts = [*near_copies(120, 60, 5, 1), *near_copies(40, 30, 3, 2), *near_copies(30, 200, 30, 3)]
+    texts += [texts[0]] * 30 + [texts[5].upper()] * 3
+    rows = list(enumerate(texts, 100))
+    assert found(spark, rows, words) == brute_force(rows, words)
+
+
+def test_awkward_rows(spark):
+    rows = [(row[0], row[1]) for row in awkward_rows()]
+    rows += [(60, "One"), (61, "one"), (62, "one two"), (63, "ONE\ttwo"), (None, "one two")]
+    assert found(spark, rows, 2) == brute_force(rows, 2)
+
+
+def test_stage_keeps_one_of_each_group(spark):
+    docs = awkward(spark, ["component_id", "row_key", "node", "stays"])
+    kept = neardup.deduplicated(docs)
+    assert kept.columns == docs.columns
+    # 6 repeats 1, and one of the two rows 7 goes.
+    assert sorted(row["doc_id"] or 0 for row in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 7, 9, 10, 11]
+    assert neardup.deduplicated(empty(spark)).collect() == []
+
+
+def test_components_of_long_chains(spark):
+    links = [(f"n{n:03d}", f"n{n + 1:03d}") for n in range(60)] + [("z1", "z2"), ("z2", "z1"), ("q", "q")]
+    random.Random(4).shuffle(links)
+    pairs = [(bytearray(a.encode()), bytearray(b.encode())) for a, b in links]
+    df = spark.createDataFrame(pairs, "a binary, b binary").repartition(6)
+    groups = {bytes(r["node"]).decode(): bytes(r["comp"]).decode() for r in neardup.components(df).collect()}
+    assert groups == {**{f"n{n:03d}": "n000" for n in range(1, 61)}, "z2": "z1"}
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(3)
+    for shared in (0.2, 0.5, 0.8):
+        errors = []
+        for _ in range(30):
+            pool = rng.integers(0, 2**63, 400).astype(np.uint64)
+            both = int(400 * shared)
+            rest = (400 - both) // 2
+            one, other = np.sort(pool[: both + rest]), np.sort(np.concatenate([pool[:both], pool[both + rest :]]))
+            a, b = signatures([one, other], 181)
+            errors.append((a == b).mean() - both / 400)
+        assert abs(np.mean(errors)) < 0.02
+
+
+def test_signatures_do_not_depend_on_company():
+    sets = [shingle_set(text, 2) for text in ("a b c d", "", "a", "x y z " * 50)]
+    together = signatures(sets, 181)
+    for at, one in enumerate(sets):
+        assert (signatures([one], 181)[0] == together[at]).all()
+    assert np.isinf(together[1]).all() and np.isfinite(together[2]).all()
+    assert band_keys(together, 36, 5).shape == (4, 36)
+
+
+def test_banding_misses_less_than_one_in_a_million():
+    assert (1 - 0.8**neardup.DEPTH) ** neardup.BANDS < 1e-6
+    assert neardup.BANDS * neardup.DEPTH <= neardup.SIGNATURE

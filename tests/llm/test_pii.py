@@ -1,0 +1,104 @@
+import re
+
+from helpers import awkward, awkward_rows, empty
+
+from wordloom.llm import pii
+
+
+def plain(text):
+    """Base spans by the plain patterns."""
+    text, found = text or "", []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append(("email", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            found.append(("ip", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(d) for d in re.sub("[^0-9]", "", m[0])][::-1]
+        total = sum(d if at % 2 == 0 else d * 2 - 9 * (d > 4) for at, d in enumerate(digits))
+        if 13 <= len(digits) <= 19 and total % 10 == 0:
+            found.append(("card", m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            found.append(("phone", m.start(), m.end()))
+    return found
+
+
+HARD = [
+    "a@b.c%d@e.f x.y@z _@-.-.. 1.2.3.4.5.6.7.8 999.1.1.1 000.01.1.255",
+    "4111 1111 1111 1111 x41111111 11111111 4111-1111-1111-11114 4111  1111 1111 1111",
+    "+49 (30) 123-456-789. é+1 22 333 4444 ++123456789012 +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6",
+    "😀 a@b.co " * 200,
+    "1 " * 3000,
+    "4111111111111111 " * 300 + "9" * 20_000,
+    "a.b-c@d-e.f.g@h.i+1@j.k ....@... @ @.@",
+]
+
+
+def spans(df):
+    return {row["doc_id"]: [tuple(span)[:3] for span in row["spans"]] for row in df.collect()}
+
+
+def base(found):
+    return [span for span in found if span[0] in ("email", "ip", "card", "phone")]
+
+
+def test_base_spans_equal_the_plain_patterns(spark):
+    docs = spark.createDataFrame(list(enumerate(HARD)), "doc_id bigint, text string")
+    found = spans(pii.find_pii(docs))
+    for at, text in enumerate(HARD):
+        assert base(found[at]) == plain(text)
+
+
+def test_awkward_rows(spark):
+    rows = awkward_rows()
+    found = pii.find_pii(awkward(spark, ["spans", "body", "email", "kind"])).collect()
+    assert len(found) == len(rows)
+    got = sorted((row["doc_id"] or 0, base([tuple(s)[:3] for s in row["spans"]])) for row in found)
+    assert got == sorted((row[0] or 0, plain(row[1])) for row in rows)
+    assert pii.find_pii(empty(spark)).collect() == []
+
+
+def test_own_kinds_need_their_checksum_or_context(spark):
+    texts = [
+        "iban DE89 3704 0044 0532 0130 00 ok",
+        "iban DE88 3704 0044 0532 0130 00 ok",
+        "my ssn is 123-45-6789",
+        "part number 123-45-6789",
+    ]
+    found = spans(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")))
+    assert [span[0] for span in found[0]] == ["iban"]
+    assert found[1] == [] and found[3] == []
+    assert found[2] == [("ssn", 10, 21)]
+
+
+def test_context_moves_the_score(spark):
+    texts = ["call +49 30 1234567 now", "say +49 30 1234567 now"]
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    with_context, without = (row["spans"][0]["score"] for row in sorted(rows))
+    assert with_context > without
+
+
+def test_running_sums_over_many_blocks(spark):
+    from pyspark.sql import functions as F
+
+    row = spark.range(1).select(
+        pii._running_sums(F.sequence(F.lit(1).cast("bigint"), F.lit(1000).cast("bigint"))).alias("s"),
+        pii._running_sums(F.array().cast("array<bigint>")).alias("none"),
+    ).first()
+    assert row["s"] == [n * (n + 1) // 2 for n in range(1, 1001)] and row["none"] == []
+
+
+def test_redaction_keeps_rows_columns_and_other_text(spark):
+    docs = awkward(spark, ["spans", "row"])
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    texts = {row["doc_id"]: row["text"] for row in out.collect() if row["doc_id"]}
+    assert texts[11] == "emoji 😀 call [PHONE] or [IP] today"
+    assert texts[2] is None and texts[3] == "" and "4111" not in texts[5]
+
+
+def test_plan_has_no_python_and_no_exchange(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    plan = pii.find_pii(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
