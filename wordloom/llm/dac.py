@@ -54,7 +54,7 @@ def _pack(values: np.ndarray, width: int) -> bytes:
 def encode(ids: np.ndarray, widths: list[int] | None = None) -> bytes:
     """All numbers as one block of bytes."""
     ids = np.asarray(ids, np.uint32)
-    if widths is None:
+    if widths is None or not len(ids):
         widths = best_widths(ids) if len(ids) else []
     parts = [_HEAD.pack(MAGIC, len(widths), len(ids))]
     rest = ids

@@ -24,7 +24,9 @@ from wordloom.llm.scratch import kept, lookup, shared_folder
 from wordloom.llm.tokens import encoder
 
 #: Tokens after which a shard is closed. A longer document stays whole.
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
+#: Chunk widths of the codes: whole bytes, which are written and read fastest.
+WIDTHS = {2: [8, 8], 4: [8, 8, 8, 8]}
 SUFFIX = ".dac"
 MAGIC = b"WTOK"
 _HEAD = struct.Struct("<4sQ")
@@ -55,7 +57,7 @@ def pack_shard(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
             np.array([0 if one is None else one for one in doc_ids], "<i8").tobytes(),
             np.array([one is None for one in doc_ids], np.uint8).tobytes(),
             ends.astype("<i8").tobytes(),
-            dac.encode(np.concatenate(ids) if ids else np.empty(0, np.uint32)),
+            dac.encode(np.concatenate(ids), WIDTHS[ids[0].itemsize]) if ids else dac.encode(np.empty(0)),
         )
     )
 
@@ -116,7 +118,8 @@ def _shard_writer(folder: str, vocabulary: str, end_id: int | None, shard_tokens
         if doc_ids:
             close()
         if rows:
-            columns = [pa.array(list(column), kind) for column, kind in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64()))]
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            columns = [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["part", "shard", "documents", "tokens"])
 
     return write

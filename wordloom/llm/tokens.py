@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words whose ids a worker keeps, about 200 bytes each.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 450_000
 #: Texts that are looked up together before the tokenizer is asked.
 _GROUP = 64
 
@@ -69,20 +69,24 @@ class Encoder:
         known = self._words.get
         pieces: list[list[str]] = []
         values: list[list[bytes | None]] = []
+        gaps: list[list[int]] = []
         new: set[str] = set()
         openings: set[str] = set()
         for text in texts:
             parts = text.split(" ")
             found = list(map(known, parts))
-            if None in found[1:]:
-                # New words, or blanks in a row: cut only before words.
+            missing = [at for at, ids in enumerate(found) if ids is None and at]
+            if not all(parts[at] and not parts[at][0].isspace() for at in missing):
+                # Blanks in a row: cut only before words.
                 parts = _BEFORE_WORD.split(text)
                 found = list(map(known, parts))
-                new.update(part for part, ids in zip(parts[1:], found[1:]) if ids is None)
+                missing = [at for at, ids in enumerate(found) if ids is None and at]
+            new.update([parts[at] for at in missing])
             if parts[0] not in self._openings:
                 openings.add(parts[0])
             pieces.append(parts)
             values.append(found)
+            gaps.append(missing)
         met: dict[str, bytes] = {}
         if new:
             words = list(new)
@@ -91,15 +95,15 @@ class Encoder:
                 self._words.update(met)
         if openings:
             words = list(openings)
-            if len(self._openings) + len(words) > self._kept_words // 4:
+            if len(self._openings) + len(words) > self._kept_words // 16:
                 self._openings.clear()
                 words = list({parts[0] for parts in pieces})
             self._openings.update(zip(words, self._encode(words)))
         out = []
-        for parts, found in zip(pieces, values):
+        for parts, found, missing in zip(pieces, values, gaps):
             found[0] = self._openings[parts[0]]
-            if None in found:
-                found = [met[part] if ids is None else ids for part, ids in zip(parts, found)]
+            for at in missing:
+                found[at] = met[parts[at]]
             out.append(b"".join(found))
         return out
 
