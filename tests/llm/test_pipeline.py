@@ -2,7 +2,7 @@ import sys
 from collections import Counter
 
 import pytest
-from helpers import awkward, awkward_rows, prose
+from helpers import awkward, prose
 
 import corpus_pipeline
 from wordloom.llm import pii, queries

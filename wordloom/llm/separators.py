@@ -170,7 +170,8 @@ def count_tokens(
     block_bytes -= block_bytes % width
     sized = names.select("file").distinct().mapInArrow(_sizes(folder), _FILES).where("bytes > 0")
     last = F.floor((F.col("bytes") - 1) / block_bytes)
-    blocks = sized.select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("block")).select(
+    every_block = F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("block")
+    blocks = sized.select("file", "bytes", every_block).select(
         "file",
         "block",
         (F.col("block") * block_bytes).alias("offset"),
@@ -182,11 +183,18 @@ def count_tokens(
     )
     # The prefix scan: documents closed before a block, and where the last of them ended.
     order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # The end of a file takes the place of one more block, so that it gets its carry too.
+    ends = found.where("not closed").select(
+        "file",
+        (F.col("block") + 1).alias("block"),
+        F.lit(0).cast("bigint").alias("closings"),
+        F.lit(None).cast("bigint").alias("last_at"),
+    )
     carried = (
         found.where("closed")
         .groupBy("file", "block")
         .agg(F.count("*").alias("closings"), F.max("at").alias("last_at"))
-        .unionByName(found.where("not closed").select("file", (F.col("block") + 1).alias("block"), F.lit(0).cast("bigint").alias("closings"), F.lit(None).cast("bigint").alias("last_at")))
+        .unionByName(ends)
         .select(
             "file",
             "block",
@@ -200,7 +208,7 @@ def count_tokens(
         found.withColumn("previous", F.lag("at").over(inside))
         .withColumn("carry", tail)
         .join(carried.withColumnRenamed("block", "carry"), ["file", "carry"])
-        .withColumn("start", F.when(F.col("closed"), F.coalesce(F.col("previous") + 1, F.col("from"))).otherwise(F.col("from")))
+        .withColumn("start", F.coalesce(F.when(F.col("closed"), F.col("previous") + 1), F.col("from")))
     )
     place = F.when(F.col("closed"), F.col("before") + F.col("seen")).otherwise(F.col("before"))
     length = F.col("at") - F.col("start") + F.when(F.col("closed"), 1).otherwise(0)
