@@ -51,12 +51,12 @@ def test_nothing_to_learn_from(spark):
 
 
 def test_unseen_words_fall_back_to_shorter_grams():
-    counts = [("aa", 0, "known", 5), ("bb", 0, "other", 5), ("aa", 4, "abcd", 9), ("bb", 3, "xyz", 9), ("bb", 1, "q", 9)]
+    counts = [("aa", 0, "known", 5), ("bb", 0, "other", 5), ("aa", 4, "abcd", 9), ("bb", 4, "efgh", 9)]
+    counts += [("bb", 3, "xyz", 9), ("aa", 3, "uvw", 9), ("bb", 1, "q", 9), ("aa", 1, "r", 9)]
     model = language.Model.from_counts(counts)
     assert model.predict("known known")[0] == "aa"
-    assert model.predict("zzabcdzz")[0] == "aa"
-    assert model.predict("wxyzw")[0] == "bb"
-    assert model.predict("q")[0] == "bb"
+    assert model.predict("zzabcdzz")[0] == "aa" and model.predict("zzefghzz")[0] == "bb"
+    assert model.predict("wxyzw")[0] == "bb" and model.predict("q")[0] == "bb"
     assert model.word_scores("mmm").tolist() == [0, 0]
     again = language.Model.load(model.dump())
     assert again.langs == ["aa", "bb"] and again.predict("wxyzw")[0] == "bb"
