@@ -3,8 +3,8 @@
 Texts with equal shingle sets are one node from the start, so a group of copies
 is one row. Nodes that share a band are candidates:
 
-1. In every bucket all nodes are compared with one of them, the pivot, and the
-   links found are grouped.
+1. In every bucket all nodes are compared with one of them, the pivot, which is the
+   one that shares most with others, and the links found are grouped.
 2. Whatever two nodes of a bucket are still in different groups is settled group
    by group: a node of the smaller group is compared with all members of the
    larger one, which come in chunks of bounded size.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.scratch import kept, lookup
-from wordloom.llm.superminhash import band_keys, shingle_set, signatures
+from wordloom.llm.superminhash import band_keys, most_mismatches, shingle_set, signatures, sketches
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE_WORDS = 5
@@ -34,12 +34,17 @@ PERCENT = 80
 BANDS, DEPTH = 36, 5
 #: Length of a signature: the next prime.
 SIGNATURE = 181
+#: Bits of each value that travel with a candidate. They rule out pairs that are
+#: far from the similarity asked for; what is left is compared on full sets.
+PLANES = 4
+_WORDS = -(-BANDS * DEPTH // 64)
 #: Shingles of the group members that are compared in one go, and texts compared with them.
 CHUNK_SHINGLES, CHUNK_PROBES = 200_000, 512
-#: Most keys of 8 bytes that are sent to every executor; beyond that texts are shuffled.
-SENT_KEYS = 1_000_000
+#: Most rows of two numbers, and most places of texts in cells (some 60 bytes each),
+#: that are sent to every executor; beyond that texts are shuffled.
+SENT_KEYS, SENT_PLACES = 500_000, 300_000
 
-_SKETCH = "doc_id bigint, row_key bigint, n_shingles bigint, node binary, bands array<bigint>"
+_SKETCH = "doc_id bigint, row_key bigint, n_shingles bigint, node binary, bands array<bigint>, sketch array<bigint>"
 _SETS = "cell binary, role int, node binary, hashes binary"
 _LINKS = "a binary, b binary"
 
@@ -56,7 +61,9 @@ def _node(hashes: np.ndarray) -> bytes | None:
 def _sketcher(words: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(ids: list, keys: list, sets: list) -> pa.RecordBatch:
-            bands = band_keys(signatures(sets, SIGNATURE), BANDS, DEPTH).view(np.int64)
+            rows = signatures(sets, SIGNATURE)
+            bands = band_keys(rows, BANDS, DEPTH).view(np.int64)
+            sketch = sketches(rows, BANDS * DEPTH, PLANES)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -64,8 +71,9 @@ def _sketcher(words: int):
                     pa.array([len(one) for one in sets], pa.int64()),
                     pa.array([_node(one) for one in sets], pa.binary()),
                     pa.array([row if len(one) else None for row, one in zip(bands, sets)], pa.list_(pa.int64())),
+                    pa.array(list(sketch), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "row_key", "n_shingles", "node", "bands"],
+                ["doc_id", "row_key", "n_shingles", "node", "bands", "sketch"],
             )
 
         for batch in batches:
@@ -102,7 +110,12 @@ def _set_maker(words: int):
                         nodes.append(node)
                         hashes.append(one.tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells, pa.binary()), pa.array(roles, pa.int32()), pa.array(nodes, pa.binary()), pa.array(hashes, pa.binary())],
+                    [
+                        pa.array(cells, pa.binary()),
+                        pa.array(roles, pa.int32()),
+                        pa.array(nodes, pa.binary()),
+                        pa.array(hashes, pa.binary()),
+                    ],
                     ["cell", "role", "node", "hashes"],
                 )
 
@@ -163,9 +176,11 @@ def _links(docs: DataFrame, cells: DataFrame, words: int, percent: int) -> DataF
     wanted = kept(
         cells.groupBy("rep_key", "node").agg(F.collect_list(F.struct("cell", "role")).alias("cells"))
     )
+    places = wanted.agg(F.sum(F.size("cells")).alias("n")).first()["n"] or 0
+    sent = F.broadcast(wanted) if places <= SENT_PLACES else wanted
     texts = docs.select(row_key().alias("key"), "text")
     sets = (
-        texts.join(lookup(wanted, SENT_KEYS), F.col("key") == F.col("rep_key"))
+        texts.join(sent, F.col("key") == F.col("rep_key"))
         .select("cells", "node", "text")
         .mapInArrow(_set_maker(words), _SETS)
     )
@@ -216,12 +231,11 @@ def components(links: DataFrame) -> DataFrame:
             around.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         ).distinct()
         below = large.groupBy("a").agg(F.min("b").alias("m"))
+        hooked = F.array(
+            F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
+        )
         small = (
-            large.join(below, "a")
-            .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-            .select("e.*")
-            .where("a <> b")
-            .distinct()
+            large.join(below, "a").select(F.explode(hooked).alias("e")).select("e.*").where("a <> b").distinct()
         )
         edges = kept(small)
         # Done when every node hangs on one other and none of these hangs itself.
@@ -257,12 +271,14 @@ def near_duplicates(
     )
     nodes = kept(
         sketched.where("node is not null")
-        .groupBy("node", "n_shingles", "bands")
+        .groupBy("node", "n_shingles", "bands", "sketch")
         .agg(F.min("doc_id").alias("first_id"), F.min("row_key").alias("rep_key"))
     )
     banded = nodes.select("node", "n_shingles", "rep_key", F.explode("bands").alias("bucket"))
     shared = kept(banded.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1"))
     members = kept(banded.join(lookup(shared, SENT_KEYS).hint("shuffle_hash"), "bucket"))
+    reach = members.groupBy("node").agg(F.sum("rows").alias("reach"))
+    members = kept(members.join(reach.join(nodes.select("node", "sketch"), "node"), "node"))
     grouped = _grouped(docs, members, words, percent)
     named = (
         nodes.select("node", "first_id")
@@ -285,15 +301,38 @@ def _fits(one, other, percent: int):
     return F.least(one, other) * 100 >= F.greatest(one, other) * percent
 
 
+def _near(one, other, percent: int):
+    """Whether two sketches allow the similarity, but for a chance of one in ten million."""
+    differing = F.lit(0)
+    for word in range(_WORDS):
+        bits = F.lit(0).cast("bigint")
+        for plane in range(PLANES):
+            at = plane * _WORDS + word
+            bits = bits.bitwiseOR(F.get(one, F.lit(at)).bitwiseXOR(F.get(other, F.lit(at))))
+        differing = differing + F.bit_count(bits)
+    return differing <= most_mismatches(percent, BANDS * DEPTH, PLANES)
+
+
 def _grouped(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Groups (node, comp) of the nodes that share buckets."""
-    pivots = kept(members.groupBy("bucket").agg(F.min("node").alias("pivot")))
+    # The node that shares most is nearest to the middle of its group, so that most of
+    # the others link to it, and the same node serves many buckets.
+    best = F.max(F.struct("reach", "node")).alias("best")
+    pivots = kept(members.groupBy("bucket").agg(best).select("bucket", F.col("best.node").alias("pivot")))
     against = members.select(
-        "bucket", F.col("node").alias("pivot"), F.col("n_shingles").alias("pivot_n"), F.col("rep_key").alias("pivot_key")
+        "bucket",
+        F.col("node").alias("pivot"),
+        F.col("n_shingles").alias("pivot_n"),
+        F.col("rep_key").alias("pivot_key"),
+        F.col("sketch").alias("pivot_sketch"),
     ).join(pivots, ["bucket", "pivot"])
     pairs = (
         members.join(against, "bucket")
-        .where((F.col("node") != F.col("pivot")) & _fits(F.col("n_shingles"), F.col("pivot_n"), percent))
+        .where(
+            (F.col("node") != F.col("pivot"))
+            & _fits(F.col("n_shingles"), F.col("pivot_n"), percent)
+            & _near(F.col("sketch"), F.col("pivot_sketch"), percent)
+        )
         .select("pivot", "pivot_key", "node", "rep_key")
         .distinct()
     )
@@ -302,9 +341,10 @@ def _grouped(docs: DataFrame, members: DataFrame, words: int, percent: int) -> D
     dealt = pairs.join(salts, "pivot").withColumn(
         "cell", _named(F.col("pivot"), F.pmod(F.xxhash64("node"), F.col("salts")))
     )
-    cells = dealt.select("cell", F.lit(0).alias("role"), F.col("pivot").alias("node"), F.col("pivot_key").alias("rep_key")).distinct().unionByName(
-        dealt.select("cell", F.lit(1).alias("role"), "node", "rep_key")
+    in_pivots = dealt.select(
+        "cell", F.lit(0).alias("role"), F.col("pivot").alias("node"), F.col("pivot_key").alias("rep_key")
     )
+    cells = in_pivots.distinct().unionByName(dealt.select("cell", F.lit(1).alias("role"), "node", "rep_key"))
     first_links = _links(docs, cells, words, percent)
     comps = components(first_links)
     second_links = _across(docs, members, pivots, comps, words, percent)
@@ -319,7 +359,9 @@ def _grouped(docs: DataFrame, members: DataFrame, words: int, percent: int) -> D
         comps.join(joined, F.col("comp") == F.col("of"), "left")
         .select("node", F.coalesce("whole", "comp").alias("comp"))
         .unionByName(
-            joined.join(comps, F.col("of") == F.col("node"), "left_anti").select(F.col("of").alias("node"), F.col("whole").alias("comp"))
+            joined.join(comps, F.col("of") == F.col("node"), "left_anti").select(
+                F.col("of").alias("node"), F.col("whole").alias("comp")
+            )
         )
     )
 
@@ -334,7 +376,7 @@ def _across(
         .withColumn("comp", F.coalesce("comp", "node"))
         .join(pivots, "bucket")
         .where("node <> pivot")
-        .select("bucket", "node", "n_shingles", "rep_key", "comp")
+        .select("bucket", "node", "n_shingles", "rep_key", "sketch", "comp")
     )
     placed = kept(placed)
     everyone = (
@@ -355,15 +397,18 @@ def _across(
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one <> other")
     mixed = kept(mixed.select("bucket"))
     there = placed.join(mixed, "bucket")
-    present = there.select("bucket", "comp").distinct().join(groups, "comp")
+    # A group of one is ruled out by its sketch where possible, a larger one by sizes only.
+    present = (
+        there.groupBy("bucket", "comp").agg(F.max("sketch").alias("target_sketch")).join(groups, "comp")
+    )
     sized = there.join(groups.select("comp", F.col("size").alias("own_size")), "comp")
     targets = present.select(
-        "bucket", F.col("comp").alias("target"), "size", "least_n", "most_n", "chunks"
+        "bucket", F.col("comp").alias("target"), "size", "least_n", "most_n", "chunks", "target_sketch"
     )
     smaller = F.struct("own_size", "comp") < F.struct(F.col("size").alias("own_size"), F.col("target").alias("comp"))
     possible = (F.col("n_shingles") * percent <= F.col("most_n") * 100) & (
         F.col("least_n") * percent <= F.col("n_shingles") * 100
-    )
+    ) & ((F.col("size") > 1) | _near(F.col("sketch"), F.col("target_sketch"), percent))
     probes = kept(
         sized.join(targets, "bucket")
         .where(smaller & possible)

@@ -12,6 +12,8 @@ so it takes no memory.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import xxhash
 
@@ -83,3 +85,35 @@ def band_keys(rows: np.ndarray, bands: int, depth: int) -> np.ndarray:
     for at in range(depth):
         keys = mixed(keys * _M1 + values[:, :, at])
     return keys
+
+
+def sketches(rows: np.ndarray, count: int, planes: int) -> np.ndarray:
+    """The first ``count`` values of each signature as ``planes`` bits each, in words of 64.
+
+    Word p * w + k of a row holds bit p of the values 64 * k to 64 * k + 63, w
+    being the words of a plane.
+    """
+    codes = mixed(rows[:, :count].copy().view(np.uint64))
+    width = -(-count // 64) * 64
+    out = []
+    for plane in range(planes):
+        bits = np.zeros((len(rows), width), np.uint8)
+        bits[:, :count] = codes >> np.uint64(plane) & np.uint64(1)
+        out.append(np.packbits(bits, axis=1, bitorder="little").view(np.int64))
+    return np.concatenate(out, axis=1)
+
+
+def most_mismatches(percent: int, count: int, planes: int, risk: float = 1e-7) -> int:
+    """Differing values up to which two sketches may belong to sets of this similarity.
+
+    Sets that are similar enough differ in more values with a probability of
+    ``risk`` at most.
+    """
+    differ = (1 - percent / 100) * (1 - 2.0**-planes)
+    tail, most = 0.0, count
+    while most > 0:
+        tail += math.comb(count, most) * differ**most * (1 - differ) ** (count - most)
+        if tail > risk:
+            return most
+        most -= 1
+    return 0
