@@ -54,9 +54,7 @@ class Shard:
         rest = np.append(np.cumsum(bound[order][::-1])[::-1], 0.0)
         lowest = floor.sum()
         # The fewest leading terms whose followers cannot reach the threshold alone.
-        essential = int(np.searchsorted(-rest, -(threshold - lowest), side="right"))
-        if essential > len(order):
-            return np.empty(0, np.int64), np.empty(0)
+        essential = min(len(order), int(np.searchsorted(-rest, -(threshold - lowest), side="right")))
         lead = order[:essential]
         score = query[lead] @ self.postings[lead] + floor[order[essential:]].sum()
         alive = np.flatnonzero(score + rest[essential] >= threshold)
