@@ -80,10 +80,13 @@ def test_shard_search_loses_nothing():
     for _ in range(40):
         query = np.floor(rng.standard_normal(24) * 20)
         scores = rows @ query
-        for threshold in (-np.inf, np.sort(scores)[-10], scores.max(), scores.max() + 1):
-            places, got = shard.search(query, threshold)
+        thresholds = np.array([-np.inf, np.sort(scores)[-10], scores.max(), scores.max() + 1])
+        found = shard.search(np.tile(query, (4, 1)), thresholds)
+        for threshold, (places, got) in zip(thresholds, found):
             assert places.tolist() == np.flatnonzero(scores >= threshold).tolist()
             assert (got == scores[places]).all()
+    zero = np.zeros((1, 24))
+    assert len(next(shard.search(zero, np.zeros(1)))[0]) == 300
 
 
 @pytest.mark.parametrize("rows,size", [(made(30, 4, 2) + awkward(), 4), (made(12, 4, 5, 400), 4), (made(1, 3, 1), 3)])

@@ -31,6 +31,8 @@ SCALE = 64
 ANCHOR_ROWS = 2_000
 #: Vectors of a shard, and queries that search it in one go.
 SHARD_ROWS, GROUP_QUERIES = 4_096, 4_096
+#: Queries of one product with the essential postings.
+PRODUCT_QUERIES = 128
 #: Non-essential terms that are probed between two cuts.
 PROBE_TERMS = 4
 
@@ -45,26 +47,36 @@ class Shard:
         self.postings = np.ascontiguousarray(rows.T)
         self.least, self.most = rows.min(axis=0), rows.max(axis=0)
 
-    def search(self, query: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of all documents that score ``threshold`` or more."""
-        ends = np.stack([query * self.least, query * self.most])
-        floor, bound = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
-        order = np.argsort(-bound, kind="stable")
-        # rest[i]: what the terms from the i-th on can add together, and floors[i] at least.
-        rest = np.append(np.cumsum(bound[order][::-1])[::-1], 0.0)
-        lowest = floor.sum()
+    def search(self, queries: np.ndarray, thresholds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query, places and scores of all documents that score its threshold or more."""
+        ends = np.stack([queries * self.least, queries * self.most])
+        floors, bounds = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
+        orders = np.argsort(-bounds, axis=1, kind="stable")
+        # rests[q, i]: what the terms of query q from the i-th on can add together.
+        sorted_bounds = np.take_along_axis(bounds, orders, axis=1)
+        rests = np.zeros((len(queries), bounds.shape[1] + 1))
+        rests[:, :-1] = np.cumsum(sorted_bounds[:, ::-1], axis=1)[:, ::-1]
+        needed = thresholds - floors.sum(axis=1)
         # The fewest leading terms whose followers cannot reach the threshold alone.
-        essential = min(len(order), int(np.searchsorted(-rest, -(threshold - lowest), side="right")))
-        lead = order[:essential]
-        score = query[lead] @ self.postings[lead] + floor[order[essential:]].sum()
-        alive = np.flatnonzero(score + rest[essential] >= threshold)
+        essential = np.minimum((rests >= needed[:, None]).sum(axis=1), bounds.shape[1])
+        leading = np.zeros(bounds.shape, bool)
+        np.put_along_axis(leading, orders, np.arange(bounds.shape[1]) < essential[:, None], axis=1)
+        # The postings of the essential terms, for all queries in one product.
+        traversed = np.where(leading, queries, 0) @ self.postings + np.where(leading, 0, floors).sum(axis=1)[:, None]
+        for query, floor, order, rest, first, score, threshold in zip(
+            queries, floors, orders, rests, essential.tolist(), traversed, thresholds
+        ):
+            yield self._probe(query, floor, order, rest, first, score, threshold)
+
+    def _probe(self, query, floor, order, rest, first, score, threshold) -> tuple[np.ndarray, np.ndarray]:
+        """Probe the non-essential terms, largest bound first, where the threshold can still be reached."""
+        alive = np.flatnonzero(score + rest[first] >= threshold)
         score = score[alive]
-        for at in range(essential, len(order), PROBE_TERMS):
+        for at in range(first, len(order), PROBE_TERMS):
             if not len(alive):
                 break
             terms = order[at : at + PROBE_TERMS]
-            part = self.postings[terms[:, None], alive] if len(alive) < self.postings.shape[1] else self.postings[terms]
-            score += query[terms] @ part - floor[terms].sum()
+            score += query[terms] @ self.postings[terms[:, None], alive] - floor[terms].sum()
             good = score + rest[min(at + PROBE_TERMS, len(order))] >= threshold
             if not good.all():
                 alive, score = alive[good], score[good]
@@ -124,8 +136,12 @@ def _searcher(k: int):
                 all_ids, owners = expanded(ids)
                 starts = np.searchsorted(owners, np.arange(len(ids) + 1))
             out: list[list] = [[], [], []]
-            for own, vector in zip(their_ids, vectors):
-                places, scores = shard.search(vector[:-1], vector[-1])
+            answers = (
+                answer
+                for at in range(0, len(vectors), PRODUCT_QUERIES)
+                for answer in shard.search(vectors[at : at + PRODUCT_QUERIES, :-1], vectors[at : at + PRODUCT_QUERIES, -1])
+            )
+            for own, (places, scores) in zip(their_ids, answers):
                 if not len(places):
                     continue
                 counts = starts[places + 1] - starts[places]
