@@ -12,14 +12,13 @@ from __future__ import annotations
 import io
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.scratch import kept, lookup, shared_folder
+from wordloom.llm.scratch import kept, lookup, resident, shared_folder
 from wordloom.llm.token_files import store, write_whole
 from wordloom.llm.vectors import best_rows, expanded, matrix, query_rows, segments, valid_vectors, without_copies
 
@@ -99,11 +98,13 @@ class Index:
         return cls(found["turn"], found["centers"], found["anchors"], ids)
 
 
-@lru_cache(maxsize=2)
 def _loaded(location: str) -> Index:
-    files, path = store(location)
-    with files.open_input_file(path) as file:
-        return Index.load(file.read())
+    def load() -> Index:
+        files, path = store(location)
+        with files.open_input_file(path) as file:
+            return Index.load(file.read())
+
+    return resident(("vectors", location), load)
 
 
 def fit(distinct: DataFrame, size: int, k: int) -> tuple[Index, int]:

@@ -11,14 +11,13 @@ import io
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.scratch import shared_folder
+from wordloom.llm.scratch import resident, shared_folder
 from wordloom.llm.token_files import store, write_whole
 
 #: Labelled documents of each language that the model is fitted on, about. This
@@ -29,7 +28,7 @@ KNOWN_WORDS = 20_000
 #: Most frequent n-grams of a language, by length.
 KNOWN_GRAMS = {4: 12_000, 3: 6_000, 2: 2_000, 1: 500}
 #: Words whose scores a worker keeps.
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 150_000
 #: Longest stretch of a word that n-grams are taken from.
 _GRAM_SPAN = 64
 
@@ -203,11 +202,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     return Model.from_counts([tuple(row) for row in best.select("lang", "size", "gram", "n").collect()])
 
 
-@lru_cache(maxsize=2)
 def _loaded(location: str) -> Model:
-    files, path = store(location)
-    with files.open_input_file(path) as file:
-        return Model.load(file.read())
+    def load() -> Model:
+        files, path = store(location)
+        with files.open_input_file(path) as file:
+            return Model.load(file.read())
+
+    return resident(("language", location), load)
 
 
 def save(model: Model, folder: str) -> str:

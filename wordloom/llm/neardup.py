@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.scratch import kept, lookup
+from wordloom.llm.scratch import kept, lookup, release
 from wordloom.llm.superminhash import band_keys, most_mismatches, shingle_set, signatures, sketches
 
 #: Words of a shingle, and the least similarity of a link in percent.
@@ -76,6 +76,7 @@ def _sketcher(words: int):
                 ["doc_id", "row_key", "n_shingles", "node", "bands", "sketch"],
             )
 
+        release()
         for batch in batches:
             ids, keys, sets, held = [], [], [], 0
             for doc_id, key, text in zip(batch.column(0), batch.column(1), batch.column(2)):

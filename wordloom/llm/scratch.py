@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,28 @@ def lookup(df: DataFrame, most: int = LOOKUP_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+_resident: tuple[Hashable, Any] | None = None
+
+
+def resident(key: Hashable, make: Callable[[], Any]) -> Any:
+    """The one large object that a worker keeps from task to task.
+
+    Workers live as long as their executor. A model or vocabulary gives way to
+    that of the next operator, so that they do not add up.
+    """
+    global _resident
+    if _resident is None or _resident[0] != key:
+        _resident = None
+        _resident = (key, make())
+    return _resident[1]
+
+
+def release() -> None:
+    """Let go of it, in tasks that need their memory for themselves."""
+    global _resident
+    _resident = None
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder for files an operator writes."""
     return new_location(spark, label)

@@ -11,10 +11,11 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from wordloom.llm.scratch import resident
+
 #: Words whose ids a worker keeps, about 200 bytes each.
 KEPT_WORDS = 450_000
 #: Texts that are looked up together before the tokenizer is asked.
@@ -108,7 +109,6 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    return Encoder(path)
+    """The encoder of a worker process."""
+    return resident(("encoder", path), lambda: Encoder(path))
