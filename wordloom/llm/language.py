@@ -130,16 +130,15 @@ class Model:
                 return logs[found].mean(axis=0)
         return np.zeros(len(self.langs))
 
-    def _row(self, word: str) -> int:
+    def _keep(self, word: str, scores: np.ndarray) -> None:
+        """Remember a word while there is room; the frequent ones come early."""
         row = len(self._rows)
         if row >= _KEPT_WORDS:
-            self._rows.clear()
-            row = 0
+            return
         if row >= len(self._scores):
             self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
-        self._scores[row] = self.word_scores(word)
+        self._scores[row] = scores
         self._rows[word] = row
-        return row
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score of a text; the score is the posterior of its mean word."""
@@ -150,11 +149,14 @@ class Model:
         for at in range(0, len(words), 4096):
             part = words[at : at + 4096]
             rows = list(map(self._rows.get, part))
-            if None in rows:
-                if len(self._rows) + len(part) > _KEPT_WORDS:
-                    self._rows.clear()
-                rows = [self._rows[word] if word in self._rows else self._row(word) for word in part]
-            total += self._scores[rows].sum(axis=0)
+            gaps = [place for place, row in enumerate(rows) if row is None]
+            new = {word: self.word_scores(word) for word in {part[place] for place in gaps}}
+            scores = self._scores[[0 if row is None else row for row in rows]]
+            if gaps:
+                scores[gaps] = [new[part[place]] for place in gaps]
+            for word, found in new.items():
+                self._keep(word, found)
+            total += scores.sum(axis=0)
         mean = total / len(words)
         odds = np.exp(mean - mean.max())
         best = int(mean.argmax())
