@@ -63,6 +63,41 @@ def test_chains_survive_small_changes():
     assert scan_text(" ".join(TEMPLATES[3][0].split()[:30]))[2] == []
 
 
+def test_short_statements_stand_beside_longer_templates():
+    statement = "Licensed under the Apache License, Version 2.0"
+    for after in ("", ". The code is", ' (the "License")', " (the License) you may", ". Permission is hereby granted"):
+        (span,) = scan_text(f"some code {statement}{after} here")[2]
+        assert (TEMPLATES[span.template][1], span.start, span.end, span.cover) == ("apache-2.0", 2, 10, 1.0)
+    assert {(s.start, s.end, s.template) for s in scan_text(TEMPLATES[1][0])[2]} == {(0, 8, 0), (0, 86, 1)}
+
+
+def test_matches_are_all_agreements_of_text_and_template():
+    texts = [words_of(text) for text, _ in TEMPLATES]
+    machine = automaton(PHRASES, TEMPLATES)
+    for text in made_texts(60):
+        words, wanted = words_of(text), set()
+        for which, there in enumerate(texts, len(PHRASES)):
+            for at in range(len(words)):
+                for end in range(len(there)):
+                    n = 0
+                    while at + n < len(words) and end + n < len(there) and words[at + n] == there[end + n]:
+                        n += 1
+                    if n >= LEAST_RUN and not (at and end and words[at - 1] == there[end - 1]):
+                        wanted.add((at, n, which, end + n))
+        found = machine.scan(words)[2]
+        assert len(found) == len(wanted) and set(found) == wanted
+
+
+def test_runs_that_do_not_fit_leave_a_chain_open():
+    templates = (("a b c d e f g h i j k l", "x"), ("d e f z", "y"))
+    for between in ("a b c", "d e f z", "q"):
+        spans = scan_text(f"a b c d e f {between} g h i j k l", (), templates)[2]
+        assert [(s.start, s.cover) for s in spans if s.template == 0] == [(0, 1.0)]
+    twice = scan_text(f"{templates[0][0]} {templates[0][0]}", (), templates)[2]
+    assert [(s.start, s.end) for s in twice if s.template == 0] == [(0, 12), (12, 24)]
+    assert scan_text("a b c d e f" + " q" * 13 + " g h i j k l", (), templates[:1])[2] == []
+
+
 def test_awkward_rows(spark):
     rows = awkward_rows() + [(50, "Licensed under CC BY-NC 4.0. All rights reserved.", None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, score bigint")

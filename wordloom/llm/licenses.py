@@ -3,13 +3,15 @@
 The words of all license templates make one automaton, which accepts every run
 of words that stands in any of them. A text streams through it; after each word
 the automaton knows the longest run that ends there and stands in a template:
-the matching statistics. Long runs that follow each other in text and template
-are chained into spans, and a template counts as found when enough of it is
-covered.
+the matching statistics. The suffix links lead to the shorter runs that end
+there and stand elsewhere, so every template gets the runs it shares with the
+text itself. Those that follow each other in text and template are chained into
+spans, and a template counts as found when enough of it is covered.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -177,23 +179,50 @@ class Automaton:
         for words in coded:
             for one, two in zip(words, words[1:]):
                 self._pairs[one * size + two] = True
-
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
-        """Places of the phrases, as (start, phrase), and the maximal runs, as (start, length, state)."""
+        # The word after each place of a text, -2 after the last.
+        self._follow = [[*words, -2] for words in coded]
+        self._matches: dict[int, tuple[tuple[int, int, int, int], ...]] = {}
+
+    def _matches_at(self, state: int) -> tuple[tuple[int, int, int, int], ...]:
+        """Places of the templates that share a run with ``state``: (template, end, most words, word after)."""
+        found = self._matches.get(state)
+        if found is None:
+            longest: dict[tuple[int, int], int] = {}
+            above = state
+            while above > 0 and self._length[above] >= LEAST_RUN:
+                for place in self._ends[above]:
+                    if place[0] >= len(self.phrases):
+                        longest.setdefault(place, self._length[above])
+                above = self._link[above]
+            found = tuple((which, end, most, self._follow[which][end]) for (which, end), most in sorted(longest.items()))
+            self._matches[state] = found
+        return found
+
+    def scan(
+        self, words: list[bytes]
+    ) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
+        """Places of the phrases, the maximal runs, and the matches of single templates.
+
+        Phrases are (start, phrase), runs (start, length, state), and matches
+        (start, length, template, end in the template). A match is as long as text
+        and template agree at that place, whatever other templates go on with.
+        """
         phrases: list[tuple[int, int]] = []
         runs: list[tuple[int, int, int]] = []
+        matches: list[tuple[int, int, int, int]] = []
         ids = np.fromiter(map(self.number.get, words, repeat(-1)), np.int32, len(words))
         known = ids >= 0
         both = np.flatnonzero(known[:-1] & known[1:])
         both = both[self._pairs[ids[both] * len(self.number) + ids[both + 1]]]
         if not len(both):
-            return phrases, runs
+            return phrases, runs, matches
         # Only stretches of word pairs that occur in a template can match two words or more.
         breaks = np.flatnonzero(np.diff(both) > 1) + 1
         for stretch in np.split(both, breaks):
             first, last = int(stretch[0]), int(stretch[-1]) + 1
             state = length = 0
-            for place, word in enumerate(ids[first : last + 1].tolist(), first):
+            part = [*ids[first : last + 1].tolist(), -1]
+            for place, word in enumerate(part[:-1], first):
                 if word not in self._next[state]:
                     if length >= LEAST_RUN:
                         runs.append((place - length, length, state))
@@ -205,42 +234,46 @@ class Automaton:
                 for phrase in self._phrases_at[state]:
                     if self.lengths[phrase] <= length:
                         phrases.append((place + 1 - self.lengths[phrase], phrase))
+                if length >= LEAST_RUN:
+                    after = part[place + 1 - first]
+                    for template, end, most, goes_on in self._matches_at(state):
+                        if goes_on != after:
+                            shared = min(length, most)
+                            matches.append((place + 1 - shared, shared, template, end))
             if length >= LEAST_RUN:
                 runs.append((last + 1 - length, length, state))
-        return phrases, runs
-
-    def chain(self, runs: list[tuple[int, int, int]]) -> list[Span]:
-        """Runs that follow each other in text and template, where they cover enough of it."""
+        return phrases, runs, matches
+
+    def chain(self, matches: list[tuple[int, int, int, int]]) -> list[Span]:
+        """Matches that follow each other in text and template, where they cover enough of it.
+
+        Every match ends the chain that covers most of its template, of those that
+        it can continue or begin. Spans of one template do not overlap: the one
+        that covers most comes first, then the shorter one.
+        """
+        chains: dict[int, list[tuple[int, int, int, int]]] = {}  # text end, template end, covered, text start
+        for start, length, template, end in matches:
+            text_end = start + length
+            known = chains.setdefault(template, [])
+            covered, text_start = length, start
+            for before in reversed(known):
+                if start - before[0] > MOST_GAP:
+                    break
+                fresh = min(length, end - before[1], text_end - before[0])
+                if fresh > 0 and (before[2] + fresh, before[3]) > (covered, text_start):
+                    covered, text_start = before[2] + fresh, before[3]
+            known.append((text_end, end, covered, text_start))
         spans: list[Span] = []
-        open_chains: dict[int, list[int]] = {}  # template: text start, text end, template end, covered
-
-        def close(template: int) -> None:
-            start, end, _, covered = open_chains.pop(template)
-            cover = covered / self.lengths[template]
-            if cover >= LEAST_COVER:
-                spans.append(Span(start, end, template - len(self.phrases), min(1.0, cover)))
-
-        for start, length, state in runs:
-            places: dict[int, list[int]] = {}
-            for template, end in self._ends[state]:
-                if template >= len(self.phrases):
-                    places.setdefault(template, []).append(end)
-            for template, ends in places.items():
-                chain = open_chains.get(template)
-                if chain and start - chain[1] <= MOST_GAP:
-                    later = [end for end in ends if end > chain[2]]
-                    if later:
-                        end = min(later)
-                        fresh = min(length, end - chain[2], start + length - chain[1])
-                        if fresh > 0:
-                            chain[1], chain[2] = start + length, end
-                            chain[3] += fresh
-                            continue
-                if chain:
-                    close(template)
-                open_chains[template] = [start, start + length, min(ends), length]
-        for template in list(open_chains):
-            close(template)
+        for template, known in chains.items():
+            size = self.lengths[template]
+            enough = [(-covered, end - start, start, end) for end, _, covered, start in known if covered / size >= LEAST_COVER]
+            taken: list[tuple[int, int]] = []
+            for covered, _, start, end in sorted(enough):
+                at = bisect_left(taken, (end,))
+                if at and taken[at - 1][1] > start:
+                    continue
+                taken.insert(at, (start, end))
+                spans.append(Span(start, end, template - len(self.phrases), -covered / size))
         return sorted(spans, key=lambda span: (span.start, span.template))
 
 
@@ -253,8 +286,8 @@ def scan_text(text: str | None, phrases=PHRASES, templates=TEMPLATES):
     """Words, phrase places and template spans of one text."""
     machine = automaton(phrases, templates)
     words = words_of(text)
-    places, runs = machine.scan(words)
-    return len(words), sorted(places), machine.chain(runs)
+    places, _, matches = machine.scan(words)
+    return len(words), sorted(places), machine.chain(matches)
 
 
 def _scanner(phrases: tuple, templates: tuple):
