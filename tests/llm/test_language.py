@@ -1,5 +1,7 @@
 import zlib
+from collections import Counter
 
+import pyarrow as pa
 from helpers import awkward, awkward_rows, empty
 from pyspark.sql import functions as F
 
@@ -62,6 +64,27 @@ def test_unseen_words_fall_back_to_shorter_grams():
     assert again.langs == ["aa", "bb"] and again.predict("wxyzw")[0] == "bb"
 
 
+def test_unspaced_runs_count_as_a_whole(monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array(["aa", "bb"]), pa.array(["n" * 70 + "uvwx", "n" * 70 + "efgh"])], ["lang", "text"])
+
+    def counts():
+        added = Counter()
+        for part in language._count(iter([batch])):
+            for lang, size, gram, n in zip(*(column.to_pylist() for column in part.columns)):
+                added[lang, size, gram] += n
+        return added
+
+    whole = counts()
+    assert whole["bb", 4, "efgh"] == whole["bb", 4, "fgh_"] == 1 and whole["bb", 2, "nn"] == 69
+    model = language.Model.from_counts([(*key, n) for key, n in whole.items()])
+    for length in (65, 100, 5000):
+        assert model.predict("n" * length + "zefghz")[0] == "bb" and model.predict("n" * length + "zuvwxz")[0] == "aa"
+    scores = model.word_scores("nefgh" * 30)
+    monkeypatch.setattr(language, "_GRAM_BLOCK", 7)
+    monkeypatch.setattr(language, "_COUNTED_GRAMS", 3)
+    assert counts() == whole and abs(model.word_scores("nefgh" * 30) - scores).max() < 1e-12
+
+
 def test_kept_words_are_bounded(monkeypatch):
     monkeypatch.setattr(language, "_KEPT_WORDS", 3)
     model = language.Model.from_counts([("aa", 1, "a", 5), ("bb", 1, "b", 5)])

@@ -29,8 +29,8 @@ KNOWN_WORDS = 20_000
 KNOWN_GRAMS = {4: 12_000, 3: 6_000, 2: 2_000, 1: 500}
 #: Words whose scores a worker keeps.
 _KEPT_WORDS = 150_000
-#: Longest stretch of a word that n-grams are taken from.
-_GRAM_SPAN = 64
+#: N-grams of a word that are listed in one go, and different ones that are counted in one go.
+_GRAM_BLOCK, _COUNTED_GRAMS = 65_536, 200_000
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -43,16 +43,24 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def _grams(word: str, size: int) -> list[str]:
-    """N-grams of a word with its ends marked; single letters are not marked."""
-    if size == 1:
-        return list(word)
-    marked = f"_{word[:_GRAM_SPAN]}_"
-    return [marked[at : at + size] for at in range(len(marked) - size + 1)]
+def _grams(word: str, size: int) -> Iterator[list[str]]:
+    """N-grams of a whole word with its ends marked, in blocks; single letters are not marked."""
+    marked = word if size == 1 else f"_{word}_"
+    count = len(marked) - size + 1
+    for first in range(0, count, _GRAM_BLOCK):
+        yield [marked[at : at + size] for at in range(first, min(first + _GRAM_BLOCK, count))]
+
+
+def _count_rows(rows: list[tuple[str, int, str, int]]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)],
+        ["lang", "size", "gram", "n"],
+    )
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words (size 0) and n-grams of labelled texts, added up per batch of rows."""
+    """Words (size 0) and n-grams of labelled texts, added up per batch of rows and bounded in number."""
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
@@ -65,15 +73,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for size in KNOWN_GRAMS:
                     grams: Counter = Counter()
                     for word, n in counts.items():
-                        for gram in _grams(word, size):
-                            grams[gram] += n
+                        for block in _grams(word, size):
+                            for gram in block:
+                                grams[gram] += n
+                            if len(grams) > _COUNTED_GRAMS:
+                                yield _count_rows([(lang, size, gram, n) for gram, n in grams.items()])
+                                grams.clear()
                     rows += [(lang, size, gram, n) for gram, n in grams.items()]
+                    if len(rows) > _COUNTED_GRAMS:
+                        yield _count_rows(rows)
+                        rows = []
             if rows:
-                kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)],
-                    ["lang", "size", "gram", "n"],
-                )
+                yield _count_rows(rows)
 
 
 class Model:
@@ -125,9 +136,13 @@ class Model:
         """Scores of one word: its own, or those of the longest n-grams that are known."""
         for size in (0, *sorted((s for s in self._tables if s), reverse=True)):
             known, logs = self._tables.get(size, ({}, None))
-            found = [known[gram] for gram in ([word] if size == 0 else _grams(word, size)) if gram in known]
-            if found:
-                return logs[found].mean(axis=0)
+            total, count = np.zeros(len(self.langs)), 0
+            for block in [[word]] if size == 0 else _grams(word, size):
+                found = [known[gram] for gram in block if gram in known]
+                if found:
+                    total, count = total + logs[found].sum(axis=0), count + len(found)
+            if count:
+                return total / count
         return np.zeros(len(self.langs))
 
     def _keep(self, word: str, scores: np.ndarray) -> None:
