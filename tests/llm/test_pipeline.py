@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 from helpers import awkward, prose
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wordloom.llm import pii, queries
@@ -56,6 +57,13 @@ def test_run_writes_and_rereads_every_stage(spark, folder):
     assert out.count() > 0
 
 
+def test_clean_rows_stay_without_any_label(spark):
+    docs = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = stage(spark, "language", docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(row["doc_id"] or 0 for row in kept.collect()) == [0, 1, 5, 6, 7, 7, 10, 11]
+
+
 def test_copies_and_near_copies_go(spark, tmp_path):
     words = prose(4, 200).split()
     near = " ".join([*words[:100], "other", *words[101:]])

@@ -269,8 +269,12 @@ def _keeper(location: str, least_score: float, text_at: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _loaded(location)
         for batch in batches:
-            found = [model.predict(text.as_py()) for text in batch.column(text_at)]
-            good = [lang != UNKNOWN and score >= least_score for lang, score in found]
+            texts = (text.as_py() for text in batch.column(text_at))
+            if model.langs:
+                found = [model.predict(text) for text in texts]
+                good = [lang != UNKNOWN and score >= least_score for lang, score in found]
+            else:
+                good = [bool(text and _WORD.search(text.lower())) for text in texts]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return keep
@@ -279,7 +283,11 @@ def _keeper(location: str, least_score: float, text_at: int):
 def identified_documents(
     docs: DataFrame, location: str, text: str = "text", least_score: float = 0.0
 ) -> DataFrame:
-    """The rows of ``docs`` whose language can be told, unchanged."""
+    """The rows of ``docs`` whose language can be told, unchanged.
+
+    A model that was fitted on nothing tells no language and gives no score, so
+    with it all rows with a letter stay, whatever ``least_score`` is.
+    """
     return docs.mapInArrow(_keeper(location, least_score, docs.columns.index(text)), docs.schema)
 
 
