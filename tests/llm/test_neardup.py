@@ -84,6 +84,28 @@ def test_stage_keeps_one_of_each_group(spark):
     assert neardup.deduplicated(empty(spark)).collect() == []
 
 
+def test_one_row_of_each_group_stays_with_repeated_and_null_ids(spark):
+    base = [f"w{n}" for n in range(100)]
+    near = [" ".join([*base[:at], "other", *base[at + 1 :]]) for at in (10, 50, 90)]
+    others = [" ".join(f"{name}{n}" for n in range(40)) for name in "xyz"]
+    rows = [(1, " ".join(base), "en", "b"), (1, near[0], "en", "a"), (1, near[1], "de", "a"), (None, near[2], "en", "a")]
+    # A group without ids, rows that differ in other columns only, and no words.
+    rows += [(None, others[0], "en", "a"), (None, others[0].upper(), "en", "a"), (None, others[0], "de", "a")]
+    rows += [(5, others[1], "en", "b"), (5, others[1], "en", "a"), (5, others[1], None, "c"), (None, others[2], "en", "a")]
+    rows += [(8, "", "en", "a"), (8, "", "en", "a"), (None, None, "en", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(5)
+    stay = neardup.deduplicated(docs).collect()
+    groups = [{text.lower() for text in texts} for texts in ([" ".join(base), *near], *([one] for one in others))]
+    for group in groups:
+        assert sum((row["text"] or "").lower() in group for row in stay) == 1
+    assert len(stay) == len(groups) + 3
+    assert [(row["lang"], row["source"]) for row in stay if row["doc_id"] == 5] == [(None, "c")]
+    found = neardup.near_duplicates(docs).collect()
+    assert len(found) == len(rows) and sum(row["stays"] for row in found) == len(groups) + 3
+    keys = {row["row_key"] for row in found if row["stays"]}
+    assert keys == {row["key"] for row in neardup.deduplicated(docs).select(neardup.row_key().alias("key")).collect()}
+
+
 def test_components_of_long_chains(spark):
     links = [(f"n{n:03d}", f"n{n + 1:03d}") for n in range(60)] + [("z1", "z2"), ("z2", "z1"), ("q", "q")]
     random.Random(4).shuffle(links)

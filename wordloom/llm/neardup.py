@@ -258,22 +258,32 @@ def near_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Groups of near duplicates: (doc_id, row_key, n_shingles, component_id).
+    """Groups of near duplicates: (doc_id, row_key, n_shingles, component_id, stays).
 
     Documents are linked when their shingle sets share at least ``percent`` of
     their union; a group is what links connect, named by its smallest id. One
     row per input row; other columns are left out. Null and empty texts and
     texts without words are linked with nothing. Rows without an id take part;
     a group with no id at all has a null name.
+
+    ``stays`` is true for one row of each group, the one with the smallest
+    (doc_id, row_key), null ids last; of rows equal in both it is any one. A row
+    that is linked with nothing stays.
     """
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    # Stored with the rows, the place tells equal rows apart from here on.
     sketched = kept(
-        docs.select("doc_id", row_key().alias("row_key"), "text").mapInArrow(_sketcher(words), _SKETCH)
+        docs.select("doc_id", row_key().alias("row_key"), "text")
+        .mapInArrow(_sketcher(words), _SKETCH)
+        .withColumn("place", F.monotonically_increasing_id())
     )
     nodes = kept(
         sketched.where("node is not null")
         .groupBy("node", "n_shingles", "bands", "sketch")
-        .agg(F.min("doc_id").alias("first_id"), F.min("row_key").alias("rep_key"))
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key", "place")).alias("first_row"),
+            F.min("row_key").alias("rep_key"),
+        )
     )
     banded = nodes.select("node", "n_shingles", "rep_key", F.explode("bands").alias("bucket"))
     shared = kept(banded.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1"))
@@ -282,18 +292,21 @@ def near_duplicates(
     members = kept(members.join(reach.join(nodes.select("node", "sketch"), "node"), "node"))
     grouped = _grouped(docs, members, words, percent)
     named = (
-        nodes.select("node", "first_id")
+        nodes.select("node", "first_row")
         .join(grouped, "node", "left")
-        .select("node", "first_id", F.coalesce("comp", "node").alias("comp"))
+        .select("node", "first_row", F.coalesce("comp", "node").alias("comp"))
+    )
+    first = named.groupBy("comp").agg(F.min("first_row").alias("first_row"))
+    names = named.select("node", "comp").join(first, "comp").select(
+        "node", F.col("first_row.doc_id").alias("component_id"), F.col("first_row.place").alias("first_place")
     )
-    first = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    names = named.join(first, "comp").select("node", "component_id")
     columns = ["doc_id", "row_key", "n_shingles"]
+    alone = sketched.where("node is null")
     return (
         sketched.where("node is not null")
         .join(names, "node")
-        .select(*columns, "component_id")
-        .unionByName(sketched.where("node is null").select(*columns, F.col("doc_id").alias("component_id")))
+        .select(*columns, "component_id", (F.col("place") == F.col("first_place")).alias("stays"))
+        .unionByName(alone.select(*columns, F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")))
     )
 
 
@@ -434,17 +447,16 @@ def _across(
 
 
 def deduplicated(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id.
+    """``docs`` with one document of each group, the one with the smallest (doc_id, row_key).
 
-    Columns stay as they are. Of equal rows one stays. Documents without words
-    are never duplicates of each other. A group without any id keeps all rows.
+    Null ids come last. Of rows with that id and text one stays, the smallest by
+    its other columns, in their order and nulls first. Columns stay as they are.
+    Documents without words are never duplicates of each other.
     """
     found = near_duplicates(docs, words, percent)
     rows = kept(
         found.groupBy("row_key").agg(
-            F.count("*").alias("times"),
-            F.min(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())).alias("stays"),
-            F.max("n_shingles").alias("n"),
+            F.count("*").alias("times"), F.max("stays").alias("stays"), F.max("n_shingles").alias("n")
         )
     )
     gone = rows.where("not stays").select(F.col("row_key").alias("gone_key"))
@@ -453,5 +465,11 @@ def deduplicated(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PER
     again = kept(again)
     if again.isEmpty():
         return left
-    once = left.join(again, row_key() == F.col("again_key"), "left_semi").dropDuplicates()
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    once = (
+        left.join(again, row_key() == F.col("again_key"), "left_semi")
+        .groupBy(row_key().alias("again_key"))
+        .agg(F.min(F.struct(*columns)).alias("again_row"))
+        .select("again_row.*")
+    )
     return left.join(again, row_key() == F.col("again_key"), "left_anti").unionByName(once)

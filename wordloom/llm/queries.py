@@ -65,7 +65,7 @@ def op5_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
         "doc_id",
         "n_shingles",
         "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+        F.col("stays").alias("kept"),
     )
 
 
