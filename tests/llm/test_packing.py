@@ -65,6 +65,14 @@ def test_perfect_and_awkward_histograms():
         packing.plan({2000: 1}, 1024)
 
 
+def test_nothing_is_rounded_while_there_are_groups_for_all_lengths():
+    skewed = {1024: 3_000_000, **{length: 6_000 for length in range(129, 1024)}}
+    cut = packing.grouped(skewed, packing.GROUPS)
+    assert cut == [[(length, skewed[length])] for length in sorted(skewed, reverse=True)]
+    assert len(packing.grouped(skewed, 800)) <= 800 and any(len(group) > 1 for group in packing.grouped(skewed, 800))
+    sequences(skewed, 1024)
+
+
 def test_the_plan_does_not_grow_with_the_corpus():
     small = packing.plan_rows(packing.plan({n: 50 for n in range(1, 1025)}))
     large = packing.plan_rows(packing.plan({n: 50_000_000 + n for n in range(1, 1025)}))

@@ -5,7 +5,8 @@ histogram of at most that many rows, whatever the corpus. The packing is decided
 on the histogram, for runs of equal sequences:
 
 1. Linear grouping: the large lengths, longest first, are cut into groups of
-   equal cardinality, and every length counts as the longest of its group.
+   equal cardinality, and every length counts as the longest of its group. Where
+   there are no more lengths than groups, each is a group and nothing is rounded.
 2. Configurations of these few sizes are chosen, each filled as far as its sizes
    allow, and used as often as the counts permit.
 3. The actual documents take the places of the rounded ones.
@@ -75,7 +76,12 @@ class _Supply:
 
 
 def grouped(counts: dict[int, int], groups: int) -> list[list[tuple[int, int]]]:
-    """Lengths, longest first, in groups of equal cardinality as (length, count)."""
+    """Lengths, longest first, in groups of equal cardinality as (length, count).
+
+    No more lengths than groups are groups of their own.
+    """
+    if len(counts) <= groups:
+        return [[(length, counts[length])] for length in sorted(counts, reverse=True)]
     total = sum(counts.values())
     each = max(1, -(-total // groups))
     out: list[list[tuple[int, int]]] = []
