@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import ann, language, licenses, maxscore, mixing, neardup, packing, pii, separators, token_files
+from wordloom.llm import ann, language, licenses, maxscore, mixing, neardup, packing, pii, separators, spelling, token_files, warc, whitening
 
 #: Vocabularies of the queries.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -92,6 +92,18 @@ def op10_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path(BYTE_BPE), END_ID)
 
 
+def op11_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    return whitening.whitened(_table(spark, directory, "embeddings"), most=4)
+
+
+def op12_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, directory, "documents"))
+
+
+def op13_warc(spark: SparkSession, directory: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, directory, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_nearest_vectors": op2_nearest_vectors,
@@ -103,14 +115,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_warc": op13_warc,
 }
 
 _PRODUCTS = """
 WITH rows_in AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
