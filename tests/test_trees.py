@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import brute_force, rows
 from wordloom.operators import classify, postings, statistics
-from wordloom.sources import trees
+from wordloom.sources import pieces, trees
 
 LIMIT = 5 * 1024 * 1024
 
@@ -111,11 +111,25 @@ def test_large_files_are_read_in_pieces(spark, tmp_path):
 
 @pytest.mark.parametrize("content", [b"", b"a", b"ab cd", b"x" * 300, b"one, two;three " * 50])
 @pytest.mark.parametrize("size", [1, 7, 64])
-def test_pieces_end_between_tokens(content, size, monkeypatch):
-    monkeypatch.setattr(trees, "_STEP_BYTES", 5)
-    pieces = list(trees._pieces(io.BytesIO(content), size))
-    assert b"".join(pieces) == content and pieces
-    for one, other in zip(pieces, pieces[1:]):
+def test_pieces_end_between_tokens(content, size):
+    found = list(pieces.pieces(io.BytesIO(content), size, step=5))
+    assert b"".join(found) == content and found
+    for one, other in zip(found, found[1:]):
+        assert not (one[-1:].isalnum() and other[:1].isalnum())
+
+
+@pytest.mark.parametrize("content", [b"", b"a", b"ab cd", b"x" * 300, b", " * 40, b"one, two;three " * 50, b"x" * 90 + b" " + b"y" * 90])
+@pytest.mark.parametrize("width", [1, 2, 13, 50, 1000])
+@pytest.mark.parametrize("size", [1, 9, 64])
+def test_ranges_share_no_token_and_leave_none_out(content, width, size):
+    """Ranges of any width put together are the file, and are cut between tokens."""
+    starts = list(range(0, max(1, len(content)), width))
+    found = []
+    for start in starts:
+        stop = None if start == starts[-1] else start + width
+        found += pieces.pieces(io.BytesIO(content), size, start, stop, step=7)
+    assert b"".join(found) == content and found
+    for one, other in zip(found, found[1:]):
         assert not (one[-1:].isalnum() and other[:1].isalnum())
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import count_tokens, fold, raw_tokens
-from wordloom.operators.classify import INDEXED, outcome_of, readable
+from wordloom.operators.classify import FAILED, INDEXED, outcome_of, readable
 from wordloom.operators.sizing import fits_broadcast
 
 #: Shards of the nested index. A posting list is cut into as many parts.
@@ -143,6 +143,45 @@ def repeated_paths(entries: DataFrame) -> DataFrame:
     return files.agg(F.sum("frequency").alias("files")).where(F.col("files") > 1)
 
 
+def uncommitted(entries: DataFrame) -> DataFrame:
+    """Files of which a part was read and a part could not: (path, size_bytes, error, files).
+
+    A range of a file ends with its last piece or with a row that tells why it
+    could not be read, and a file is committed if no range ended the second way.
+    Paths that stand for more than one file are among the rows, with their number.
+    """
+    files = entries.where(F.col("word").isNull()).groupBy("path")
+    told = files.agg(
+        F.max("size_bytes").alias("size_bytes"),
+        F.min("error").alias("error"),
+        F.sum("frequency").alias("files"),
+        F.count("*").alias("rows"),
+        F.count_if(F.col("outcome") == FAILED).alias("failed"),
+    )
+    late = (F.col("failed") > 0) & (F.col("rows") > 1)
+    return told.where((F.col("files") > 1) | late).select("path", "size_bytes", "error", "files")
+
+
+def settled(entries: DataFrame, withdrawn: DataFrame) -> DataFrame:
+    """A ledger without what was read of uncommitted files, each of which failed instead.
+
+    ``withdrawn`` holds (path, size_bytes, error). It is broadcast if it measures
+    small enough.
+    """
+    gone = withdrawn.select("path")
+    kept = entries.join(F.broadcast(gone) if fits_broadcast(gone) else gone, "path", "left_anti")
+    failed = withdrawn.select(
+        F.lit(None).cast("string").alias("word"),
+        "path",
+        F.lit(1).cast("bigint").alias("frequency"),
+        "size_bytes",
+        F.lit(0).cast("bigint").alias("token_count"),
+        F.lit(FAILED).alias("outcome"),
+        "error",
+    )
+    return kept.select(*failed.columns).unionByName(failed)
+
+
 def posting_rows(entries: DataFrame) -> DataFrame:
     """The postings of a ledger."""
     return entries.where(F.col("word").isNotNull()).select("word", "path", "frequency")

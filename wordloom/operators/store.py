@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wordloom.schemas import LEDGER
+from wordloom.operators.postings import settled, uncommitted
+from wordloom.schemas import LEDGER, WITHDRAWN
+from wordloom.sources.workspace import exists
 
 
 def write_index(entries: DataFrame, location: str) -> None:
@@ -24,5 +27,30 @@ def write_index(entries: DataFrame, location: str) -> None:
     )
 
 
+def _withdrawn_at(location: str) -> str:
+    # Spark leaves out names that begin like this when it reads the entries.
+    return f"{location}/_withdrawn"
+
+
+def withdraw(spark: SparkSession, location: str) -> None:
+    """Take back the rows of files that were not read to their end.
+
+    The index keeps their rows and, next to them, a table of their paths, so that
+    a file that fails after hours costs no second build. A path that stands for
+    more than one file is refused.
+    """
+    entries = spark.read.schema(LEDGER).parquet(location)
+    late = uncommitted(entries)
+    told = late.agg(F.max(F.when(F.col("files") > 1, F.col("path"))).alias("repeated"), F.count("*").alias("late")).first()
+    if told["repeated"] is not None:
+        raise ValueError(f"a path occurs more than once: {told['repeated']}")
+    if told["late"]:
+        late.select(*WITHDRAWN.names).write.mode("errorifexists").parquet(_withdrawn_at(location))
+
+
 def stored_ledger(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.schema(LEDGER).parquet(location)
+    """The entries of a stored index, without those that were taken back."""
+    entries = spark.read.schema(LEDGER).parquet(location)
+    if not exists(spark, _withdrawn_at(location)):
+        return entries
+    return settled(entries, spark.read.schema(WITHDRAWN).parquet(_withdrawn_at(location)))

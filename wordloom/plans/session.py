@@ -11,12 +11,12 @@ from wordloom.operators.postings import (
     ledger,
     posting_rows,
     postings_of_word,
-    repeated_paths,
 )
 from wordloom.operators.statistics import equivalence, ledger_stats, rendered_stats
-from wordloom.operators.store import stored_ledger, write_index
+from wordloom.operators.store import stored_ledger, withdraw, write_index
 from wordloom.schemas import INDEX_STATS, POSTINGS, STAT_COLUMNS
 from wordloom.sources.filelog import append_log, create_log, log_rows, read_log
+from wordloom.sources.stores import corpus_from_uri
 from wordloom.sources.tables import corpus_from_table
 from wordloom.sources.trees import corpus_from_tree
 from wordloom.sources.workspace import discard, new_location
@@ -30,8 +30,9 @@ class IndexSession:
     A build writes its tables first and replaces the current index only when it
     is complete, its log rows included. A build that fails leaves the index and
     the statistics as they were. A corpus in which a path occurs twice is
-    refused. The tables of replaced indexes stay for results that still read
-    them; ``clear`` deletes them.
+    refused. A file that cannot be read to its end is a failed file and leaves
+    nothing in the index. The tables of replaced indexes stay for results that
+    still read them; ``clear`` deletes them.
     """
 
     def __init__(
@@ -65,6 +66,21 @@ class IndexSession:
         finally:
             discard(self._spark, scan)
 
+    def index_store(
+        self,
+        root: str,
+        max_bytes: int | None = None,
+        log: bool = True,
+        run_id: str | None = None,
+    ) -> DataFrame:
+        """Index the files below a path or URI of any storage; nothing has to be mounted."""
+        planned = new_location(self._spark, "plan", self._workspace)
+        try:
+            corpus = corpus_from_uri(self._spark, root, max_bytes, planned)
+            return self.index_corpus(corpus, log, run_id)
+        finally:
+            discard(self._spark, planned)
+
     def index_table(
         self,
         documents: DataFrame,
@@ -90,10 +106,8 @@ class IndexSession:
         location = new_location(self._spark, "index", self._workspace)
         try:
             write_index(ledger(corpus), location)
+            withdraw(self._spark, location)
             stored = stored_ledger(self._spark, location)
-            repeated = repeated_paths(stored).first()
-            if repeated is not None:
-                raise ValueError(f"a path occurs more than once: {repeated['path']}")
             counts = ledger_stats(stored).first()
             if log and self._log is not None:
                 append_log(log_rows(file_rows(stored)), self._log)

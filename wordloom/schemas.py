@@ -42,6 +42,15 @@ LEDGER = T.StructType(
     ]
 )
 
+#: Files whose entries were taken back, with the reason.
+WITHDRAWN = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("size_bytes", T.LongType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
 RESULTS = T.StructType(
     [
         T.StructField("path", T.StringType()),

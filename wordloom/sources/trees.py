@@ -5,16 +5,15 @@ spread over the executors, and what they list is written to the workspace, so
 that a lost executor costs a task and not the walk. Sizes are looked up in a
 second step that is spread by path, because one directory may hold most of the
 files. Paths travel as bytes and may hold any file name. The tree has to be
-mounted on all executors. A large file is read in pieces that end between
-tokens, so a row stays bounded and no text is left out.
+mounted on all executors; ``stores`` reads other storage. A large file is read
+in pieces that end between tokens, so a row stays bounded and no text is left out.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import stat
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 from wordloom.operators.classify import ELIGIBLE, status_of
 from wordloom.operators.sizing import TASK_BYTES
 from wordloom.schemas import INVENTORY
+from wordloom.sources.pieces import PIECE_BYTES, pieces
 from wordloom.sources.workspace import new_location
 
 #: Rows, and bytes of file content, that leave a Python worker in one batch.
@@ -32,15 +32,6 @@ BATCH_BYTES = 16 * 1024 * 1024
 #: Entries one task looks up.
 ENTRIES_PER_TASK = 20_000
 
-#: Bytes of a file after which a piece is cut at the next byte that is in no token.
-PIECE_BYTES = 8 * 1024 * 1024
-
-#: Bytes that are read at once while looking for that byte.
-_STEP_BYTES = 64 * 1024
-
-# Fixed value: the bytes that tokens are made of.
-_NO_TOKEN = re.compile(rb"[^0-9A-Za-z]")
-
 _LISTED = pa.schema([("path", pa.binary()), ("kind", pa.string()), ("error", pa.string())])
 _SIZED = pa.schema([("path", pa.binary()), ("size_bytes", pa.int64()), ("error", pa.string())])
 _READ = pa.schema(
@@ -135,34 +126,11 @@ def _look_up(base: bytes):
     return run
 
 
-def _pieces(file, piece_bytes: int) -> Iterator[bytes]:
-    """The content in pieces of about this size that end between tokens.
-
-    A token of many pieces' length makes one long piece. An empty file is one
-    empty piece.
-    """
-    held = file.read(piece_bytes)
-    yielded = False
-    while True:
-        more = file.read(_STEP_BYTES)
-        if not more:
-            if held or not yielded:
-                yield held
-            return
-        cut = _NO_TOKEN.search(more)
-        if cut and len(held) >= piece_bytes:
-            yield held + more[: cut.start()]
-            yielded = True
-            held = more[cut.start() :] + file.read(piece_bytes)
-        else:
-            held += more
-
-
 def _read_files(base: bytes, piece_bytes: int):
     """Content of eligible files. A file that cannot be read keeps the reason.
 
-    A failure after the first piece fails the task, which is then run again, so
-    a file is never counted in part.
+    A failure after the first piece ends the file with a row that holds the
+    reason instead of text, which takes back the pieces before it.
     """
 
     def contents(rows: Iterable[dict]) -> Iterator[tuple]:
@@ -174,12 +142,10 @@ def _read_files(base: bytes, piece_bytes: int):
             number = -1
             try:
                 with open(os.path.join(base, row["path"]), "rb") as file:
-                    for number, content in enumerate(_pieces(file, piece_bytes)):
+                    for number, content in enumerate(pieces(file, piece_bytes)):
                         yield *told, None, content, number
             except OSError as failure:
-                if number >= 0:
-                    raise
-                yield *told, _reason(failure), None, 0
+                yield *told, _reason(failure), None, number + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in batch.to_pylist())
@@ -199,13 +165,15 @@ def _validated(root: str) -> None:
         raise ValueError(f"not a directory: {root}")
 
 
-def list_tree(spark: SparkSession, root: str, location: str) -> tuple[DataFrame, int]:
-    """All entries below ``root`` that are not directories, and their number.
+def list_levels(
+    spark: SparkSession, first: bytes, lister: Callable, schema: pa.Schema, location: str
+) -> tuple[DataFrame, int]:
+    """All entries below ``first`` that are not directories, and their number.
 
-    What the executors list is written to ``location``, level by level.
+    ``lister`` turns paths of directories into rows (path, kind, ...) of what
+    they hold. What the executors list is written to ``location``, level by level.
     """
-    base = os.fsencode(os.getcwd())
-    level_rows = spark.createDataFrame([(bytearray(os.fsencode(root)),)], "path binary")
+    level_rows = spark.createDataFrame([(bytearray(first),)], "path binary")
     directories, total = 1, 0
     levels: list[str] = []
     while directories:
@@ -213,19 +181,25 @@ def list_tree(spark: SparkSession, root: str, location: str) -> tuple[DataFrame,
         tasks = min(directories, _tasks(spark, directories / 1000))
         (
             level_rows.repartition(tasks, "path")
-            .mapInArrow(_list_directories(base), _ddl(_LISTED))
+            .mapInArrow(lister, _ddl(schema))
             .write.parquet(levels[-1])
         )
-        listed = spark.read.schema(_ddl(_LISTED)).parquet(levels[-1])
+        listed = spark.read.schema(_ddl(schema)).parquet(levels[-1])
         nested = F.col("kind") == "directory"
         counts = listed.agg(F.count("*").alias("all"), F.count_if(nested).alias("nested")).first()
         level_rows = listed.where(nested).select("path")
         directories = counts["nested"]
         total += counts["all"] - directories
-    listed = spark.read.schema(_ddl(_LISTED)).parquet(*levels)
+    listed = spark.read.schema(_ddl(schema)).parquet(*levels)
     return listed.where(F.col("kind") != "directory"), total
 
 
+def list_tree(spark: SparkSession, root: str, location: str) -> tuple[DataFrame, int]:
+    """All entries below ``root`` that are not directories, and their number."""
+    base = os.fsencode(os.getcwd())
+    return list_levels(spark, os.fsencode(root), _list_directories(base), _LISTED, location)
+
+
 def inventory(
     spark: SparkSession,
     root: str,
