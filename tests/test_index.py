@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +139,41 @@ def test_large_texts_are_indexed_whole(spark):
     assert rows(statistics.index_stats(corpus)) == [(2, 2, 0, 0, 2, 1_200_002)]
 
 
+@pytest.mark.parametrize("piece_bytes", [1, 2, 5, 16, 1000])
+def test_long_texts_are_cut_between_tokens(spark, piece_bytes):
+    """Any cut gives the postings of the whole texts, in rows of a bounded size."""
+    texts = {
+        "a.txt": "one two  three, four;five\nsix " * 3, "b.txt": "x" * 70, "c.txt": "", "d.txt": "é" * 9 + "Straße \u212aelvin ab" * 5,
+        "e.txt": " " * 40, "f.txt": "a b c d e f g h", "g.txt": "z" * 33 + " " + "y" * 33, "h.txt": "1",
+    }
+    corpus = corpus_from_table(table(spark, {**texts, "none.txt": None}), piece_bytes=piece_bytes)
+    assert {(w, p): n for w, p, n in rows(postings.postings(corpus))} == brute_force(texts)
+    whole = corpus_from_table(table(spark, {**texts, "none.txt": None}))
+    assert rows(statistics.index_stats(corpus)) == rows(statistics.index_stats(whole))
+    assert rows(statistics.ledger_stats(postings.ledger(corpus))) == rows(statistics.index_stats(whole))
+    assert corpus.where("path = 'd.txt' AND status = 'eligible'").count() >= min(2, 100 // piece_bytes)
+    for row in corpus.where("size_bytes > 0").groupBy("path", "size_bytes").agg(
+        F.sum(F.length("text")).alias("characters"), F.max(F.length("text")).alias("longest")
+    ).collect():
+        if row["size_bytes"] > piece_bytes:
+            assert row["characters"] == row["size_bytes"]
+            assert row["longest"] <= piece_bytes + 70
+
+
+def test_tokens_longer_than_the_look_ahead(spark):
+    texts = {"a.txt": "b " * 3000 + "x" * 30_000 + " c " * 3000, "b.txt": "y" * 20_000}
+    corpus = corpus_from_table(table(spark, texts), piece_bytes=5000)
+    assert {(w, p): n for w, p, n in rows(postings.postings(corpus))} == brute_force(texts)
+
+
+def test_a_long_text_needs_little_memory():
+    """A text of 200 MB is indexed by a JVM of one gigabyte."""
+    script = Path(__file__).with_name("long_text.py")
+    ran = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=900)
+    assert ran.returncode == 0, ran.stderr[-3000:]
+    assert ran.stdout.split() == ["1", "1", "0", "0", "12", "40000012"]
+
+
 def test_pieces_of_a_file_count_as_one_file(spark):
     corpus = spark.createDataFrame(
         [

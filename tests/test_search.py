@@ -46,6 +46,7 @@ def test_search_in_index_and_text(corpus, texts, query):
     assert rows(search.search_text(corpus, query)) == expected
     assert rows(search.search(postings(corpus), query, limit=5)) == expected[:5]
     assert rows(search.search_text(corpus, query, limit=5)) == expected[:5]
+    assert rows(search.search_text(corpus, query, in_pieces=True)) == expected
 
 
 def test_long_queries(corpus, texts):

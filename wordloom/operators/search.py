@@ -64,12 +64,16 @@ def search(index: DataFrame, query: str, limit: int | None = None) -> DataFrame:
     return ranked(found, limit)
 
 
-def search_text(corpus: DataFrame, query: str, limit: int | None = None) -> DataFrame:
+def search_text(
+    corpus: DataFrame, query: str, limit: int | None = None, in_pieces: bool = False
+) -> DataFrame:
     """The same search straight from the text, for a corpus without an index.
 
-    A file is one row, so it is scored inside the row and nothing is shuffled
-    but the matching files. The one-element array keeps the optimizer from
-    evaluating the tokens a second time for the filter on empty matches.
+    A row is scored inside itself and nothing is shuffled but the rows that
+    match. Say ``in_pieces`` for a corpus that may hold a file in more than one
+    row, as all corpora of files do: the rows of a file are then added up. The
+    one-element array keeps the optimizer from evaluating the tokens a second
+    time for the filter on empty matches.
     """
     words = query_words(query)
     found = F.filter(tokenize("text"), lambda word: word.isin(words))
@@ -77,12 +81,21 @@ def search_text(corpus: DataFrame, query: str, limit: int | None = None) -> Data
         "path",
         F.explode(F.filter(F.array(found), lambda kept: F.size(kept) > 0)).alias("found"),
     )
-    scored = matches.select(
-        "path",
-        F.size("found").cast("bigint").alias("score"),
-        F.size(F.array_distinct("found")).cast("bigint").alias("matched_terms"),
-    )
-    if limit is None:
+    if in_pieces:
+        # Whether a file holds a term is found out term by term, so the pieces of
+        # a file are a few numbers and are never gathered into a list.
+        held = [F.max(F.array_contains("found", word).cast("bigint")) for word in words]
+        scored = matches.groupBy("path").agg(
+            F.sum(F.size("found").cast("bigint")).alias("score"),
+            sum(held, F.lit(0).cast("bigint")).alias("matched_terms"),
+        )
+    else:
+        scored = matches.select(
+            "path",
+            F.size("found").cast("bigint").alias("score"),
+            F.size(F.array_distinct("found")).cast("bigint").alias("matched_terms"),
+        )
+    if limit is None and not in_pieces:
         # A full sort samples its input first. Without this narrow shuffle the
         # sampling would read and tokenize the whole corpus once more.
         scored = scored.repartition("path")

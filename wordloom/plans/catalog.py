@@ -17,6 +17,7 @@ from wordloom.functions import text as fn
 from wordloom.operators import classify, postings, search, statistics
 from wordloom.plans.session import IndexSession
 from wordloom.sources.filelog import append_log, log_rows, read_log
+from wordloom.sources.pieces import PIECE_BYTES
 from wordloom.sources.tables import corpus_from_table
 from wordloom.sources.workspace import new_location
 
@@ -72,12 +73,13 @@ def scanned(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, directory: str) -> DataFrame:
-    """The same rows, dealt by path.
+    """The same texts in bounded pieces, dealt by path.
 
     Tokens are counted by (word, path) after this without another shuffle, and
     a text is smaller than the postings it gives.
     """
-    return files(spark, directory).repartition("path")
+    pieces = corpus_from_table(named(spark, directory), keep=["source"], piece_bytes=PIECE_BYTES)
+    return pieces.repartition("path")
 
 
 def index(spark: SparkSession, directory: str) -> DataFrame:

@@ -16,6 +16,7 @@ from wordloom.operators.statistics import equivalence, ledger_stats, rendered_st
 from wordloom.operators.store import stored_ledger, withdraw, write_index
 from wordloom.schemas import INDEX_STATS, POSTINGS, STAT_COLUMNS
 from wordloom.sources.filelog import append_log, create_log, log_rows, read_log
+from wordloom.sources.pieces import PIECE_BYTES
 from wordloom.sources.stores import corpus_from_uri
 from wordloom.sources.tables import corpus_from_table
 from wordloom.sources.trees import corpus_from_tree
@@ -98,7 +99,8 @@ class IndexSession:
         """
         if partitions is not None:
             documents = documents.repartition(partitions)
-        return self.index_corpus(corpus_from_table(documents, path, text, max_bytes), log, run_id)
+        corpus = corpus_from_table(documents, path, text, max_bytes, piece_bytes=PIECE_BYTES)
+        return self.index_corpus(corpus, log, run_id)
 
     def index_corpus(
         self, corpus: DataFrame, log: bool = True, run_id: str | None = None
