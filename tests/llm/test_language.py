@@ -1,7 +1,10 @@
+import itertools
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import awkward, awkward_rows, empty
 from pyspark.sql import functions as F
 
@@ -99,3 +102,40 @@ def test_stage_keeps_columns_and_clean_rows(spark):
     kept = language.identified_documents(docs, language.fitted(docs))
     assert kept.columns == docs.columns
     assert sorted(row["doc_id"] or 0 for row in kept.collect()) == [0, 1, 5, 6, 7, 7, 10, 11]
+
+
+def test_numerals_are_no_letters():
+    assert language.words_of("x² ½ Ⅷ ³ ٣ a1b Été") == ["x", "a", "b", "été"]
+    model = language.Model.from_counts([("en", 0, "x", 3), ("de", 0, "y", 3)])
+    for text in ("² ½ Ⅷ", "", None, "12 !"):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("x² ½")[0] == "en"
+
+
+def test_predictions_equal_a_plain_scorer(spark):
+    """The backoff written out with dictionaries, on texts of the given table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    tables = {size: {gram: logs[row] for gram, row in known.items()} for size, (known, logs) in model._tables.items()}
+
+    def score(word):
+        if word in tables[0]:
+            return tables[0][word]
+        for size in (4, 3, 2, 1):
+            marked = word if size == 1 else f"_{word}_"
+            grams = [marked[at : at + size] for at in range(len(marked) - size + 1)]
+            known = [tables[size][gram] for gram in grams if gram in tables[size]]
+            if known:
+                return np.mean(known, axis=0)
+        return np.zeros(len(model.langs))
+
+    for row in docs.collect():
+        words = ["".join(group) for alpha, group in itertools.groupby((row["text"] or "").lower(), str.isalpha) if alpha]
+        lang, value = model.predict(row["text"])
+        if not words:
+            assert (lang, value) == ("und", 0.0)
+            continue
+        mean = np.mean([score(word) for word in words], axis=0)
+        odds = np.exp(mean - mean.max())
+        assert lang == model.langs[int(mean.argmax())]
+        assert value == pytest.approx(odds.max() / odds.sum(), rel=1e-9)

@@ -2,7 +2,7 @@ import sys
 from collections import Counter
 
 import pytest
-from helpers import awkward, prose
+from helpers import WORDS, awkward, prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -64,19 +64,49 @@ def test_clean_rows_stay_without_any_label(spark):
     assert sorted(row["doc_id"] or 0 for row in kept.collect()) == [0, 1, 5, 6, 7, 7, 10, 11]
 
 
+def similarity(one, other, words=5):
+    sets = [{tuple(text.split()[at : at + words]) for at in range(len(text.split()) - words + 1)} for text in (one, other)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
 def test_copies_and_near_copies_go(spark, tmp_path):
-    words = prose(4, 200).split()
-    near = " ".join([*words[:100], "other", *words[101:]])
-    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, near), (4, prose(9, 200) + " solo")]
+    # Words that never repeat in order, so that each shingle is there once.
+    words = [f"{WORDS[(at * at) % len(WORDS)]}{at}" for at in range(200)]
+    first, near = " ".join(words), " ".join([*words[:100], "other", *words[101:]])
+    clean = " ".join([*words[:90], *[f"new{at}" for at in range(110)]])
+    assert similarity(first, near) >= 0.9 and similarity(first, clean) < 0.5 and similarity(near, clean) < 0.5
+    rows = [(1, first), (2, first), (3, near), (4, clean)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "1L AS n_chars")
     kept = stage(spark, "near_duplicates", docs, "")
     assert sorted(row["doc_id"] for row in kept.collect()) == [1, 4]
 
 
+def test_clashing_names_and_maps_do_not_stop_the_near_duplicates(spark):
+    rows = [(1, prose(1, 40), {"b": 2}), (1, prose(1, 40), {"a": 1}), (2, prose(1, 40), {"a": 1}), (3, prose(5, 60), None), (None, "", {})]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, notes map<string,int>")
+    for name in ("gone_key", "again_key", "key", "row", "row_key", "stays", "times", "n", "a.b"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    docs = docs.withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    kept = stage(spark, "near_duplicates", docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(((row["doc_id"], row["notes"], row["gone_key"]) for row in kept.collect()), key=repr)
+    assert found == [(1, {"a": 1}, "clash"), (3, None, "clash"), (None, {}, "clash")]
+
+
+def test_empty_table_through_all_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
+    for name, step in corpus_pipeline.STAGES:
+        docs = step(spark, docs, folder)
+        assert docs.count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_give_rows_for_every_input(spark, name):
     df = queries.QUERIES[name](spark, SMALL)
     rows = df.collect()
+    if name in ("op12_spelling_variants", "op13_warc"):
+        assert rows
+        return
     if "embeddings" in (queries.QUERIES[name].__code__.co_consts or ()):
         assert rows
         return

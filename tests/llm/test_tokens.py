@@ -34,13 +34,29 @@ def reference():
 
 def test_words_give_the_ids_of_whole_texts(reference):
     texts = HARD + [row[1] for row in awkward_rows()]
-    for kept in (1_000_000, 3):
+    for kept in (1 << 24, 600):
         encoder = Encoder(VOCABULARY, kept)
         for _ in range(2):
             got = [np.frombuffer(one, encoder.dtype).tolist() for one in encoder.encode(texts)]
             assert got == [reference(text) for text in texts]
 
 
+def test_kept_words_are_bounded_in_bytes(reference):
+    encoder = Encoder(VOCABULARY, 200_000)
+    for number in range(30):
+        text = " ".join(f"a{number * 100 + at % 100}x" for at in range(300)) + " " + "q" * 100_000 + str(number)
+        assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == reference(text)
+        held = [len(word) + len(ids) + 180 for part in (encoder._words, encoder._older) for word, ids in part.items()]
+        assert sum(held) <= 200_000 + 40_000 and all(len(word) <= 64 for word in encoder._words)
+
+
+def test_words_joined_for_the_tokenizer(reference):
+    """Words that hold white space, blanks at their end, and many at once."""
+    texts = ["a " + "\n".join(["b", "c d", "", "e  f"]) + "  ", "x \u00a0 y \u2003z  \t w", "one" + " two\r\n three" * 9000, "é " * 50 + "  end "]
+    got = [np.frombuffer(one, np.uint16).tolist() for one in Encoder(VOCABULARY).encode(texts)]
+    assert got == [reference(text) for text in texts]
+
+
 def test_other_kinds_of_vocabulary_are_encoded_whole():
     from tokenizers import Tokenizer
 
@@ -150,3 +166,15 @@ def test_boundaries_are_stitched(spark, tmp_path, ids, block_bytes):
 
 def test_flat_files_of_an_empty_table(spark):
     assert separators.flat_token_rows(empty(spark), MULTI, FREE).collect() == []
+
+
+@pytest.mark.parametrize("run", [" ", "\t", " \n\u00a0\t", "a"])
+def test_very_long_runs_in_flat_files(run):
+    encode = separators._text_encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    plain = separators._rank_encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    for before, after in (("", ""), ("word", "next one"), ("x ", "\u001c y"), ("", "!")):
+        for count in (999, 1000, 1001, 3000):
+            text = before + run * count + after + run * 5 + "end" + run * 2000
+            assert encode(text) == plain.encode_ordinary(text)
+    ids = encode("start " + run * 2_000_000 + " end")
+    assert plain.decode(ids) == "start " + run * 2_000_000 + " end"

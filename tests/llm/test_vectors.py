@@ -4,6 +4,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from wordloom.llm import ann, maxscore
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
@@ -135,3 +137,13 @@ def test_extra_columns_with_clashing_names(spark):
     clash = table(spark, rows).selectExpr("*", "1 AS vector", "2 AS score", "3 AS rank", "4 AS cell", "5 AS ids")
     for search in (ann.nearest, maxscore.best_products):
         assert sorted(map(tuple, search(clash).collect())) == sorted(map(tuple, search(table(spark, rows)).collect()))
+
+
+def test_components_too_large_for_exact_sums_take_no_part(spark):
+    rows = [(at, [float(at), 1.0, 2.0]) for at in range(0, 60, 5)] + [(3, [1e300, 0.0, 0.0]), (20, [-1e300, 1.0, 1.0]), (6, [1e9, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = maxscore.best_products(table, k=3, every=20)
+    good = {at: [64 * at, 64, 128] for at, _ in rows[:12]}
+    for query in (0, 20, 40):
+        wanted = sorted(((-sum(a * b for a, b in zip(good[query], v)), at) for at, v in good.items() if at != query))[:3]
+        assert [(r["vec_id"], r["score"]) for r in found.where(F.col("query_id") == query).orderBy("rank").collect()] == [(at, -s) for s, at in wanted]

@@ -34,6 +34,8 @@ _GRAM_BLOCK, _COUNTED_GRAMS = 65_536, 200_000
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
+#: Longest word whose scores are kept; longer ones are scored each time they occur.
+_KEPT_LENGTH = 64
 _COUNTS = "lang string, size int, gram string, n bigint"
 _PREDICTED = "doc_id bigint, lang_pred string, score double"
 
@@ -43,6 +45,15 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters of a whole text, in lower case. Numerals such as superscripts are no letters."""
+    found = _WORD.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    letters = ("".join(c if c.isalpha() else " " for c in word) for word in found)
+    return [word for part in letters for word in part.split()]
+
+
 def _grams(word: str, size: int) -> Iterator[list[str]]:
     """N-grams of a whole word with its ends marked, in blocks; single letters are not marked."""
     marked = word if size == 1 else f"_{word}_"
@@ -66,7 +77,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 512)
             words: dict[str, Counter] = {}
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                words.setdefault(lang, Counter()).update(_WORD.findall((text or "").lower()))
+                words.setdefault(lang, Counter()).update(words_of(text))
             rows = []
             for lang, counts in words.items():
                 rows += [(lang, 0, word, n) for word, n in counts.items()]
@@ -148,7 +159,7 @@ class Model:
     def _keep(self, word: str, scores: np.ndarray) -> None:
         """Remember a word while there is room; the frequent ones come early."""
         row = len(self._rows)
-        if row >= _KEPT_WORDS:
+        if row >= _KEPT_WORDS or len(word) > _KEPT_LENGTH:
             return
         if row >= len(self._scores):
             self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
@@ -157,7 +168,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score of a text; the score is the posterior of its mean word."""
-        words = _WORD.findall(text.lower()) if text else []
+        words = words_of(text)
         if not words or not self.langs:
             return UNKNOWN, 0.0
         total = np.zeros(len(self.langs))
@@ -274,7 +285,7 @@ def _keeper(location: str, least_score: float, text_at: int):
                 found = [model.predict(text) for text in texts]
                 good = [lang != UNKNOWN and score >= least_score for lang, score in found]
             else:
-                good = [bool(text and _WORD.search(text.lower())) for text in texts]
+                good = [bool(words_of(text)) for text in texts]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return keep

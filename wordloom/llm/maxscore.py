@@ -14,14 +14,13 @@ from __future__ import annotations
 import io
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.scratch import kept, shared_folder
+from wordloom.llm.scratch import kept, resident, shared_folder
 from wordloom.llm.token_files import store, write_whole
 from wordloom.llm.vectors import best_rows, expanded, matrix, query_rows, segments, valid_vectors, without_copies
 
@@ -90,12 +89,14 @@ def _best(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.nda
     return ids[best], scores[best]
 
 
-@lru_cache(maxsize=2)
 def _anchors(location: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    files, path = store(location)
-    with files.open_input_file(path) as file:
-        found = np.load(io.BytesIO(file.read()))
-    return found["rows"], found["ids"], found["owners"]
+    def load() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        files, path = store(location)
+        with files.open_input_file(path) as file:
+            found = np.load(io.BytesIO(file.read()))
+        return found["rows"], found["ids"], found["owners"]
+
+    return resident(("anchors", location), load)
 
 
 def _asker(location: str, k: int):
@@ -169,15 +170,19 @@ def best_products(
 
     Components count as floor(scale * x). Queries are the rows whose id is
     divisible by ``every``, candidates all rows with another id; equal scores go
-    by id. The result is exact. Null and non-finite vectors and rows without an
-    id take no part; a table without others gives no rows. Copies of a vector
+    by id. The result is exact. Null and non-finite vectors, those of an uncommon
+    length and rows without an id take no part; nor do vectors with a component
+    so large that a sum of ``size`` products could pass 2^53, up to where doubles
+    hold every whole number (some 185,000 for 64 dimensions and the usual scale).
+    A table without others gives no rows. Copies of a vector
     are searched as one and reported each; a row that repeats an id and vector
     is one with the first.
     """
     spark = table.sparkSession
     rows, size = valid_vectors(table, vec_id, embedding)
     whole = F.transform("vector", lambda v: F.floor(v.cast("double") * scale).cast("double"))
-    rows = rows.select("vec_id", whole.alias("vector"))
+    most = math.sqrt((1 << 53) / max(size, 1))
+    rows = rows.select("vec_id", whole.alias("vector")).where(F.forall("vector", lambda v: F.abs(v) <= most))
     distinct = without_copies(rows, k + 1)
     if not size or distinct.isEmpty():
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")

@@ -20,8 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm.scratch import kept, lookup, release
 from wordloom.llm.superminhash import band_keys, most_mismatches, shingle_set, signatures, sketches
@@ -460,17 +461,19 @@ def deduplicated(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PER
             F.count("*").alias("times"), F.max("stays").alias("stays"), F.max("n_shingles").alias("n")
         )
     )
-    gone = rows.where("not stays").select(F.col("row_key").alias("gone_key"))
-    again = rows.where("stays and times > 1 and n > 0").select(F.col("row_key").alias("again_key"))
-    left = docs.join(lookup(kept(gone), SENT_KEYS), row_key() == F.col("gone_key"), "left_anti")
-    again = kept(again)
-    if again.isEmpty():
-        return left
+    # The columns of ``docs`` travel as one, so that no name of theirs can clash.
     columns = [F.col(f"`{name}`") for name in docs.columns]
-    once = (
-        left.join(again, row_key() == F.col("again_key"), "left_semi")
-        .groupBy(row_key().alias("again_key"))
-        .agg(F.min(F.struct(*columns)).alias("again_row"))
-        .select("again_row.*")
-    )
-    return left.join(again, row_key() == F.col("again_key"), "left_anti").unionByName(once)
+    whole = docs.select(row_key().alias("key"), F.struct(*columns).alias("row"))
+    gone = rows.where("not stays").select(F.col("row_key").alias("key"))
+    again = kept(rows.where("stays and times > 1 and n > 0").select(F.col("row_key").alias("key")))
+    left = whole.join(lookup(kept(gone), SENT_KEYS), "key", "left_anti")
+    if again.isEmpty():
+        return left.select("row.*")
+    order = F.struct(*[_ordered(F.col("row").getField(name), docs.schema[name].dataType) for name in docs.columns])
+    once = left.join(again, "key", "left_semi").groupBy("key").agg(F.min_by("row", order).alias("row"))
+    return left.join(again, "key", "left_anti").unionByName(once).select("row.*")
+
+
+def _ordered(column: Column, kind: T.DataType) -> Column:
+    """The column, or where it holds maps, which have no order, its text form."""
+    return F.to_json(F.struct(column.alias("of"))) if "map<" in kind.simpleString() else column

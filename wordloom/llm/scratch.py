@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,15 +48,22 @@ def resident(key: Hashable, make: Callable[[], Any]) -> Any:
     """
     global _resident
     if _resident is None or _resident[0] != key:
-        _resident = None
+        release()
         _resident = (key, make())
     return _resident[1]
 
 
 def release() -> None:
-    """Let go of it, in tasks that need their memory for themselves."""
+    """Let go of it, in tasks that need their memory for themselves.
+
+    Freed memory goes back to the system where its allocator can be told to.
+    """
     global _resident
     _resident = None
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:

@@ -9,19 +9,22 @@ before, follows from a prefix scan over one short row per block.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
-from functools import lru_cache
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.scratch import kept, shared_folder
+from wordloom.llm.scratch import kept, resident, shared_folder
 from wordloom.llm.token_files import store
 
 #: Fixed value: the pattern that cuts a text into words for these vocabularies.
 WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: what the pattern takes for white space, as runs that are too long
+# for its look-ahead, which goes back character by character.
+_LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{1000,}")
 #: Bytes of a file that one row of work searches.
 BLOCK_BYTES = 4 << 20
 #: Tokens a writer holds before they go to the file.
@@ -33,13 +36,36 @@ _FILES = "file string, bytes bigint"
 _FOUND = "file string, block bigint, seen bigint, at bigint, closed boolean"
 
 
-@lru_cache(maxsize=2)
 def _rank_encoder(path: str):
-    import tiktoken
+    def load():
+        import tiktoken
 
-    with open(path, "rb") as file:
-        ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
-    return tiktoken.Encoding("flat", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        with open(path, "rb") as file:
+            ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
+        return tiktoken.Encoding("flat", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    return resident(("ranks", path), load)
+
+
+def _text_encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """Ids of a whole text of any kind, none of its strings taken for a special token.
+
+    The pattern makes one word of a run of white space, less its last character
+    if something follows. Very long runs are cut out by this rule beforehand and
+    given to the vocabulary as that one word.
+    """
+    encoding = _rank_encoder(vocabulary)
+
+    def encode(text: str) -> list[int]:
+        ids: list[int] = []
+        at = 0
+        for run in _LONG_SPACE.finditer(text):
+            ids += encoding.encode_ordinary(text[at : run.start()])
+            at = run.end() if run.end() == len(text) else run.end() - 1
+            ids += encoding._encode_single_piece(text[run.start() : at])
+        return ids + encoding.encode_ordinary(text[at:])
+
+    return encode
 
 
 def _writer(folder: str, vocabulary: str, end_id: int, dtype: str):
@@ -51,7 +77,7 @@ def _writer(folder: str, vocabulary: str, end_id: int, dtype: str):
         files, path = store(folder)
         name = f"{TaskContext.get().partitionId():08d}{SUFFIX}"
         early = f"{path}/{name}.{uuid.uuid4().hex}.tmp"
-        encode = _rank_encoder(vocabulary).encode_ordinary
+        encode = _text_encoder(vocabulary)
         place, held, waiting = 0, [], 0
         out = None
         for batch in batches:
@@ -96,7 +122,9 @@ def write_flat(
     """Write whole texts as flat files, one per task, without moving a text.
 
     Returns which document stands where: (file, place, doc_id). A null text is
-    an empty document. ``end_id`` must be an id that the vocabulary never gives.
+    an empty document, and a text of any length is written whole. Rows without
+    an id and rows that repeat one are documents like any other; other columns
+    are never looked at. ``end_id`` must be an id that the vocabulary never gives.
     """
     files, path = store(folder)
     files.create_dir(path, recursive=True)

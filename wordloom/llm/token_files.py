@@ -105,8 +105,8 @@ def _shard_writer(folder: str, vocabulary: str, end_id: int | None, shard_tokens
             doc_ids, ids, tokens = [], [], 0
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                piece = batch.slice(at, 1024)
                 found = encode.encode(piece.column(1).to_pylist())
                 for doc_id, packed in zip(piece.column(0).to_pylist(), found):
                     one = np.frombuffer(packed + ending, encode.dtype)

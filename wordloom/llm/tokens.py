@@ -13,15 +13,23 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from wordloom.llm.scratch import resident
 
-#: Words whose ids a worker keeps, about 200 bytes each.
-KEPT_WORDS = 450_000
+#: Bytes of words and ids that a worker keeps, and what an entry costs beyond them.
+KEPT_BYTES, _ENTRY_BYTES = 96 << 20, 180
+#: Longest word that is kept; longer ones are encoded each time they occur.
+KEPT_LENGTH = 64
 #: Texts that are looked up together before the tokenizer is asked.
-_GROUP = 64
+_GROUP = 1024
+#: Characters of new words that are given to the tokenizer as one text.
+_JOINED = 1 << 16
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
+#: A blank that is not before a word.
+_LOOSE_BLANK = re.compile(r" (?!\S)")
 
 
 class Encoder:
@@ -30,7 +38,7 @@ class Encoder:
     The strings of special tokens are ordinary text. A null text has no ids.
     """
 
-    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
+    def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
 
@@ -45,17 +53,52 @@ class Encoder:
             and first.get("use_regex", True)
             and not first.get("add_prefix_space", True)
         )
+        vocabulary = self._tokenizer.get_vocab()
         size = self._tokenizer.get_vocab_size()
         #: Width of an id in the bytes this class returns.
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self._kept_words = kept_words
+        # Fixed value: how a byte-level vocabulary writes a blank.
+        self._opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self._opens[[number for token, number in vocabulary.items() if token.startswith("\u0120")]] = True
+        self._kept_bytes = kept_bytes
         self._words: dict[str, bytes] = {}
-        self._openings: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._held = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.dtype).tobytes() for one in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words with a blank before each, many words at a time.
+
+        A word holds no other blank before a visible character, so the ids that
+        begin with one tell where the words begin. Where their number differs,
+        as for a word of white space and blanks, words are encoded by themselves.
+        """
+        out: list[bytes] = []
+        first, length = 0, 0
+        for last, word in enumerate(words, 1):
+            length += len(word)
+            if length < _JOINED and last < len(words):
+                continue
+            part = words[first:last]
+            (ids,) = self._tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            ids = np.array(ids.ids, np.int64)
+            starts = np.flatnonzero(self._opens[ids])
+            if len(starts) == len(part) and not (len(starts) and starts[0]):
+                packed = ids.astype(self.dtype).tobytes()
+                width = self.dtype.itemsize
+                ends = [*(starts[1:] * width).tolist(), len(packed)]
+                at = 0
+                for end in ends:
+                    out.append(packed[at:end])
+                    at = end
+            else:
+                out += self._encode([" " + word for word in part])
+            first, length = last, 0
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, packed as little-endian numbers of ``dtype``."""
         texts = [text or "" for text in texts]
@@ -67,46 +110,57 @@ class Encoder:
         return out
 
     def _encode_group(self, texts: list[str]) -> list[bytes]:
-        known = self._words.get
-        pieces: list[list[str]] = []
-        values: list[list[bytes | None]] = []
-        gaps: list[list[int]] = []
-        new: set[str] = set()
-        openings: set[str] = set()
-        for text in texts:
-            parts = text.split(" ")
-            found = list(map(known, parts))
-            missing = [at for at, ids in enumerate(found) if ids is None and at]
-            if not all(parts[at] and not parts[at][0].isspace() for at in missing):
-                # Blanks in a row: cut only before words.
-                parts = _BEFORE_WORD.split(text)
-                found = list(map(known, parts))
-                missing = [at for at, ids in enumerate(found) if ids is None and at]
-            new.update([parts[at] for at in missing])
-            if parts[0] not in self._openings:
-                openings.add(parts[0])
-            pieces.append(parts)
-            values.append(found)
-            gaps.append(missing)
-        met: dict[str, bytes] = {}
-        if new:
-            words = list(new)
-            met = dict(zip(words, self._encode([" " + word for word in words])))
-            if len(self._words) + len(met) <= self._kept_words:
-                self._words.update(met)
-        if openings:
-            words = list(openings)
-            if len(self._openings) + len(words) > self._kept_words // 16:
-                self._openings.clear()
-                words = list({parts[0] for parts in pieces})
-            self._openings.update(zip(words, self._encode(words)))
-        out = []
-        for parts, found, missing in zip(pieces, values, gaps):
-            found[0] = self._openings[parts[0]]
-            for at in missing:
-                found[at] = met[parts[at]]
-            out.append(b"".join(found))
-        return out
+        """Cut texts into words, look each different word up once, and put the ids together."""
+        # Texts with blanks in a row are cut only before words.
+        loose = [_LOOSE_BLANK.search(text) is not None for text in texts]
+        lists = pc.split_pattern(pa.array(["" if odd else text for text, odd in zip(texts, loose)], pa.large_string()), " ")
+        if any(loose):
+            split = iter(lists)
+            parts = [_BEFORE_WORD.split(text) if odd else one.as_py() for text, odd, one in zip(texts, loose, split)]
+            lists = pa.array(parts, pa.large_list(pa.large_string()))
+        starts = np.asarray(lists.offsets)
+        flat = lists.flatten()
+        first = flat.take(pa.array(starts[:-1])).to_pylist()
+        inner = np.ones(len(flat), bool)
+        inner[starts[:-1]] = False
+        words = flat.filter(pa.array(inner)).dictionary_encode()
+        bounds = starts - np.arange(len(starts))
+
+        openings = list(set(first))
+        opened = dict(zip(openings, self._encode(openings)))
+        different = words.dictionary.to_pylist()
+        ids = pa.array(self._look_up(different), pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[bounds].tolist() if len(ids) else [0] * len(starts)
+        data = memoryview(ids.buffers()[2] or b"")
+        return [opened[one] + bytes(data[at:end]) for one, at, end in zip(first, ends, ends[1:])]
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """The ids of different words, from memory or from the tokenizer.
+
+        Once half of the memory is full, what is kept becomes the older half and
+        the older one is let go. Words that still occur come back from there, so
+        that what is kept follows the texts. Long words are never kept.
+        """
+        found = list(map(self._words.get, words))
+        gaps = [at for at, ids in enumerate(found) if ids is None]
+        if not gaps:
+            return found
+        older = self._older.get
+        new = []
+        for at in gaps:
+            found[at] = older(words[at])
+            if found[at] is None:
+                new.append(at)
+        for at, ids in zip(new, self._encode_words([words[at] for at in new])):
+            found[at] = ids
+        for at in gaps:
+            word = words[at]
+            if len(word) <= KEPT_LENGTH:
+                self._words[word] = found[at]
+                self._held += len(word) + len(found[at]) + _ENTRY_BYTES
+        if self._held > self._kept_bytes // 2:
+            self._older, self._words, self._held = self._words, {}, 0
+        return found
 
 
 def encoder(path: str) -> Encoder:
