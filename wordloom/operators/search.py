@@ -29,18 +29,18 @@ def ranked(results: DataFrame, limit: int | None = None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 
 
-def _any_of(words: list[str]) -> Column:
-    """``word`` is one of these, as a balanced tree of equalities.
+def any_of(values: list, column: str = "word") -> Column:
+    """The column is one of these, as a balanced tree of equalities.
 
     A reader skips pages and row groups per equality. A long IN list reaches it
-    as one range from the least to the greatest word, which skips next to nothing.
+    as one range from the least to the greatest value, which skips next to nothing.
     """
-    if not words:
+    if not values:
         return F.lit(False)
-    if len(words) == 1:
-        return F.col("word") == words[0]
-    half = len(words) // 2
-    return _any_of(words[:half]) | _any_of(words[half:])
+    if len(values) == 1:
+        return F.col(column) == values[0]
+    half = len(values) // 2
+    return any_of(values[:half], column) | any_of(values[half:], column)
 
 
 def search(index: DataFrame, query: str, limit: int | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def search(index: DataFrame, query: str, limit: int | None = None) -> DataFrame:
     and goes below the counting of one that is computed on the fly.
     """
     words = sorted(query_words(query))
-    matches = index.where(_any_of(words))
+    matches = index.where(any_of(words))
     if len(words) == 1:
         # (word, path) is unique, so there is nothing to add up.
         found = matches.select(

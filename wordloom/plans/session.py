@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.functions.text import query_argument
+from wordloom.functions.text import query_argument, query_words
 from wordloom.operators import search as ops
-from wordloom.operators.postings import (
-    file_rows,
-    ledger,
-    posting_rows,
-    postings_of_word,
-)
+from wordloom.operators.blocks import search_best, write_blocks
+from wordloom.operators.postings import ledger, posting_rows, postings_of_word
 from wordloom.operators.statistics import equivalence, ledger_stats, rendered_stats
-from wordloom.operators.store import stored_ledger, withdraw, write_index
+from wordloom.operators.store import (
+    stored_files,
+    stored_ledger,
+    stored_postings,
+    stored_postings_of,
+    withdraw,
+    write_index,
+)
 from wordloom.schemas import INDEX_STATS, POSTINGS, STAT_COLUMNS
 from wordloom.sources.filelog import append_log, create_log, log_rows, read_log
 from wordloom.sources.pieces import PIECE_BYTES
 from wordloom.sources.stores import corpus_from_uri
 from wordloom.sources.tables import corpus_from_table
 from wordloom.sources.trees import corpus_from_tree
-from wordloom.sources.workspace import discard, new_location
+from wordloom.sources.workspace import discard, exists, new_location
 
 _NO_STATS = dict.fromkeys(STAT_COLUMNS, 0)
 
@@ -112,7 +115,7 @@ class IndexSession:
             stored = stored_ledger(self._spark, location)
             counts = ledger_stats(stored).first()
             if log and self._log is not None:
-                append_log(log_rows(file_rows(stored)), self._log)
+                append_log(log_rows(stored_files(self._spark, location)), self._log)
         except Exception:
             discard(self._spark, location)
             raise
@@ -133,17 +136,30 @@ class IndexSession:
     def files(self) -> DataFrame:
         """The file rows of the current index, failed and skipped ones included."""
         self._require_index()
-        return file_rows(stored_ledger(self._spark, self._location))
+        return stored_files(self._spark, self._location)
+
+    def compact(self) -> None:
+        """Store the current index once more, in blocks, for searches with a limit."""
+        self._require_index()
+        write_blocks(self.snapshot(), self.files(), self._blocks_at())
+
+    def _blocks_at(self) -> str:
+        return f"{self._location}/_blocks"
 
     def postings(self, word: str) -> DataFrame:
-        return postings_of_word(self.snapshot(), word)
+        if self._location is None:
+            return self.snapshot()
+        return postings_of_word(stored_postings(self._spark, self._location, [word]), word)
 
     def search(self, query: str, limit: int | None = None) -> DataFrame:
         """Matching files, best first. A query without tokens matches nothing."""
         self._require_index()
         if not query_argument(query):
             raise ValueError("the query is empty")
-        return ops.search(self.snapshot(), query, limit)
+        if limit is not None and exists(self._spark, f"{self._blocks_at()}/blocks/_SUCCESS"):
+            return search_best(self._spark, self._blocks_at(), query, limit).results
+        found = stored_postings(self._spark, self._location, query_words(query))
+        return ops.search(found, query, limit)
 
     def search_batch(
         self, queries: DataFrame, id_column: str, text_column: str, limit: int | None = None
@@ -151,9 +167,10 @@ class IndexSession:
         """Matches of every query in a table, or its ``limit`` best with their rank."""
         self._require_index()
         terms = ops.query_terms(queries, id_column, text_column)
+        found = stored_postings_of(self._spark, self._location, terms)
         if limit is None:
-            return ops.all_matches(self.snapshot(), terms)
-        return ops.search_batch(self.snapshot(), terms, limit)
+            return ops.all_matches(found, terms)
+        return ops.search_batch(found, terms, limit)
 
     def stats(self) -> DataFrame:
         """Statistics of the last complete build; zeros before any."""

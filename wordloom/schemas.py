@@ -51,6 +51,17 @@ WITHDRAWN = T.StructType(
     ]
 )
 
+#: A row per file of a stored index: the words it spans and how its rows divide.
+DIRECTORY = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("first_word", T.StringType()),
+        T.StructField("last_word", T.StringType()),
+        T.StructField("words", T.LongType()),
+        T.StructField("words_missing", T.LongType()),
+    ]
+)
+
 RESULTS = T.StructType(
     [
         T.StructField("path", T.StringType()),
