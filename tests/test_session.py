@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,7 @@ from conftest import brute_force, rows, table
 from wordloom import IndexSession
 from wordloom.operators.postings import file_token_counts, ledger, postings
 from wordloom.operators.search import search_text
-from wordloom.operators.statistics import index_stats, posting_differences
+from wordloom.operators.statistics import differing_postings, fingerprint, index_stats, posting_differences
 from wordloom.plans import session as session_module
 from wordloom.sources import filelog
 from wordloom.sources.tables import corpus_from_table
@@ -278,3 +280,86 @@ def test_shuffles_of_the_main_jobs(spark, tmp_path):
     session.index_corpus(corpus)
     assert shuffles(session.search("the", limit=3)) == (0, 0)
     assert shuffles(session.search("the w1", limit=3)) == (1, 0)
+
+
+def test_prints_tell_postings_apart(spark, tmp_path):
+    texts = {f"f{n}.txt": f"one two w{n} one" for n in range(30)}
+    session = IndexSession(spark, workspace=str(tmp_path))
+    with pytest.raises(RuntimeError):
+        session.compare_postings()
+    session.index_table(table(spark, texts), run_id="a")
+    session.index_table(table(spark, texts).repartition(5), run_id="b")
+    # The six statistics of this one are those of the others.
+    session.index_table(table(spark, {**texts, "f1.txt": "one two w2 one", "f2.txt": "one two w1 one"}), run_id="c")
+    assert {r["run_id"]: r["equivalent"] for r in session.compare().collect()} == {"a": True, "b": True, "c": True}
+    assert dict(rows(session.compare_postings())) == {"a": True, "b": True, "c": False}
+    prints = rows(fingerprint(session.snapshot()))
+    assert prints == [session._prints[-1][1]]
+    empty = IndexSession(spark, workspace=str(tmp_path))
+    empty.index_table(table(spark, {"a.bin": "x"}))
+    assert rows(fingerprint(empty.snapshot())) == [empty._prints[0][1]] == [(0, 0, None, None)]
+
+
+def test_differences_are_worked_out_only_if_prints_disagree(spark):
+    index = postings(corpus_from_table(table(spark, {f"f{n}.txt": f"one two w{n}" for n in range(20)})))
+    assert differing_postings(index, index.repartition(3)).isEmpty()
+    lost = index.where("word != 'w7'")
+    swapped = index.withColumn("frequency", F.when(F.col("word") == "w3", 2).otherwise(F.col("frequency")))
+    assert set(rows(differing_postings(index, lost))) == {("w7", "f7.txt", 1, 1)}
+    assert differing_postings(index, swapped).count() == 2
+    assert rows(differing_postings(index.where("false"), index.where("false"))) == []
+
+
+def test_two_sessions_publish_and_one_wins(spark, tmp_path):
+    work = str(tmp_path)
+    with pytest.raises(ValueError):
+        IndexSession.open(spark, workspace=work)
+    first = IndexSession(spark, workspace=work)
+    with pytest.raises(RuntimeError):
+        first.publish()
+    first.index_table(table(spark, {"a.txt": "one"}))
+    assert first.publish() == 1
+    other = IndexSession.open(spark, workspace=work)
+    assert rows(other.search("one")) == [("a.txt", 1, 1, 1)] and rows(other.stats()) == rows(first.stats())
+    first.index_table(table(spark, {"b.txt": "one one"}))
+    other.index_table(table(spark, {"c.txt": "one one one"}))
+    assert first.publish() == 2
+    with pytest.raises(RuntimeError, match="another session"):
+        other.publish()
+    assert [r["path"] for r in other.search("one").collect()] == ["c.txt"]
+    # Both stay readable, also after their sessions let go of them.
+    first.clear()
+    other.clear()
+    assert [r["path"] for r in IndexSession.open(spark, workspace=work).search("one").collect()] == ["b.txt"]
+    earlier = IndexSession.open(spark, workspace=work, generation=1)
+    assert [r["path"] for r in earlier.search("one").collect()] == ["a.txt"]
+    again = IndexSession.open(spark, workspace=work)
+    again.index_table(table(spark, {"d.txt": "one"}))
+    assert again.publish() == 3
+    assert dict(rows(again.compare_postings()))[again._runs[0][0]]
+    with pytest.raises(ValueError):
+        IndexSession.open(spark, workspace=work, generation=9)
+
+
+def test_log_batches_count_once_they_are_in_the_manifest(spark, tmp_path):
+    location = str(tmp_path / "log")
+    schema = "path string, size_bytes bigint, token_count bigint, indexed_at bigint"
+    filelog.create_log(spark, location)
+    filelog.append_log(spark.createDataFrame([("a", 1, 1, 1)], schema), location)
+    # A writer that died after its rows and before its entry.
+    spark.createDataFrame([("lost", 1, 1, 1)], schema).write.parquet(f"{location}/batch=dead")
+    # One that died inside its entry.
+    (tmp_path / "log/_batches/000000000099.json").write_text("")
+    assert rows(filelog.read_log(spark, location)) == [("a", 1, 1, 1)]
+    filelog.append_log(spark.createDataFrame([("b", 1, 1, 1)], schema), location)
+    assert sorted(r["path"] for r in filelog.read_log(spark, location).collect()) == ["a", "b"]
+    assert len(list((tmp_path / "log/_batches").glob("*.json"))) == 4
+
+
+def test_log_writers_that_come_at_once(spark, tmp_path):
+    location = str(tmp_path / "log")
+    schema = "path string, size_bytes bigint, token_count bigint, indexed_at bigint"
+    filelog.create_log(spark, location)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: filelog.append_log(spark.createDataFrame([(f"p{n}", 1, 1, 1)], schema), location), range(8)))
+    assert sorted(r["path"] for r in filelog.read_log(spark, location).collect()) == [f"p{n}" for n in range(8)]

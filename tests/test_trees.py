@@ -77,6 +77,13 @@ def test_inventory(spark, tree):
     assert all(found[os.fsencode(p)]["error"] for p in INACCESSIBLE)
 
 
+def test_executors_list_what_the_driver_would(spark, tree, monkeypatch):
+    """A tree of any size is listed alike, by the driver or level by level by executors."""
+    by_driver = named(trees.inventory(spark, str(tree), LIMIT), tree)
+    monkeypatch.setattr(trees, "WALKED_ENTRIES", 3)
+    assert named(trees.inventory(spark, str(tree), LIMIT), tree) == by_driver
+
+
 def test_text_and_counts(spark, tree):
     corpus = trees.corpus_from_tree(spark, str(tree), LIMIT)
     words = {}

@@ -33,51 +33,54 @@ def _directory_at(location: str) -> str:
     return f"{location}/_directory"
 
 
-def _ranges(location: str):
+def _told(location: str, names: Iterable[str]) -> Iterator[tuple]:
     """First and last word of index files, from their footers."""
+    files, folder = _place(location)
+    for name in names:
+        about = pq.read_metadata(f"{folder}/{name}", filesystem=files)
+        at = about.schema.names.index("word")
+        told = [about.row_group(number).column(at).statistics for number in range(about.num_row_groups)]
+        words = [one for one in told if one.has_min_max]
+        first, last = min((one.min for one in words), default=None), max((one.max for one in words), default=None)
+        yield name, first, last, sum(one.num_values for one in told), sum(one.null_count for one in told)
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], DIRECTORY.names)
 
+
+def _teller(location: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, folder = _place(location)
         for batch in batches:
-            rows = []
-            for name in batch.column(0).to_pylist():
-                about = pq.read_metadata(f"{folder}/{name}", filesystem=files)
-                at = about.schema.names.index("word")
-                told = [about.row_group(number).column(at).statistics for number in range(about.num_row_groups)]
-                words = [one for one in told if one.has_min_max]
-                rows.append(
-                    (
-                        name,
-                        min((one.min for one in words), default=None),
-                        max((one.max for one in words), default=None),
-                        sum(one.num_values for one in told),
-                        sum(one.null_count for one in told),
-                    )
-                )
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            columns = [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, DIRECTORY.names)
+            yield _packed(list(_told(location, batch.column(0).to_pylist())))
 
     return run
 
 
 def write_directory(spark: SparkSession, location: str) -> None:
-    """Make the directory of a stored index. Executors read footers, not rows."""
+    """Make the directory of a stored index from footers, not rows.
+
+    More files than one task would take are dealt to executors.
+    """
     files, folder = _place(location)
     names = [
         one.base_name
         for one in files.get_file_info(fs.FileSelector(folder))
         if one.is_file and one.base_name.endswith(".parquet") and not one.base_name.startswith(("_", "."))
     ]
-    tasks = max(1, min(len(names) // FILES_PER_TASK, spark.sparkContext.defaultParallelism))
-    (
-        spark.createDataFrame([(name,) for name in names], "file string")
-        .repartition(tasks)
-        .mapInArrow(_ranges(location), DIRECTORY)
-        .orderBy("first_word", "last_word", "file")
-        .coalesce(1)
-        .write.parquet(_directory_at(location))
-    )
+    if len(names) <= FILES_PER_TASK:
+        rows = list(_told(location, names))
+    else:
+        table = spark.createDataFrame([(name,) for name in names], "file string")
+        dealt = table.repartition(len(names) // FILES_PER_TASK, "file")
+        rows = [tuple(row) for row in dealt.mapInArrow(_teller(location), DIRECTORY).collect()]
+    rows.sort(key=lambda row: (row[1] is not None, row[1] or "", row[2] or "", row[0]))
+    _, path = _place(_directory_at(location))
+    files.create_dir(path)
+    with files.open_output_stream(f"{path}/ranges.parquet") as out:
+        pq.write_table(pa.Table.from_batches([_packed(rows)]), out)
 
 
 def _read(location: str, columns: list[str]) -> dict[str, list]:

@@ -60,7 +60,53 @@ def ledger_stats(entries: DataFrame) -> DataFrame:
     return _six_counts(by_word)
 
 
-def _six_counts(by_word: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+# The sum of a set of postings: what it folds, in which order, does not matter.
+PRINT_COLUMNS = ("postings", "frequencies", "one_print", "other_print")
+
+
+def _prints() -> list[Column]:
+    """Two independent 64-bit hashes of a posting."""
+    posting = ("word", "path", "frequency")
+    return [F.xxhash64(*posting).alias("one"), F.xxhash64(F.lit("other"), F.reverse("word"), *posting).alias("other")]
+
+
+def fingerprint(index: DataFrame) -> DataFrame:
+    """One row that stands for a set of postings, without a shuffle of any of them.
+
+    Equal sets have equal rows. Sets that differ have equal ones with a chance of
+    about 2^-128: exclusive or of two hashes, next to the number of postings and
+    the sum of their frequencies.
+    """
+    hashed = index.select("frequency", *_prints())
+    return hashed.agg(
+        F.count("*").alias("postings"),
+        F.coalesce(F.sum("frequency"), F.lit(0)).alias("frequencies"),
+        F.bit_xor("one").alias("one_print"),
+        F.bit_xor("other").alias("other_print"),
+    )
+
+
+def ledger_summary(entries: DataFrame) -> DataFrame:
+    """The six counts of a build and the fingerprint of its postings, in one pass."""
+    is_posting = F.col("word").isNotNull()
+    one, other = _prints()
+    by_word = entries.groupBy("outcome", "word").agg(
+        F.sum("frequency").alias("n"),
+        F.count_if(is_posting).alias("postings"),
+        F.bit_xor(F.when(is_posting, one)).alias("one_print"),
+        F.bit_xor(F.when(is_posting, other)).alias("other_print"),
+    )
+    return _six_counts(
+        by_word,
+        (),
+        F.coalesce(F.sum("postings"), F.lit(0)).alias("postings"),
+        F.coalesce(F.sum(F.when(F.col("word").isNotNull(), F.col("n"))), F.lit(0)).alias("frequencies"),
+        F.bit_xor("one_print").alias("one_print"),
+        F.bit_xor("other_print").alias("other_print"),
+    )
+
+
+def _six_counts(by_word: DataFrame, by: Sequence[str] = (), *more: Column) -> DataFrame:
     """Add up rows (outcome, word, n), where a null word stands for files."""
     is_file = F.col("word").isNull()
 
@@ -74,6 +120,7 @@ def _six_counts(by_word: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         total(is_file & (F.col("outcome") == SKIPPED), "skipped"),
         F.count("word").alias("unique_words"),
         total(~is_file, "total_tokens"),
+        *more,
     )
 
 
@@ -118,3 +165,13 @@ def posting_differences(left: DataFrame, right: DataFrame) -> DataFrame:
         .agg(F.sum("side").alias("balance"))
         .where(F.col("balance") != 0)
     )
+
+
+def differing_postings(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``posting_differences``, worked out only if the fingerprints disagree.
+
+    Both indexes must hold a posting once, as every index does.
+    """
+    prints = fingerprint(left).unionAll(fingerprint(right)).collect()
+    differences = posting_differences(left, right)
+    return differences.limit(0) if prints[0] == prints[1] else differences

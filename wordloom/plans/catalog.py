@@ -236,7 +236,7 @@ def postings_equivalence(spark, directory):
     """Postings that differ between two ways to build them; there are none."""
     base = corpus(spark, directory)
     from_ledger = postings.posting_rows(postings.ledger(base))
-    return statistics.posting_differences(postings.postings(base), from_ledger)
+    return statistics.differing_postings(postings.postings(base), from_ledger)
 
 
 def postings_differ(spark, directory):

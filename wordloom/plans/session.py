@@ -8,7 +8,7 @@ from wordloom.functions.text import query_argument, query_words
 from wordloom.operators import search as ops
 from wordloom.operators.blocks import search_best, write_blocks
 from wordloom.operators.postings import ledger, posting_rows, postings_of_word
-from wordloom.operators.statistics import equivalence, ledger_stats, rendered_stats
+from wordloom.operators.statistics import PRINT_COLUMNS, equivalence, ledger_summary, rendered_stats
 from wordloom.operators.store import (
     stored_files,
     stored_ledger,
@@ -23,7 +23,7 @@ from wordloom.sources.pieces import PIECE_BYTES
 from wordloom.sources.stores import corpus_from_uri
 from wordloom.sources.tables import corpus_from_table
 from wordloom.sources.trees import corpus_from_tree
-from wordloom.sources.workspace import discard, exists, new_location
+from wordloom.sources.workspace import claim, discard, entries_in, entry, exists, folder_of, new_location
 
 _NO_STATS = dict.fromkeys(STAT_COLUMNS, 0)
 
@@ -49,6 +49,9 @@ class IndexSession:
         self._replaced: list[str] = []
         self._stats = dict(_NO_STATS)
         self._runs: list[tuple] = []
+        self._prints: list[tuple] = []
+        self._generations: dict[str, int] = {}
+        self._published: set[str] = set()
         if log is not None:
             create_log(spark, log)
 
@@ -113,7 +116,7 @@ class IndexSession:
             write_index(ledger(corpus), location)
             withdraw(self._spark, location)
             stored = stored_ledger(self._spark, location)
-            counts = ledger_stats(stored).first()
+            counts = ledger_summary(stored).first()
             if log and self._log is not None:
                 append_log(log_rows(stored_files(self._spark, location)), self._log)
         except Exception:
@@ -123,10 +126,60 @@ class IndexSession:
         self._stats = {name: counts[name] for name in STAT_COLUMNS}
         name = run_id or f"run-{len(self._runs) + 1}"
         self._runs.append((name, *self._stats.values()))
+        self._prints.append((name, tuple(counts[column] for column in PRINT_COLUMNS)))
         if replaced is not None:
             self._replaced.append(replaced)
         return self.stats()
 
+    def publish(self, name: str = "index") -> int:
+        """Make the current index the next generation of a named index; returns its number.
+
+        It follows the generation this session opened or published last. If
+        another session published one since, nothing changes and this is refused;
+        the other generation can be opened, and this one stays searchable here.
+        """
+        self._require_index()
+        number = self._generations.get(name, 0) + 1
+        content = {
+            "location": self._location,
+            "stats": self._stats,
+            "prints": list(self._prints[-1][1]),
+        }
+        if not claim(self._spark, self._generations_at(name), number, content):
+            raise RuntimeError(f"generation {number} of {name} was published by another session")
+        self._generations[name] = number
+        self._published.add(self._location)
+        return number
+
+    @classmethod
+    def open(
+        cls,
+        spark: SparkSession,
+        name: str = "index",
+        workspace: str | None = None,
+        log: str | None = None,
+        generation: int | None = None,
+    ) -> IndexSession:
+        """A session over a published index, by default its last generation."""
+        session = cls(spark, workspace, log)
+        folder = session._generations_at(name)
+        numbers = [one for one in entries_in(spark, folder) if generation in (None, one)]
+        for number in reversed(numbers):
+            content = entry(spark, folder, number)
+            if content is not None:
+                session._location = content["location"]
+                session._stats = {column: content["stats"][column] for column in STAT_COLUMNS}
+                run = f"generation-{number}"
+                session._runs.append((run, *session._stats.values()))
+                session._prints.append((run, tuple(content["prints"])))
+                session._generations[name] = number
+                session._published.add(session._location)
+                return session
+        raise ValueError(f"no such generation of {name}")
+
+    def _generations_at(self, name: str) -> str:
+        return f"{folder_of(self._spark, self._workspace)}/wordloom-generations/{name}"
+
     def snapshot(self) -> DataFrame:
         """The whole index as (word, path, frequency); empty before any build."""
         if self._location is None:
@@ -190,18 +243,28 @@ class IndexSession:
             raise RuntimeError("nothing was indexed yet")
         return equivalence(self.runs(), self._runs[0][0])
 
+    def compare_postings(self) -> DataFrame:
+        """Whether each build has the postings of the first one: (run_id, same_postings).
+
+        Told by the fingerprints that builds keep, so no index is read again.
+        """
+        if not self._runs:
+            raise RuntimeError("nothing was indexed yet")
+        same = [(name, told == self._prints[0][1]) for name, told in self._prints]
+        return self._spark.createDataFrame(same, "run_id string, same_postings boolean")
+
     def log(self) -> DataFrame:
         if self._log is None:
             raise RuntimeError("this session keeps no log")
         return read_log(self._spark, self._log)
 
     def clear(self) -> None:
-        """Drop the index, its tables and its statistics. The log stays."""
+        """Drop the index, its tables and its statistics. The log and published indexes stay."""
         gone = [*self._replaced, self._location]
         self._location, self._replaced = None, []
         self._stats = dict(_NO_STATS)
         for location in gone:
-            if location is not None:
+            if location is not None and location not in self._published:
                 discard(self._spark, location)
 
     def _require_index(self) -> None:

@@ -32,6 +32,9 @@ BATCH_BYTES = 16 * 1024 * 1024
 #: Entries one task looks up.
 ENTRIES_PER_TASK = 20_000
 
+#: Entries up to which the driver walks a tree instead of starting jobs for it.
+WALKED_ENTRIES = 10_000
+
 _LISTED = pa.schema([("path", pa.binary()), ("kind", pa.string()), ("error", pa.string())])
 _SIZED = pa.schema([("path", pa.binary()), ("size_bytes", pa.int64()), ("error", pa.string())])
 _READ = pa.schema(
@@ -102,26 +105,26 @@ def _list_directories(base: bytes):
     return run
 
 
-def _look_up(base: bytes):
+def _sized(base: bytes, rows: Iterable[dict]) -> Iterator[tuple]:
     """Sizes of regular files. Links are followed; other kinds of entry drop out."""
+    for row in rows:
+        path = row["path"]
+        if row["kind"] == "unlisted":
+            yield path, None, row["error"]
+            continue
+        try:
+            found = os.stat(os.path.join(base, path))
+        except OSError as error:
+            yield path, None, _reason(error)
+            continue
+        if stat.S_ISREG(found.st_mode):
+            yield path, found.st_size, None
 
-    def sized(rows: Iterable[dict]) -> Iterator[tuple]:
-        for row in rows:
-            path = row["path"]
-            if row["kind"] == "unlisted":
-                yield path, None, row["error"]
-                continue
-            try:
-                found = os.stat(os.path.join(base, path))
-            except OSError as error:
-                yield path, None, _reason(error)
-                continue
-            if stat.S_ISREG(found.st_mode):
-                yield path, found.st_size, None
 
+def _look_up(base: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in batch.to_pylist())
-        return _batches(sized(rows), _SIZED)
+        return _batches(_sized(base, rows), _SIZED)
 
     return run
 
@@ -200,6 +203,20 @@ def list_tree(spark: SparkSession, root: str, location: str) -> tuple[DataFrame,
     return list_levels(spark, os.fsencode(root), _list_directories(base), _LISTED, location)
 
 
+def _walked(root: str) -> list[tuple] | None:
+    """Sizes of the regular files below ``root``, or None if there are too many entries."""
+    base = os.fsencode(os.getcwd())
+    waiting, entries = [os.fsencode(root)], []
+    while waiting:
+        for path, kind, error in _entries(base, waiting.pop()):
+            if kind == "directory":
+                waiting.append(path)
+            entries.append({"path": path, "kind": kind, "error": error})
+            if len(entries) > WALKED_ENTRIES:
+                return None
+    return list(_sized(base, (row for row in entries if row["kind"] != "directory")))
+
+
 def inventory(
     spark: SparkSession,
     root: str,
@@ -209,10 +226,16 @@ def inventory(
     """Every regular file below ``root``, classified but not opened.
 
     Directories and other entries that are not regular files are left out; an
-    entry whose kind or size cannot be read is inaccessible. The rows are
-    stored at ``location``, so later steps do not look at the tree again.
+    entry whose kind or size cannot be read is inaccessible. The tree is looked
+    at once: the driver lists a small one itself, and what executors list of a
+    larger one is stored at ``location``.
     """
     _validated(root)
+    walked = _walked(root)
+    if walked is not None:
+        rows = [(bytearray(path), size, error) for path, size, error in walked]
+        listed = spark.createDataFrame(rows, _ddl(_SIZED)).withColumn("path", F.col("path").cast("string"))
+        return listed.select("path", "size_bytes", status_of("path", "size_bytes", max_bytes).alias("status"), "error")
     location = location or new_location(spark, "scan")
     entries, number = list_tree(spark, root, f"{location}/entries")
     base = os.fsencode(os.getcwd())
