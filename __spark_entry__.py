@@ -255,6 +255,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT path, size_bytes,
                    CAST(len({_TOKENS.format('text')}) AS BIGINT) AS token_count
             FROM files""",
+        "tree_inventory": f"WITH {_SCANNED} SELECT path, size_bytes, status FROM classified",
+        "store_inventory": f"WITH {_SCANNED} SELECT path, size_bytes, status FROM classified",
+        "tree_postings": f"WITH {_INDEX} SELECT word, path, frequency FROM postings",
+        "store_postings": f"WITH {_INDEX} SELECT word, path, frequency FROM postings",
+        "postings_in_pieces": f"WITH {_INDEX} SELECT word, path, frequency FROM postings",
+        "store_lost_files": f"""WITH {_FILES},
+            words AS (
+              SELECT count(DISTINCT word) AS unique_words, count(*) AS total_tokens
+              FROM (SELECT lower(unnest({_TOKENS.format('text')})) AS word FROM files WHERE doc_id % 7 <> 3)
+            )
+            SELECT count(*) AS discovered, count(*) FILTER (doc_id % 7 <> 3) AS indexed,
+                   count(*) FILTER (doc_id % 7 = 3) AS failed, CAST(0 AS BIGINT) AS skipped,
+                   any_value(unique_words) AS unique_words, any_value(total_tokens) AS total_tokens
+            FROM files, words""",
         "query_trim": f"""WITH {_ARGUMENTS}
             SELECT doc_id, trim(argument, {_SPACE}) AS trimmed FROM arguments""",
         "query_unquote": f"""WITH {_ARGUMENTS},
@@ -281,6 +295,12 @@ def oracle_sql() -> dict[str, str]:
         "search_batch": _best(100),
         "search_batch_top10": _best(10),
         "session_search": _search_sql(catalog.QUERY),
+        "session_lookup": f"WITH {_INDEX} SELECT * FROM postings WHERE word = 'the'",
+        "session_batch_top10": _best(10),
+        "session_best20": f"""WITH {_INDEX},{_search(catalog.QUERY)}
+            SELECT * FROM hits ORDER BY score DESC, path LIMIT 20""",
+        "block_postings": f"WITH {_INDEX} SELECT word, path, frequency FROM postings",
+        "session_reopened": _search_sql(catalog.QUERY),
         "session_stats": f"WITH {_STATS} SELECT * FROM stats",
         "session_log": f"""WITH {_FILES}
             SELECT path, size_bytes,

@@ -8,14 +8,19 @@ unsupported and missing suffixes, since choosing among these is what they do.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as fn
-from wordloom.operators import classify, postings, search, statistics
+from wordloom.operators import blocks, classify, postings, search, statistics
 from wordloom.plans.session import IndexSession
+from wordloom.sources import stores, trees
 from wordloom.sources.filelog import append_log, log_rows, read_log
 from wordloom.sources.pieces import PIECE_BYTES
 from wordloom.sources.tables import corpus_from_table
@@ -253,6 +258,102 @@ def file_log_rows(spark, directory):
     return postings.file_token_counts(files(spark, directory))
 
 
+# Files of a tree or store ------------------------------------------------------
+
+
+def _writer(location: str):
+    """Write each text as a file of its path below a folder; tells which it wrote."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, folder = fs.FileSystem.from_uri(location)
+        made = set()
+        for batch in batches:
+            for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                place = f"{folder}/{path}"
+                parent = place.rpartition("/")[0]
+                if parent not in made:
+                    files.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with files.open_output_stream(place) as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
+
+    return write
+
+
+def written(spark: SparkSession, directory: str, suffixes: list[str]) -> str:
+    """The documents as files of a tree in the workspace; returns its root."""
+    root = new_location(spark, "files")
+    docs = named(spark, directory, suffixes).where(F.col("text").isNotNull()).select("path", "text")
+    docs.mapInArrow(_writer(root), "path string").agg(F.count("*")).collect()
+    return root
+
+
+def _below(root: str, df: DataFrame) -> DataFrame:
+    """The same rows with paths as they are below the root."""
+    return df.withColumn("path", F.substring("path", len(root) + 2, 1 << 20))
+
+
+def tree_inventory(spark, directory):
+    """The tree that the documents were written to, classified without opening a file."""
+    root = written(spark, directory, MIXED_SUFFIXES)
+    return _below(root, trees.inventory(spark, _local(root), CAP)).select("path", "size_bytes", "status")
+
+
+def tree_postings(spark, directory):
+    root = _local(written(spark, directory, SUFFIXES))
+    return _below(root, postings.postings(trees.corpus_from_tree(spark, root)))
+
+
+def store_inventory(spark, directory):
+    """The same through the interface of the storage, with a URI as root."""
+    root = f"file://{_local(written(spark, directory, MIXED_SUFFIXES))}"
+    return _below(root, stores.corpus_from_uri(spark, root, CAP)).select("path", "size_bytes", "status")
+
+
+def store_postings(spark, directory):
+    """Postings of files that are read in ranges and pieces far smaller than they are."""
+    root = f"file://{_local(written(spark, directory, SUFFIXES))}"
+    read = stores.corpus_from_uri(spark, root, piece_bytes=500, range_bytes=2000)
+    return _below(root, postings.postings(read))
+
+
+def store_lost_files(spark, directory):
+    """A build during which every seventh file is lost after it was listed."""
+    root = _local(written(spark, directory, SUFFIXES))
+    read = stores.corpus_from_uri(spark, f"file://{root}")
+    lost = read_paths(spark, directory).where(F.pmod(F.col("doc_id"), F.lit(7)) == 3)
+    lost.select("path").mapInArrow(_remover(root), "path string").agg(F.count("*")).collect()
+    session = IndexSession(spark)
+    session.index_corpus(read)
+    return session.stats()
+
+
+def read_paths(spark: SparkSession, directory: str) -> DataFrame:
+    return read(spark, directory, "documents").select("doc_id", file_path().alias("path"))
+
+
+def _remover(root: str):
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                os.unlink(f"{root}/{path}")
+            yield batch
+
+    return remove
+
+
+def _local(root: str) -> str:
+    """A location in a workspace that is mounted, as a plain path."""
+    return fs.FileSystem.from_uri(root)[1]
+
+
+def postings_in_pieces(spark, directory):
+    """Postings of texts that are cut into pieces of a kilobyte."""
+    cut = corpus_from_table(named(spark, directory), piece_bytes=1024)
+    return postings.postings(cut)
+
+
 # Query strings ---------------------------------------------------------------
 
 
@@ -361,6 +462,39 @@ def session_search_many_terms(spark, directory):
     return _session(spark, directory).search(MANY)
 
 
+def session_lookup(spark, directory):
+    """The postings of a word, from the index files that can hold it."""
+    return _session(spark, directory).postings("the")
+
+
+def session_batch_top10(spark, directory):
+    """Every text of ``benchmark`` as a query against a stored index."""
+    queries = read(spark, directory, "benchmark")
+    return _session(spark, directory).search_batch(queries, "item_id", "text", limit=10)
+
+
+def session_best20(spark, directory):
+    """The best files by the blocks of a compacted index."""
+    session = _session(spark, directory)
+    session.compact()
+    return session.search(QUERY, limit=20)
+
+
+def block_postings(spark, directory):
+    """The postings again from the blocks they were packed into."""
+    session = _session(spark, directory)
+    location = new_location(spark, "blocks")
+    blocks.write_blocks(session.snapshot(), session.files(), location, block_files=256)
+    return blocks.block_postings(spark, location)
+
+
+def session_reopened(spark, directory):
+    """A search by a session that opened an index another one published."""
+    name = f"catalog-{uuid.uuid4().hex}"
+    _session(spark, directory).publish(name)
+    return IndexSession.open(spark, name).search(QUERY)
+
+
 def session_stats(spark, directory):
     session = _session(spark, directory)
     stats = session.stats()
@@ -417,6 +551,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "postings_equivalence": postings_equivalence,
     "postings_differ": postings_differ,
     "file_log_rows": file_log_rows,
+    "tree_inventory": tree_inventory,
+    "tree_postings": tree_postings,
+    "store_inventory": store_inventory,
+    "store_postings": store_postings,
+    "store_lost_files": store_lost_files,
+    "postings_in_pieces": postings_in_pieces,
     "query_trim": query_trim,
     "query_unquote": query_unquote,
     "query_terms": benchmark_terms,
@@ -434,6 +574,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_batch_top10": search_batch_top10,
     "session_search": session_search,
     "session_search_many_terms": session_search_many_terms,
+    "session_lookup": session_lookup,
+    "session_batch_top10": session_batch_top10,
+    "session_best20": session_best20,
+    "block_postings": block_postings,
+    "session_reopened": session_reopened,
     "session_stats": session_stats,
     "session_log": session_log,
     "session_rebuild": session_rebuild,
