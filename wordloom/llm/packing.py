@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.scratch import kept, lookup
-from wordloom.llm.tokens import encoder
+from wordloom.llm.tokens import KEPT_BYTES, encoder
 
 CAPACITY = 1024
 #: Lengths above this part of the capacity are large.
@@ -238,9 +238,9 @@ def plan_rows(runs: list[Run]) -> list[tuple[int, int, int, int, int]]:
     ]
 
 
-def _cutter(vocabulary: str, end_id: int, capacity: int):
+def _cutter(vocabulary: str, end_id: int, capacity: int, kept_bytes: int = KEPT_BYTES):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, kept_bytes)
         ending = np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -271,10 +271,16 @@ def pieces(
     capacity: int = CAPACITY,
     doc_id: str = "doc_id",
     text: str = "text",
+    kept_bytes: int = KEPT_BYTES,
 ) -> DataFrame:
-    """Documents as pieces of at most ``capacity`` ids, the first being the shorter one."""
+    """Documents as pieces of at most ``capacity`` ids, the first being the shorter one.
+
+    Texts of any length are encoded whole. Rows without an id and rows that repeat
+    one are documents like any other; other columns are never looked at. A worker
+    keeps ``kept_bytes`` of words it has met, which changes its speed only.
+    """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_cutter(vocabulary, end_id, capacity), _PIECES)
+    return rows.mapInArrow(_cutter(vocabulary, end_id, capacity, kept_bytes), _PIECES)
 
 
 def _ranked(rows: DataFrame, counts: DataFrame) -> DataFrame:
@@ -326,7 +332,12 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> Data
 
 
 def packed_documents(
-    docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY, groups: int = GROUPS
+    docs: DataFrame,
+    vocabulary: str,
+    end_id: int = 2,
+    capacity: int = CAPACITY,
+    groups: int = GROUPS,
+    kept_bytes: int = KEPT_BYTES,
 ) -> DataFrame:
-    """Encode, cut and pack a corpus. A null text is the one piece (``end_id``)."""
-    return pack(pieces(docs, vocabulary, end_id, capacity), capacity, groups)
+    """Encode, cut and pack a corpus. A null or empty text is the one piece (``end_id``)."""
+    return pack(pieces(docs, vocabulary, end_id, capacity, kept_bytes=kept_bytes), capacity, groups)

@@ -24,8 +24,8 @@ KEPT_BYTES, _ENTRY_BYTES = 96 << 20, 180
 KEPT_LENGTH = 64
 #: Texts that are looked up together before the tokenizer is asked.
 _GROUP = 1024
-#: Characters of new words that are given to the tokenizer as one text.
-_JOINED = 1 << 16
+#: New words that are given to the tokenizer as one text.
+_JOINED = 8192
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 #: A blank that is not before a word.
@@ -77,26 +77,18 @@ class Encoder:
         as for a word of white space and blanks, words are encoded by themselves.
         """
         out: list[bytes] = []
-        first, length = 0, 0
-        for last, word in enumerate(words, 1):
-            length += len(word)
-            if length < _JOINED and last < len(words):
-                continue
-            part = words[first:last]
-            (ids,) = self._tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
-            ids = np.array(ids.ids, np.int64)
+        width = self.dtype.itemsize
+        for first in range(0, len(words), _JOINED):
+            part = words[first : first + _JOINED]
+            (found,) = self._tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype)
             starts = np.flatnonzero(self._opens[ids])
-            if len(starts) == len(part) and not (len(starts) and starts[0]):
-                packed = ids.astype(self.dtype).tobytes()
-                width = self.dtype.itemsize
-                ends = [*(starts[1:] * width).tolist(), len(packed)]
-                at = 0
-                for end in ends:
-                    out.append(packed[at:end])
-                    at = end
+            if len(starts) == len(part) and not starts[0]:
+                packed = ids.tobytes()
+                cuts = [*(starts * width).tolist(), len(packed)]
+                out += [packed[at:end] for at, end in zip(cuts, cuts[1:])]
             else:
                 out += self._encode([" " + word for word in part])
-            first, length = last, 0
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -145,24 +137,23 @@ class Encoder:
         gaps = [at for at, ids in enumerate(found) if ids is None]
         if not gaps:
             return found
-        older = self._older.get
-        new = []
-        for at in gaps:
-            found[at] = older(words[at])
-            if found[at] is None:
-                new.append(at)
-        for at, ids in zip(new, self._encode_words([words[at] for at in new])):
+        lost = [words[at] for at in gaps]
+        values = list(map(self._older.get, lost))
+        new = [at for at, ids in enumerate(values) if ids is None]
+        for at, ids in zip(new, self._encode_words([lost[at] for at in new])):
+            values[at] = ids
+        for at, ids in zip(gaps, values):
             found[at] = ids
-        for at in gaps:
-            word = words[at]
-            if len(word) <= KEPT_LENGTH:
-                self._words[word] = found[at]
-                self._held += len(word) + len(found[at]) + _ENTRY_BYTES
+        met = dict(zip(lost, values))
+        if max(map(len, lost)) > KEPT_LENGTH:
+            met = {word: ids for word, ids in met.items() if len(word) <= KEPT_LENGTH}
+        self._words.update(met)
+        self._held += sum(map(len, met)) + sum(map(len, met.values())) + _ENTRY_BYTES * len(met)
         if self._held > self._kept_bytes // 2:
             self._older, self._words, self._held = self._words, {}, 0
         return found
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept_bytes: int = KEPT_BYTES) -> Encoder:
     """The encoder of a worker process."""
-    return resident(("encoder", path), lambda: Encoder(path))
+    return resident(("encoder", path, kept_bytes), lambda: Encoder(path, kept_bytes))
