@@ -139,3 +139,14 @@ def test_predictions_equal_a_plain_scorer(spark):
         odds = np.exp(mean - mean.max())
         assert lang == model.langs[int(mean.argmax())]
         assert value == pytest.approx(odds.max() / odds.sum(), rel=1e-9)
+
+
+def test_scores_of_many_words_are_those_of_each(monkeypatch):
+    counts = [("en", 0, "word", 3), ("de", 4, "_wor", 2), ("de", 3, "abc", 2), ("en", 2, "zz", 5), ("en", 1, "q", 1)]
+    model = language.Model.from_counts(counts)
+    words = ["word", "worx", "xabcabc", "zzzzz", "qq", "nnn", "w" * 40, "abc" * 30]
+    for block in (1 << 16, 10, 5):
+        monkeypatch.setattr(language, "_GRAM_BLOCK", block)
+        found = model.scores_of(words)
+        assert np.allclose(found, [model.word_scores(word) for word in words], atol=1e-12)
+    assert language.Model([], {}).scores_of(["a"]).shape == (1, 0)

@@ -106,6 +106,11 @@ class Model:
         self._tables = {
             size: (dict(zip(grams, range(len(grams)))), logs) for size, (grams, logs) in tables.items()
         }
+        # All tables one below the other, words first, then n-grams from long to short.
+        self._order = [size for size in (0, *sorted((s for s in tables if s), reverse=True)) if size in tables]
+        self._logs = np.concatenate([self._tables[size][1] for size in self._order] or [np.zeros((0, len(langs)))])
+        sizes = [len(self._tables[size][0]) for size in self._order]
+        self._levels = [(size, self._tables[size][0], sum(sizes[:at])) for at, size in enumerate(self._order)]
         self._rows: dict[str, int] = {}
         self._scores = np.zeros((1024, len(langs)))
 
@@ -156,6 +161,36 @@ class Model:
                 return total / count
         return np.zeros(len(self.langs))
 
+    def _known(self, word: str) -> list[int]:
+        """Rows of what the model knows of a word: itself, or its longest n-grams that are known."""
+        for size, known, first in self._levels:
+            if size == 0:
+                row = known.get(word)
+                if row is not None:
+                    return [row]
+                continue
+            marked = word if size == 1 else f"_{word}_"
+            grams = [marked[at : at + size] for at in range(len(marked) - size + 1)]
+            rows = [known[gram] + first for gram in grams if gram in known]
+            if rows:
+                return rows
+        return []
+
+    def scores_of(self, words: list[str]) -> np.ndarray:
+        """The scores of many words, a row each; very long words are scored by themselves."""
+        out = np.zeros((len(words), len(self.langs)))
+        rows = [[] if len(word) > _GRAM_BLOCK else self._known(word) for word in words]
+        counts = np.array([len(one) for one in rows], np.int64)
+        some = np.flatnonzero(counts)
+        if len(some):
+            starts = (np.cumsum(counts) - counts)[some]
+            sums = np.add.reduceat(self._logs[[row for one in rows for row in one]], starts, axis=0)
+            out[some] = sums / counts[some, None]
+        for at, word in enumerate(words):
+            if len(word) > _GRAM_BLOCK:
+                out[at] = self.word_scores(word)
+        return out
+
     def _keep(self, word: str, scores: np.ndarray) -> None:
         """Remember a word while there is room; the frequent ones come early."""
         row = len(self._rows)
@@ -176,7 +211,8 @@ class Model:
             part = words[at : at + 4096]
             rows = list(map(self._rows.get, part))
             gaps = [place for place, row in enumerate(rows) if row is None]
-            new = {word: self.word_scores(word) for word in {part[place] for place in gaps}}
+            unknown = list({part[place] for place in gaps})
+            new = dict(zip(unknown, self.scores_of(unknown)))
             scores = self._scores[[0 if row is None else row for row in rows]]
             if gaps:
                 scores[gaps] = [new[part[place]] for place in gaps]
