@@ -1,6 +1,7 @@
 import random
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,22 @@ def test_a_batch_reads_a_part_of_the_index(spark, built):
     assert rows(session.search_batch(nothing, "id", "text")) == []
 
 
+def test_words_too_long_for_statistics(spark, tmp_path):
+    texts = {"a.txt": "b " + "x" * 50_000, "b.txt": "x" * 9000 + " y", "c.txt": "one"}
+    session = IndexSession(spark, workspace=str(tmp_path))
+    session.index_table(table(spark, texts))
+    for word, paths in {"x" * 50_000: ["a.txt"], "x" * 9000: ["b.txt"], "y": ["b.txt"], "b": ["a.txt"], "x": []}.items():
+        assert [r["path"] for r in session.search(word).collect()] == paths
+    assert session.files().count() == 3
+
+
+def test_directories_of_many_files_are_made_by_executors(spark, built, monkeypatch):
+    session, _ = built
+    names = sorted(opened(session.snapshot()))
+    (by_task,) = directory._teller(session._location)(iter([pa.RecordBatch.from_arrays([pa.array(names)], ["file"])]))
+    assert [tuple(row.values()) for row in by_task.to_pylist()] == list(directory._told(session._location, names))
+
+
 def test_empty_index_has_an_empty_directory(spark, tmp_path):
     session = IndexSession(spark, workspace=str(tmp_path))
     session.index_table(table(spark, {"a.bin": "x"}).where("false"))

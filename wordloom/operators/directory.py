@@ -13,6 +13,7 @@ import bisect
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +35,32 @@ def _directory_at(location: str) -> str:
 
 
 def _told(location: str, names: Iterable[str]) -> Iterator[tuple]:
-    """First and last word of index files, from their footers."""
+    """First and last word, words and missing words of index files, from their footers.
+
+    A writer leaves the statistics of very long words out. Where they are missing
+    the words of that row group are read instead.
+    """
     files, folder = _place(location)
     for name in names:
-        about = pq.read_metadata(f"{folder}/{name}", filesystem=files)
-        at = about.schema.names.index("word")
-        told = [about.row_group(number).column(at).statistics for number in range(about.num_row_groups)]
-        words = [one for one in told if one.has_min_max]
-        first, last = min((one.min for one in words), default=None), max((one.max for one in words), default=None)
-        yield name, first, last, sum(one.num_values for one in told), sum(one.null_count for one in told)
+        with files.open_input_file(f"{folder}/{name}") as opened:
+            file = pq.ParquetFile(opened)
+            at = file.schema.names.index("word")
+            firsts, lasts, words, missing = [], [], 0, 0
+            for number in range(file.metadata.num_row_groups):
+                rows = file.metadata.row_group(number).num_rows
+                told = file.metadata.row_group(number).column(at).statistics
+                known = told is not None and told.has_null_count
+                if known and (told.has_min_max or told.null_count == rows):
+                    nulls, bounds = told.null_count, (told.min, told.max)
+                else:
+                    column = file.read_row_group(number, columns=["word"]).column(0)
+                    found = pc.min_max(column).as_py()
+                    nulls, bounds = column.null_count, (found["min"], found["max"])
+                if nulls < rows:
+                    firsts.append(bounds[0])
+                    lasts.append(bounds[1])
+                words, missing = words + rows - nulls, missing + nulls
+        yield name, min(firsts, default=None), max(lasts, default=None), words, missing
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
