@@ -50,16 +50,19 @@ def resident(key: Hashable, make: Callable[[], Any]) -> Any:
     if _resident is None or _resident[0] != key:
         release()
         _resident = (key, make())
+        _trim()
     return _resident[1]
 
 
 def release() -> None:
-    """Let go of it, in tasks that need their memory for themselves.
-
-    Freed memory goes back to the system where its allocator can be told to.
-    """
+    """Let go of it, in tasks that need their memory for themselves."""
     global _resident
     _resident = None
+    _trim()
+
+
+def _trim() -> None:
+    """Give freed memory back to the system where its allocator can be told to."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -22,8 +22,9 @@ from wordloom.llm.scratch import resident
 KEPT_BYTES, _ENTRY_BYTES = 96 << 20, 180
 #: Longest word that is kept; longer ones are encoded each time they occur.
 KEPT_LENGTH = 64
-#: Texts that are looked up together before the tokenizer is asked.
-_GROUP = 1024
+#: Most texts that are looked up together before the tokenizer is asked, one for
+#: each so many kept bytes.
+_GROUP, _GROUP_BYTES = 1024, 96 << 10
 #: New words that are given to the tokenizer as one text.
 _JOINED = 8192
 
@@ -44,11 +45,10 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        with open(path, encoding="utf-8") as file:
-            settings = json.load(file)
-        first = settings.get("pre_tokenizer") or {}
+        before = self._tokenizer.pre_tokenizer
+        first = json.loads(before.__getstate__()) if before is not None else {}
         self._by_word = (
-            settings.get("normalizer") is None
+            self._tokenizer.normalizer is None
             and first.get("type") == "ByteLevel"
             and first.get("use_regex", True)
             and not first.get("add_prefix_space", True)
@@ -61,6 +61,7 @@ class Encoder:
         self._opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self._opens[[number for token, number in vocabulary.items() if token.startswith("\u0120")]] = True
         self._kept_bytes = kept_bytes
+        self._group = max(64, min(_GROUP, kept_bytes // _GROUP_BYTES))
         self._words: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._held = 0
@@ -97,8 +98,8 @@ class Encoder:
         if not self._by_word:
             return self._encode(texts)
         out: list[bytes] = []
-        for at in range(0, len(texts), _GROUP):
-            out += self._encode_group(texts[at : at + _GROUP])
+        for at in range(0, len(texts), self._group):
+            out += self._encode_group(texts[at : at + self._group])
         return out
 
     def _encode_group(self, texts: list[str]) -> list[bytes]:
