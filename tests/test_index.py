@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import brute_force, rows, table
-from wordloom.operators import classify, postings, statistics
+from wordloom.operators import classify, postings, sizing, statistics
+from wordloom.plans import catalog
 from wordloom.sources.tables import corpus_from_table
 
 TEXTS = {
@@ -230,3 +231,23 @@ def test_rendered_stats(corpus):
     assert list(lines) == list(statistics.STAT_LABELS.values())
 
 
+
+
+def test_tasks_that_count_words_grow_with_the_input(spark, tmp_path, monkeypatch):
+    texts = [(number, f"word{number} " * 100, f"src{number % 3}") for number in range(400)]
+    spark.createDataFrame(texts, "doc_id bigint, text string, source string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    monkeypatch.setattr(sizing, "COUNTED_BYTES", 10_000)
+    dealt = catalog.corpus(spark, str(tmp_path))
+    total = sum(len(text) for _, text, _ in texts)
+    assert dealt.rdd.getNumPartitions() >= total // 10_000
+    assert postings.postings(dealt).count() == 400
+
+
+def test_tasks_for_nothing_and_for_little(spark):
+    parallel = spark.sparkContext.defaultParallelism
+    assert sizing.tasks_for(spark.range(0), "id", 100) == 1
+    assert sizing.tasks_for(spark.range(2), "id", 100) == 1
+    assert sizing.tasks_for(spark.range(14), "id", 100) == parallel
+    assert sizing.tasks_for(spark.range(1000), "id", 100) == 4995

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as fn
 from wordloom.operators import blocks, classify, postings, search, statistics
+from wordloom.operators.sizing import dealt_texts
 from wordloom.plans.session import IndexSession
 from wordloom.sources import stores, trees
 from wordloom.sources.filelog import append_log, log_rows, read_log
@@ -83,8 +84,9 @@ def corpus(spark: SparkSession, directory: str) -> DataFrame:
     Tokens are counted by (word, path) after this without another shuffle, and
     a text is smaller than the postings it gives.
     """
-    pieces = corpus_from_table(named(spark, directory), keep=["source"], piece_bytes=PIECE_BYTES)
-    return pieces.repartition("path")
+    documents = named(spark, directory)
+    pieces = corpus_from_table(documents, keep=["source"], piece_bytes=PIECE_BYTES)
+    return dealt_texts(pieces, documents)
 
 
 def index(spark: SparkSession, directory: str) -> DataFrame:
@@ -200,7 +202,8 @@ def with_failures(spark, directory):
 
 
 def stats_with_failures(spark, directory):
-    return statistics.index_stats(with_failures(spark, directory).repartition("path"), by=["source"])
+    broken = with_failures(spark, directory)
+    return statistics.index_stats(dealt_texts(broken, broken), by=["source"])
 
 
 def failed_files(spark, directory):
