@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import brute_force, rows, table
+from plans import shuffle_rows
 from wordloom.functions.text import query_words
 from wordloom.operators import search
 from wordloom.operators.postings import postings
@@ -113,3 +114,21 @@ def test_invariants(corpus, texts):
     for row in search.search(postings(corpus), "the cat dog a").collect():
         assert row["score"] == row["total_matches"]
         assert 1 <= row["matched_terms"] <= 4
+
+
+def test_a_task_leaves_out_what_is_not_among_its_best(spark):
+    """What is shuffled for the ranking grows with tasks and queries, not with matches."""
+    results = spark.range(0, 60_000, 1, 2).select(
+        (F.col("id") % 3).alias("query_id"),
+        F.format_string("f%05d", "id").alias("path"),
+        (F.col("id") % 7).alias("score"),
+        (F.col("id") % 7).alias("total_matches"),
+        F.lit(1).cast("bigint").alias("matched_terms"),
+    )
+    top = search.top_per_query(results, 5)
+    best = {(q, n): [] for q in range(3) for n in range(1, 6)}
+    assert {(r["query_id"], r["rank"]) for r in top.collect()} == set(best)
+    plan = top._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    shuffled = [int(n) for n in shuffle_rows(plan)]
+    assert max(shuffled) <= 2 * 3 * 5

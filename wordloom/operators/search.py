@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.text import distinct_terms, query_words, tokenize
 from wordloom.operators.classify import readable
-from wordloom.operators.sizing import BROADCAST_BYTES, fits_broadcast
+from wordloom.operators.sizing import BROADCAST_BYTES, GROUPED_ROWS, fits_broadcast, tasks_for
 
 #: Pieces a posting list is cut into when query terms are joined by shuffle, and
 #: the matches of a query before they are ranked. Adaptive execution splits a
@@ -132,6 +132,20 @@ def match_terms(
     )
 
 
+def regrouped(index: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The postings of the words in ``terms``, dealt by path if the terms can be broadcast.
+
+    An index is clustered by word, so the matches of a file come from everywhere and
+    each would be shuffled for every query that has its word. Dealt by path first,
+    a posting is shuffled once and the matches of a file are added up where they are.
+    """
+    if not fits_broadcast(terms, max_broadcast_bytes):
+        return index
+    wanted = F.broadcast(terms.select("word").distinct())
+    found = index.join(wanted, "word", "left_semi")
+    return found.repartition(tasks_for(found, F.lit(1), GROUPED_ROWS), "path")
+
+
 def search_batch(
     index: DataFrame, terms: DataFrame, limit: int, max_broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -154,10 +168,12 @@ def top_per_query(results: DataFrame, k: int) -> DataFrame:
     """The first ``k`` files of each query, with their rank.
 
     A query that matches a third of all files is ranked in pieces first, each of
-    which is cut to ``k`` files, so the final ranking sees few of them.
+    which is cut to ``k`` files, so the final ranking sees few of them. The rows
+    of a task are in one piece, so that the task leaves out what is not among
+    the best ``k`` of its own before anything is shuffled.
     """
     best_first = (F.desc("score"), F.asc("path"))
-    salt = F.pmod(F.xxhash64("path"), F.lit(SALTS).cast("bigint"))
+    salt = F.spark_partition_id() % SALTS
     piece = Window.partitionBy("query_id", "salt").orderBy(*best_first)
     whole = Window.partitionBy("query_id").orderBy(*best_first)
     return (
