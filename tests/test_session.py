@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import brute_force, rows, table
+from plans import shuffle_rows
 from wordloom import IndexSession
+from wordloom.operators import ranges, sizing
 from wordloom.operators.postings import file_token_counts, ledger, postings
 from wordloom.operators.search import search_text
 from wordloom.operators.statistics import differing_postings, fingerprint, index_stats, posting_differences
@@ -363,3 +365,43 @@ def test_log_writers_that_come_at_once(spark, tmp_path):
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(lambda n: filelog.append_log(spark.createDataFrame([(f"p{n}", 1, 1, 1)], schema), location), range(8)))
     assert sorted(r["path"] for r in filelog.read_log(spark, location).collect()) == [f"p{n}" for n in range(8)]
+
+
+def test_a_large_table_is_cut_into_ranges_by_a_sample(spark, monkeypatch):
+    """Many parts: rows are computed once, in ranges that follow one another and are alike in size."""
+    monkeypatch.setattr(sizing, "COUNTED_BYTES", 4000)
+    monkeypatch.setattr(ranges, "COUNTED_BYTES", 4000)
+    texts = {f"f{n:04d}.txt": f"the w{n % 400:03d} x{n:04d} y{n % 7}" for n in range(2000)}
+    texts |= {"none.md": "", "other.bin": "skipped", "long.txt": "the " * 500 + "end"}
+    session = IndexSession(spark)
+    documents = spark.createDataFrame([*texts.items(), ("null.txt", None)], "path string, text string")
+    session.index_table(documents)
+    wanted = brute_force({path: text for path, text in texts.items() if path != "other.bin"})
+    assert {(w, p): n for w, p, n in rows(session.snapshot())} == wanted
+    stats = session.stats().first().asDict()
+    assert (stats["discovered"], stats["indexed"], stats["skipped"]) == (2004, 2002, 2)
+    told = spark.read.parquet(f"{session._location}/_directory").orderBy("first_word").collect()
+    assert len(told) > 8
+    spans = [(r["first_word"], r["last_word"]) for r in told if r["first_word"] is not None]
+    assert all(one[1] <= other[0] for one, other in zip(spans, spans[1:]))
+    sizes = [r["words"] + r["words_missing"] for r in told]
+    assert max(sizes) < 4 * sum(sizes) / len(sizes)
+    assert rows(session.postings("the")) and session.files().count() == 2004
+    with pytest.raises(ValueError, match="more than once"):
+        session.index_table(documents.unionAll(documents))
+
+
+def test_a_batch_shuffles_a_posting_once(spark):
+    """What is shuffled does not grow with the queries that share a word."""
+    texts = {f"f{n:03d}.txt": f"the and w{n % 9}" for n in range(300)}
+    session = IndexSession(spark)
+    session.index_table(table(spark, texts))
+    most = {}
+    for number in (5, 50):
+        queries = spark.createDataFrame([(n, "the and") for n in range(number)], "q int, t string")
+        found = session.search_batch(queries, "q", "t")
+        assert found.count() == number * 300
+        plan = found._jdf.queryExecution().executedPlan()
+        plan.executeCollect()
+        most[number] = max(shuffle_rows(plan))
+    assert most[5] == most[50] == 600

@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.operators.directory import entries_of, entries_of_terms, file_entries, write_directory
 from wordloom.operators.postings import file_rows, posting_rows, settled, uncommitted
+from wordloom.operators.ranges import in_ranges
 from wordloom.schemas import LEDGER, WITHDRAWN
 from wordloom.sources.workspace import exists
 
 
-def write_index(entries: DataFrame, location: str) -> None:
+def write_index(entries: DataFrame, location: str, bounds: Sequence[str] = ()) -> None:
     """Write a ledger as Parquet, clustered by word.
 
     Ranges are cut on (word, path), so a frequent word is split over as many
     files as its postings need. The sort gives every row group a narrow word
     range: a lookup reads the row groups that can hold its words, of the files
     that the term directory names. The rows of files have no word and come first,
-    in row groups of their own.
+    in row groups of their own. With ``bounds`` of a sample the rows are computed
+    once; without, Spark computes them once more to find where to cut.
     """
+    dealt = in_ranges(entries, list(bounds)) if bounds else entries.repartitionByRange("word", "path")
     (
-        entries.repartitionByRange("word", "path")
-        .sortWithinPartitions("word", "path")
+        dealt.sortWithinPartitions("word", "path")
         .write.option("compression", "zstd")
         .mode("errorifexists")
         .parquet(location)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.functions.text import query_argument, query_words
 from wordloom.operators import search as ops
 from wordloom.operators.blocks import search_best, write_blocks
 from wordloom.operators.postings import ledger, posting_rows, postings_of_word
+from wordloom.operators.ranges import SAMPLED_PIECE, sampled_bounds
+from wordloom.operators.sizing import text_parts
 from wordloom.operators.statistics import PRINT_COLUMNS, equivalence, ledger_summary, rendered_stats
 from wordloom.operators.store import (
     stored_files,
@@ -101,19 +105,30 @@ class IndexSession:
         """Index a table of documents and return the statistics.
 
         ``partitions`` deals the documents anew before their texts are read; use
-        it for a table that has fewer splits than the cluster has cores.
+        it for a table that has fewer splits than the cluster has cores. Texts of
+        more than a part for each core are dealt by path in parts of bounded size.
         """
         if partitions is not None:
             documents = documents.repartition(partitions)
         corpus = corpus_from_table(documents, path, text, max_bytes, piece_bytes=PIECE_BYTES)
-        return self.index_corpus(corpus, log, run_id)
+        bounds = []
+        parts = text_parts(documents, text)
+        if parts > self._spark.sparkContext.defaultParallelism:
+            pieces = corpus_from_table(documents, path, text, max_bytes, piece_bytes=SAMPLED_PIECE)
+            bounds = sampled_bounds(pieces, parts)
+            corpus = corpus.repartition(parts, "path")
+        return self.index_corpus(corpus, log, run_id, bounds)
 
     def index_corpus(
-        self, corpus: DataFrame, log: bool = True, run_id: str | None = None
+        self,
+        corpus: DataFrame,
+        log: bool = True,
+        run_id: str | None = None,
+        bounds: Sequence[str] = (),
     ) -> DataFrame:
         location = new_location(self._spark, "index", self._workspace)
         try:
-            write_index(ledger(corpus), location)
+            write_index(ledger(corpus), location, bounds)
             withdraw(self._spark, location)
             stored = stored_ledger(self._spark, location)
             counts = ledger_summary(stored).first()
@@ -221,6 +236,7 @@ class IndexSession:
         self._require_index()
         terms = ops.query_terms(queries, id_column, text_column)
         found = stored_postings_of(self._spark, self._location, terms)
+        found = ops.regrouped(found, terms)
         if limit is None:
             return ops.all_matches(found, terms)
         return ops.search_batch(found, terms, limit)
