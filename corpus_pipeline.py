@@ -19,12 +19,13 @@ KEPT_BYTES = 16 << 20
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter go.
+    """Documents whose language can be told, which those without a language get; texts without a letter go.
 
-    Where no labelled document is left to fit on, no language can be told, and
+    No document goes for a low score: the score tells how sure the model is, not
+    whether the text is any good. Where no labelled document is left to fit on, no language can be told, and
     still only texts without a letter go.
     """
-    return language.identified_documents(docs, language.fitted(docs))
+    return language.identified_documents(docs, language.fitted(docs), lang="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,3 +138,15 @@ def test_nothing_else_imports_the_operators():
         if "llm" not in path.parts:
             assert "llm" not in path.read_text()
     assert "corpus_pipeline" in sys.modules
+
+
+def test_documents_without_a_language_get_the_one_that_is_told(spark):
+    words = {"en": "the and with from that this", "de": "der und mit von dass dieses"}
+    rows = [(n, f"{words[lang]} {n}", lang) for n, lang in enumerate(["en", "de"] * 30)]
+    rows += [(100, "with this and that", None), (101, "mit dieses und dass", None), (102, "mit dass und", "en"), (103, "1 2", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "'s' AS source", "1L AS n_chars")
+    kept = stage(spark, "language", docs, "")
+    assert kept.columns == docs.columns
+    found = {row["doc_id"]: row["lang"] for row in kept.collect()}
+    assert {n: found.get(n) for n in (100, 101, 102, 103)} == {100: "en", 101: "de", 102: "en", 103: None}
+    assert len(found) == 63 and 103 not in found

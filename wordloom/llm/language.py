@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -312,7 +313,7 @@ def identify(docs: DataFrame, location: str, doc_id: str = "doc_id", text: str =
     return rows.mapInArrow(_predictor(location), _PREDICTED)
 
 
-def _keeper(location: str, least_score: float, text_at: int):
+def _keeper(location: str, least_score: float, text_at: int, lang_at: int | None):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _loaded(location)
         for batch in batches:
@@ -320,6 +321,10 @@ def _keeper(location: str, least_score: float, text_at: int):
             if model.langs:
                 found = [model.predict(text) for text in texts]
                 good = [lang != UNKNOWN and score >= least_score for lang, score in found]
+                if lang_at is not None:
+                    label = batch.schema.field(lang_at)
+                    told = pa.array([lang for lang, _ in found], pa.string()).cast(label.type)
+                    batch = batch.set_column(lang_at, label, pc.coalesce(batch.column(lang_at), told))
             else:
                 good = [bool(words_of(text)) for text in texts]
             yield batch.filter(pa.array(good, pa.bool_()))
@@ -328,14 +333,17 @@ def _keeper(location: str, least_score: float, text_at: int):
 
 
 def identified_documents(
-    docs: DataFrame, location: str, text: str = "text", least_score: float = 0.0
+    docs: DataFrame, location: str, text: str = "text", least_score: float = 0.0, lang: str | None = None
 ) -> DataFrame:
-    """The rows of ``docs`` whose language can be told, unchanged.
+    """The rows of ``docs`` whose language can be told.
 
+    They are unchanged, except that with ``lang`` rows that have no language in
+    that column get the one that was told; a given one stays as it is.
     A model that was fitted on nothing tells no language and gives no score, so
     with it all rows with a letter stay, whatever ``least_score`` is.
     """
-    return docs.mapInArrow(_keeper(location, least_score, docs.columns.index(text)), docs.schema)
+    lang_at = None if lang is None else docs.columns.index(lang)
+    return docs.mapInArrow(_keeper(location, least_score, docs.columns.index(text), lang_at), docs.schema)
 
 
 def fitted(docs: DataFrame) -> str:
