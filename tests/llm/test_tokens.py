@@ -178,3 +178,20 @@ def test_very_long_runs_in_flat_files(run):
             assert encode(text) == plain.encode_ordinary(text)
     ids = encode("start " + run * 2_000_000 + " end")
     assert plain.decode(ids) == "start " + run * 2_000_000 + " end"
+
+
+def test_letters_with_marks_behind_them_are_not_encoded_again(monkeypatch):
+    one = Encoder(VOCABULARY)
+    asked = []
+    encode_words = one._encode_words
+    monkeypatch.setattr(one, "_encode_words", lambda words: asked.extend(words) or encode_words(words))
+    texts = ["a straße Über cut"] + ["a straße, Über's\nend cut... cut\u00b2 cut\u0435x Über\u0301 cut_1 \u00d7cut"]
+    assert one.encode(texts[:1]) + one.encode(texts[1:]) == one._encode(texts)
+    assert sorted(asked[:3]) == ["cut", "straße", "Über"]
+    assert not set(asked[3:]) & {"cut", "straße", "Über", "straße,", "Über's\nend", "cut...", "cut_1"}
+
+
+def test_a_text_with_blanks_in_a_row_does_not_change_how_others_are_cut():
+    texts = ["one two", "one  two ", "", "one two.  Three", "two three", " ", "one\n two"] * 3
+    one = Encoder(VOCABULARY)
+    assert one.encode(texts) == one._encode(texts)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 from wordloom.llm.scratch import resident
 
 #: Bytes of words and ids that a worker keeps, and what an entry costs beyond them.
-KEPT_BYTES, _ENTRY_BYTES = 96 << 20, 180
+KEPT_BYTES, _ENTRY_BYTES = 192 << 20, 180
 #: Longest word that is kept; longer ones are encoded each time they occur.
 KEPT_LENGTH = 64
 #: Most texts that are looked up together before the tokenizer is asked, one for
@@ -31,6 +32,9 @@ _JOINED = 8192
 _BEFORE_WORD = re.compile(r" (?=\S)")
 #: A blank that is not before a word.
 _LOOSE_BLANK = re.compile(r" (?!\S)")
+#: Letters, and what follows from a character that is none on. Only letters that every
+#: version of Unicode knows, and only ASCII behind them, so that no cut is inside letters.
+_BEFORE_END = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([\x00-@\[-`{-\x7f].*)", re.DOTALL)
 
 
 class Encoder:
@@ -106,11 +110,16 @@ class Encoder:
         """Cut texts into words, look each different word up once, and put the ids together."""
         # Texts with blanks in a row are cut only before words.
         loose = [_LOOSE_BLANK.search(text) is not None for text in texts]
-        lists = pc.split_pattern(pa.array(["" if odd else text for text, odd in zip(texts, loose)], pa.large_string()), " ")
+        if any(loose) and not all(loose):
+            of_kind = {
+                kind: iter(self._encode_group([text for text, odd in zip(texts, loose) if odd == kind]))
+                for kind in (True, False)
+            }
+            return [next(of_kind[odd]) for odd in loose]
         if any(loose):
-            split = iter(lists)
-            parts = [_BEFORE_WORD.split(text) if odd else one.as_py() for text, odd, one in zip(texts, loose, split)]
-            lists = pa.array(parts, pa.large_list(pa.large_string()))
+            lists = pa.array([_BEFORE_WORD.split(text) for text in texts], pa.large_list(pa.large_string()))
+        else:
+            lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         starts = np.asarray(lists.offsets)
         flat = lists.flatten()
         first = flat.take(pa.array(starts[:-1])).to_pylist()
@@ -139,14 +148,11 @@ class Encoder:
         if not gaps:
             return found
         lost = [words[at] for at in gaps]
-        values = list(map(self._older.get, lost))
-        new = [at for at, ids in enumerate(values) if ids is None]
-        for at, ids in zip(new, self._encode_words([lost[at] for at in new])):
-            values[at] = ids
-        for at, ids in zip(gaps, values):
-            found[at] = ids
-        met = dict(zip(lost, values))
-        if max(map(len, lost)) > KEPT_LENGTH:
+        met = self._recalled(lost)
+        self._learn([word for word in lost if word not in met], met)
+        for at, word in zip(gaps, lost):
+            found[at] = met[word]
+        if max(map(len, met)) > KEPT_LENGTH:
             met = {word: ids for word, ids in met.items() if len(word) <= KEPT_LENGTH}
         self._words.update(met)
         self._held += sum(map(len, met)) + sum(map(len, met.values())) + _ENTRY_BYTES * len(met)
@@ -154,6 +160,35 @@ class Encoder:
             self._older, self._words, self._held = self._words, {}, 0
         return found
 
+    def _learn(self, new: list[str], met: dict[str, bytes]) -> None:
+        """Add the ids of words that are not in memory to those just met.
+
+        Many of them are letters that occur elsewhere, with marks behind them.
+        They are cut there, and the tokenizer gets those parts that are new.
+        """
+        whole, ends = [], []
+        for word in new:
+            cut = None if word.isalpha() else _BEFORE_END.fullmatch(word)
+            if cut is None:
+                whole.append(word)
+            else:
+                # No word begins with a blank: that stands for marks, which have none before them.
+                ends.append((word, cut[1], " " + cut[2]))
+        parts = {part for _, *both in ends for part in both}.difference(met, whole)
+        known = {part: self._words[part] for part in parts if part in self._words}
+        met |= self._recalled(parts.difference(known))
+        parts.difference_update(known, met)
+        marks = [part for part in parts if part[0] == " "]
+        met.update(zip(marks, self._encode([part[1:] for part in marks])))
+        whole += parts.difference(marks)
+        met.update(zip(whole, self._encode_words(whole)))
+        known |= met
+        met.update((word, known[head] + known[end]) for word, head, end in ends)
+
+    def _recalled(self, words: Iterable[str]) -> dict[str, bytes]:
+        """What the older half of the memory holds of these words."""
+        return {word: self._older[word] for word in words if word in self._older}
+
 
 def encoder(path: str, kept_bytes: int = KEPT_BYTES) -> Encoder:
     """The encoder of a worker process."""
