@@ -17,6 +17,17 @@ from wordloom.llm.scratch import shared_folder
 #: Bytes of words that a worker keeps while it packs, next to what is left of the other stages.
 KEPT_BYTES = 16 << 20
 
+#: Rows that go to a worker at once. Spark's 10,000 whole texts are tens of MB, which an
+#: executor holds for each worker several times over, and its workers once more.
+BATCH_ROWS, _BATCH_ROWS = 1024, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bound the batches of the session, unless it has smaller ones. They change no result."""
+    rows = int(spark.conf.get(_BATCH_ROWS))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS, BATCH_ROWS)
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told, which those without a language get; texts without a letter go.
@@ -25,11 +36,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     whether the text is any good. Where no labelled document is left to fit on, no language can be told, and
     still only texts without a letter go.
     """
+    _small_batches(spark)
     return language.identified_documents(docs, language.fitted(docs), lang="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, on shingles of five words."""
+    _small_batches(spark)
     return neardup.deduplicated(docs)
 
 
@@ -53,6 +66,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A null or empty text is the one piece of its end; texts of any length are
     cut, never left out; an empty table gives no piece.
     """
+    _small_batches(spark)
     return packing.packed_documents(docs, public_tokenizers.path(BYTE_BPE), END_ID, kept_bytes=KEPT_BYTES)
 
 

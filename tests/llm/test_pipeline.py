@@ -150,3 +150,16 @@ def test_documents_without_a_language_get_the_one_that_is_told(spark):
     found = {row["doc_id"]: row["lang"] for row in kept.collect()}
     assert {n: found.get(n) for n in (100, 101, 102, 103)} == {100: "en", 101: "de", 102: "en", 103: None}
     assert len(found) == 63 and 103 not in found
+
+
+@pytest.mark.parametrize("name", ["language", "near_duplicates", "pack"])
+@pytest.mark.parametrize("before, after", [("10000", "1024"), ("100", "100"), ("0", "1024")])
+def test_workers_get_whole_texts_in_small_batches(spark, folder, name, before, after):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(rows)
+    try:
+        spark.conf.set(rows, before)
+        stage(spark, name, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        assert spark.conf.get(rows) == after
+    finally:
+        spark.conf.set(rows, usual)
