@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import brute_force, rows, table
 from plans import shuffle_rows
 from wordloom import IndexSession
-from wordloom.operators import ranges, sizing
+from wordloom.operators import counted, ranges, sizing
 from wordloom.operators.postings import file_token_counts, ledger, postings
 from wordloom.operators.search import search_text
 from wordloom.operators.statistics import differing_postings, fingerprint, index_stats, posting_differences
@@ -391,6 +391,37 @@ def test_a_large_table_is_cut_into_ranges_by_a_sample(spark, monkeypatch):
         session.index_table(documents.unionAll(documents))
 
 
+def test_whole_texts_are_counted_without_a_row_per_token(spark, monkeypatch):
+    """What is counted in a task is the ledger, and its ranges are those that ``ranged`` tells."""
+    monkeypatch.setattr(counted, "HELD_POSTINGS", 50)
+    monkeypatch.setattr(counted, "BATCH_ROWS", 7)
+    texts = {f"f{n:03d}.txt": f"The w{n % 40} \u212a x{n} the-end caf\u00e9{n} The" for n in range(200)}
+    texts |= {"none.md": "", "other.bin": "skipped", "marks.txt": "\u00e9 -- \u4e2d", "z\u00e9.txt": "the Zz0"}
+    documents = spark.createDataFrame([*texts.items(), ("null.txt", None), ("a", None)], "path string, text string")
+    corpus = corpus_from_table(documents)
+    bounds = sorted(["\0f010.txt", "\0zz", "the\0f100.txt", "the\0f1", "thf\0a", "w5\0", "zz0\0z\u00e9.txt", "zzz\0a"])
+    found = counted.counted_ledger(corpus.repartition(3, "path"), bounds, False)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    wanted = ranges.ranged(ledger(corpus), bounds)
+    assert sorted(map(str, rows(found))) == sorted(map(str, rows(wanted.select(*found.columns))))
+
+
+def test_long_texts_and_rows_without_a_path_are_in_a_large_index(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "COUNTED_BYTES", 4000)
+    monkeypatch.setattr(ranges, "COUNTED_BYTES", 4000)
+    monkeypatch.setattr(counted, "WHOLE_BYTES", 1000)
+    texts = {f"f{n:04d}.txt": f"the w{n % 400:03d} x{n:04d} y{n % 7}" for n in range(2000)}
+    texts |= {"long.txt": "the " * 500 + "end", "more.md": "the x0001 " * 300}
+    rows_of = [*texts.items(), (None, "the lost the")]
+    session = IndexSession(spark)
+    session.index_table(spark.createDataFrame(rows_of, "path string, text string"))
+    wanted = brute_force(texts)
+    assert {(w, p): n for w, p, n in rows(session.snapshot().where(F.col("path").isNotNull()))} == wanted
+    # A row without a path has no suffix and so is no file that is indexed.
+    assert session.snapshot().where(F.col("path").isNull()).count() == 0
+    assert session.stats().first()["discovered"] == len(rows_of)
+
+
 def test_a_batch_shuffles_a_posting_once(spark):
     """What is shuffled does not grow with the queries that share a word."""
     texts = {f"f{n:03d}.txt": f"the and w{n % 9}" for n in range(300)}

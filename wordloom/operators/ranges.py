@@ -57,12 +57,13 @@ def sampled_bounds(pieces: DataFrame, parts: int) -> list[str]:
     return sorted({told[at * len(told) // ranges] for at in range(1, ranges)}) if told else []
 
 
-def in_ranges(entries: DataFrame, bounds: list[str]) -> DataFrame:
-    """Rows dealt to the ranges between the bounds, a partition each.
+def ranged(entries: DataFrame, bounds: list[str]) -> DataFrame:
+    """Rows with the number of their range, which is how many bounds do not come after a row.
 
-    The number of the range, which is how many bounds do not come after a row, is
-    found by halving, a step per projection.
+    It is found by halving, a step per projection.
     """
+    if not bounds:
+        return entries.withColumn("range", F.lit(0))
     held, at = F.lit(bounds), F.col("range")
     dealt = entries.withColumn("key", _key()).withColumn("range", F.lit(0))
     step = 1 << (len(bounds).bit_length() - 1)
@@ -70,4 +71,10 @@ def in_ranges(entries: DataFrame, bounds: list[str]) -> DataFrame:
         further = F.get(held, at + (step - 1)) <= F.col("key")
         dealt = dealt.withColumn("range", F.when(further, at + step).otherwise(at))
         step //= 2
-    return dealt.drop("key").repartitionById(len(bounds) + 1, "range").drop("range")
+    return dealt.drop("key")
+
+
+def in_ranges(entries: DataFrame, bounds: list[str]) -> DataFrame:
+    """Rows dealt to the ranges between the bounds, a partition each; ``range`` is used if it is there."""
+    dealt = entries if "range" in entries.columns else ranged(entries, bounds)
+    return dealt.repartitionById(len(bounds) + 1, "range").drop("range")

@@ -47,14 +47,28 @@ def tasks_for(df: DataFrame, measure: Column | str, per_task: int) -> int:
     task gets less, until there is one for each core.
     """
     total = df.agg(F.coalesce(F.sum(measure), F.lit(0)).alias("total")).first()["total"]
+    return _tasks_of(df, total, per_task)
+
+
+def _tasks_of(df: DataFrame, total: int, per_task: int) -> int:
     least = min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total * _LEAST_SHARE / per_task))
     return max(1, least, math.ceil(total / per_task))
 
 
+def _text_size(text: str) -> Column:
+    return F.octet_length(F.col(text)).cast("bigint") + ROW_OVERHEAD
+
+
 def text_parts(documents: DataFrame, text: str = "text") -> int:
     """Parts of about ``COUNTED_BYTES`` that the texts of a table make."""
-    size = F.octet_length(F.col(text)).cast("bigint") + ROW_OVERHEAD
-    return tasks_for(documents, size, COUNTED_BYTES)
+    return tasks_for(documents, _text_size(text), COUNTED_BYTES)
+
+
+def text_parts_and(documents: DataFrame, special: Column, text: str = "text") -> tuple[int, bool]:
+    """The same parts, and whether any row is special, from one job."""
+    total = F.coalesce(F.sum(_text_size(text)), F.lit(0)).alias("total")
+    told = documents.agg(total, F.coalesce(F.bool_or(special), F.lit(False)).alias("special")).first()
+    return _tasks_of(documents, told["total"], COUNTED_BYTES), told["special"]
 
 
 def dealt_texts(corpus: DataFrame, documents: DataFrame, text: str = "text", path: str = "path") -> DataFrame:

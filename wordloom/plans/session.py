@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordloom.functions.text import query_argument, query_words
 from wordloom.operators import search as ops
 from wordloom.operators.blocks import search_best, write_blocks
+from wordloom.operators.counted import counted_apart, counted_ledger
 from wordloom.operators.postings import ledger, posting_rows, postings_of_word
 from wordloom.operators.ranges import SAMPLED_PIECE, sampled_bounds
-from wordloom.operators.sizing import text_parts
+from wordloom.operators.sizing import text_parts_and
 from wordloom.operators.statistics import PRINT_COLUMNS, equivalence, ledger_summary, rendered_stats
 from wordloom.operators.store import (
     stored_files,
@@ -111,13 +113,14 @@ class IndexSession:
         if partitions is not None:
             documents = documents.repartition(partitions)
         corpus = corpus_from_table(documents, path, text, max_bytes, piece_bytes=PIECE_BYTES)
-        bounds = []
-        parts = text_parts(documents, text)
-        if parts > self._spark.sparkContext.defaultParallelism:
-            pieces = corpus_from_table(documents, path, text, max_bytes, piece_bytes=SAMPLED_PIECE)
-            bounds = sampled_bounds(pieces, parts)
-            corpus = corpus.repartition(parts, "path")
-        return self.index_corpus(corpus, log, run_id, bounds)
+        special = counted_apart(path, F.octet_length(F.col(text)))
+        parts, apart = text_parts_and(documents, special, text)
+        if parts <= self._spark.sparkContext.defaultParallelism:
+            return self.index_corpus(corpus, log, run_id)
+        pieces = corpus_from_table(documents, path, text, max_bytes, piece_bytes=SAMPLED_PIECE)
+        bounds = sampled_bounds(pieces, parts)
+        entries = counted_ledger(corpus.repartition(parts, "path"), bounds, apart)
+        return self._build(entries, log, run_id, bounds)
 
     def index_corpus(
         self,
@@ -126,9 +129,12 @@ class IndexSession:
         run_id: str | None = None,
         bounds: Sequence[str] = (),
     ) -> DataFrame:
+        return self._build(ledger(corpus), log, run_id, bounds)
+
+    def _build(self, entries: DataFrame, log: bool, run_id: str | None, bounds: Sequence[str]) -> DataFrame:
         location = new_location(self._spark, "index", self._workspace)
         try:
-            write_index(ledger(corpus), location, bounds)
+            write_index(entries, location, bounds)
             withdraw(self._spark, location)
             stored = stored_ledger(self._spark, location)
             counts = ledger_summary(stored).first()
