@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -57,6 +58,36 @@ def test_words_joined_for_the_tokenizer(reference):
     assert got == [reference(text) for text in texts]
 
 
+def test_lines_and_marks_between_words_add_nothing_to_what_is_kept(reference):
+    """Words that meet over marks and line ends are met once each, not once a pair."""
+    words = [chr(97 + one) * 3 + "\u00e9" for one in range(26)]
+    texts = ["".join(f" {left}.\n{right}" for left in words for right in words)]
+    encoder = Encoder(VOCABULARY)
+    got = [np.frombuffer(one, encoder.dtype).tolist() for one in encoder.encode(texts)]
+    assert got == [reference(text) for text in texts]
+    assert len(encoder._words) == 2 * 26 + 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_texts_of_all_kinds_of_characters(reference, seed):
+    """Cuts beside white space, apostrophes and signs, in windows of any size and at the ends of texts."""
+    rng = random.Random(seed)
+    kinds = list(" '  \n\n\t\r'streved.,!1290abZ") + ["'ll", "'s", "'re", " '", "\u00e9", "\u00d7", "\u00f7", "\u0240", "\u00df", "\u023f"]
+    kinds += list("\u00a0\u0085\u00aa\u00b2\u00bf\u2003\u2028\u3000\u1680\u180e\u200b\ufeff\u0301\u044f\u6f22\U0001f600\x1c\x1f\x0b\x0c\x00\x7f\u2014\u2019\u0661\u1ea5")
+    for _ in range(150):
+        some = rng.sample(kinds, rng.randint(2, len(kinds)))
+        texts = ["".join(rng.choices(some, k=rng.randint(0, 40))) for _ in range(20)] + ["", None]
+        encoder = Encoder(VOCABULARY, 600) if not _ % 50 else encoder
+        encoder._window = rng.choice([1, 7, 40, 1 << 18])
+        got = [np.frombuffer(one, encoder.dtype).tolist() for one in encoder.encode(texts)]
+        assert got == [reference(text) for text in texts]
+
+
+def test_no_text_and_empty_texts():
+    encoder = Encoder(VOCABULARY)
+    assert encoder.encode([]) == [] and encoder.encode([None, ""]) == [b"", b""]
+
+
 def test_other_kinds_of_vocabulary_are_encoded_whole():
     from tokenizers import Tokenizer
 
