@@ -436,3 +436,46 @@ def test_a_batch_shuffles_a_posting_once(spark):
         plan.executeCollect()
         most[number] = max(shuffle_rows(plan))
     assert most[5] == most[50] == 600
+
+
+def test_pieces_of_files_are_counted_where_they_are(spark, tmp_path):
+    """What is stored of each row adds up to the ledger, whatever the rows of a path are."""
+    rows = [
+        ("a.txt", 9, "eligible", None, "One two, one", 0),
+        ("b.txt", 30, "eligible", None, "\u00e9 three one ", 0),
+        ("b.txt", 30, "eligible", None, "three x" * 400_000, 1),
+        ("late.txt", 8, "eligible", None, "some words", 0),
+        ("late.txt", 8, "eligible", "OSError: gone", None, 1),
+        ("twice.txt", 1, "eligible", None, "q", 0),
+        ("twice.txt", 1, "eligible", None, "q r", 0),
+        ("gone.txt", None, "inaccessible", "OSError: no", None, 0),
+        ("c.bin", 4, "skipped", None, None, 0),
+        ("empty.md", 0, "eligible", None, "", 0),
+        (None, 2, "eligible", None, "ab", 0),
+        (None, 2, "eligible", None, "ab", 0),
+    ]
+    schema = "path string, size_bytes bigint, status string, error string, text string, piece int"
+    for at, some in enumerate((rows, rows[:1] + rows[8:11], [])):
+        corpus = spark.createDataFrame(some, schema).repartition(3, "text")
+        counted.count_pieces(corpus, f"{tmp_path}/{at}")
+        wanted, found = ledger(corpus), counted.ledger_of_pieces(spark, f"{tmp_path}/{at}")
+        assert found.columns == wanted.columns and found.dtypes == wanted.dtypes
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_ranges_of_files_are_cut_from_stored_rows(spark, tmp_path, monkeypatch):
+    """Spark computes rows once more to find where to cut them, so these must not be counted there."""
+    for number in range(3):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / f"in/f{number}.txt").write_text("some words " * number)
+    plans, write = [], session_module.write_index
+
+    def seen(entries, *more):
+        plans.append(entries._jdf.queryExecution().optimizedPlan().toString())
+        return write(entries, *more)
+
+    monkeypatch.setattr(session_module, "write_index", seen)
+    session = IndexSession(spark, str(tmp_path / "work"))
+    assert tuple(session.index_store(str(tmp_path / "in")).first()) == (3, 3, 0, 0, 2, 6)
+    assert "parquet" in plans[0] and not any(part in plans[0] for part in ("Aggregate", "MapInArrow", "Generate"))
+    assert not list((tmp_path / "work").glob("*counted*"))

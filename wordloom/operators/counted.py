@@ -1,4 +1,4 @@
-"""The ledger of whole texts, counted text by text where they are.
+"""The ledger of whole texts and of pieces of files, counted text by text where they are.
 
 Exploded, every token is a row that passes two hash tables before it is a part of
 a posting. A text that is in one piece has all its postings in itself, so a task
@@ -8,6 +8,7 @@ ranges are then sorted from runs that are in order already.
 
 from __future__ import annotations
 
+import io
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -16,12 +17,15 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.operators.classify import INDEXED, outcome_of
 from wordloom.operators.postings import ledger
 from wordloom.operators.ranges import ranged
+from wordloom.operators.sizing import fits_broadcast
+from wordloom.schemas import LEDGER
+from wordloom.sources.pieces import pieces
 
 #: Largest text that is counted as a whole. Longer ones are cut into pieces.
 WHOLE_BYTES = 1024 * 1024
@@ -64,19 +68,19 @@ def _ranks(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def _file_rows(files: list[tuple], bounds: Sequence[bytes]) -> pa.RecordBatch:
-    files = sorted(files, key=lambda row: row[0])
-    paths, sizes, counts, outcomes, errors = zip(*files)
+    files = sorted(files, key=lambda row: (row[0] is not None, row[0]))
+    paths, sizes, counts, outcomes, errors, firsts = zip(*files)
     n = len(files)
     return pa.RecordBatch.from_arrays(
         [
             pa.nulls(n, pa.string()),
             pa.array(paths, pa.binary()).cast(pa.string()),
-            pa.array([1] * n, pa.int64()),
+            pa.array(firsts, pa.int64()),
             pa.array(sizes, pa.int64()),
             pa.array(counts, pa.int64()),
             pa.array(outcomes, pa.string()),
             pa.array(errors, pa.string()),
-            pa.array([bisect_right(bounds, b"\0" + path) for path in paths], pa.int32()),
+            pa.array([bisect_right(bounds, b"\0" + (path or b"")) for path in paths], pa.int32()),
         ],
         schema=_RANGED,
     )
@@ -116,6 +120,15 @@ def _posting_rows(
         )
 
 
+def _words_of(text: bytes) -> Counter:
+    if len(text) <= WHOLE_BYTES:
+        return Counter(_TOKEN.findall(text.lower()))
+    counted = Counter()
+    for part in pieces(io.BytesIO(text), WHOLE_BYTES):
+        counted.update(_TOKEN.findall(part.lower()))
+    return counted
+
+
 def _counter(bounds: Sequence[str]):
     held_bounds = [bound.encode() for bound in bounds]
 
@@ -133,11 +146,10 @@ def _counter(bounds: Sequence[str]):
                 held.clear()
 
         for batch in batches:
-            for path, size, outcome, error, text in zip(*batch.columns):
+            for path, size, outcome, error, first, text in zip(*batch.columns):
                 text = text.as_py()
-                tokens = _TOKEN.findall(text.lower()) if text else []
-                counted = Counter(tokens)
-                files.append((path.as_py(), size.as_py(), len(tokens), outcome.as_py(), error.as_py()))
+                counted = _words_of(text or b"")
+                files.append((path.as_py(), size.as_py(), counted.total(), outcome.as_py(), error.as_py(), int(first.as_py())))
                 words.extend(counted)
                 counts.extend(counted.values())
                 sizes.append(len(counted))
@@ -149,22 +161,54 @@ def _counter(bounds: Sequence[str]):
     return run
 
 
-def counted_ledger(corpus: DataFrame, bounds: Sequence[str], apart: bool) -> DataFrame:
-    """The rows of ``ledger`` with the number of the range that each is in.
-
-    ``corpus`` has a text of at most ``WHOLE_BYTES`` as one row. With ``apart`` there
-    may be rows that ``counted_apart`` tells; they are exploded, as in any corpus.
-    """
+def _counted(corpus: DataFrame, bounds: Sequence[str]) -> DataFrame:
     outcome = outcome_of()
-    alone = counted_apart("path", F.col("size_bytes"))
-    whole = corpus.where(~alone).select(
+    rows = corpus.select(
         F.col("path").cast("binary").alias("path"),
         "size_bytes",
         outcome.alias("outcome"),
         "error",
+        F.coalesce(F.col("piece") == 0, F.lit(False)).alias("first"),
         F.when(outcome == INDEXED, F.col("text").cast("binary")).alias("text"),
     )
-    rows = whole.mapInArrow(_counter(bounds), _DDL)
+    return rows.mapInArrow(_counter(bounds), _DDL)
+
+
+def counted_ledger(corpus: DataFrame, bounds: Sequence[str], apart: bool) -> DataFrame:
+    """The rows of ``ledger`` with the number of the range that each is in.
+
+    ``corpus`` has a text of at most ``WHOLE_BYTES`` as one row. With ``apart`` there
+    may be rows that ``counted_apart`` tells; they are exploded, as in any corpus.
+    """
+    alone = counted_apart("path", F.col("size_bytes"))
+    rows = _counted(corpus.where(~alone), bounds)
     if not apart:
         return rows
     return rows.unionByName(ranged(ledger(corpus.where(alone)), list(bounds)))
+
+
+def count_pieces(corpus: DataFrame, location: str) -> None:
+    """Store what the rows of a corpus hold, each counted for itself where it is."""
+    _counted(corpus, ()).drop("range").write.mode("errorifexists").parquet(location)
+
+
+def ledger_of_pieces(spark: SparkSession, location: str) -> DataFrame:
+    """The rows of ``ledger`` from what ``count_pieces`` stored.
+
+    A file of one row is in the ledger as it was counted. Rows of other files, and of
+    paths that occur more than once, are added up; if there are none, nothing is joined.
+    """
+    stored = spark.read.schema(LEDGER).parquet(location)
+    several = stored.where(F.col("word").isNull()).groupBy("path").count().where(F.col("count") > 1)
+    several = several.select(F.col("path").alias("of"))
+    if several.isEmpty():
+        return stored
+    several = F.broadcast(several) if fits_broadcast(several) else several
+    same = F.col("path").eqNullSafe(F.col("of"))
+    file_columns = ["size_bytes", "outcome", "error"]
+    added = (
+        stored.join(several, same, "left_semi")
+        .groupBy("word", "path", *file_columns)
+        .agg(F.sum("frequency").alias("frequency"), F.sum("token_count").alias("token_count"))
+    )
+    return stored.join(several, same, "left_anti").unionByName(added)

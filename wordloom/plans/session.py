@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.text import query_argument, query_words
 from wordloom.operators import search as ops
 from wordloom.operators.blocks import search_best, write_blocks
-from wordloom.operators.counted import counted_apart, counted_ledger
+from wordloom.operators.counted import count_pieces, counted_apart, counted_ledger, ledger_of_pieces
 from wordloom.operators.postings import ledger, posting_rows, postings_of_word
 from wordloom.operators.ranges import SAMPLED_PIECE, sampled_bounds
 from wordloom.operators.sizing import text_parts_and
@@ -116,22 +116,25 @@ class IndexSession:
         special = counted_apart(path, F.octet_length(F.col(text)))
         parts, apart = text_parts_and(documents, special, text)
         if parts <= self._spark.sparkContext.defaultParallelism:
-            return self.index_corpus(corpus, log, run_id)
+            return self._build(ledger(corpus), log, run_id)
         pieces = corpus_from_table(documents, path, text, max_bytes, piece_bytes=SAMPLED_PIECE)
         bounds = sampled_bounds(pieces, parts)
         entries = counted_ledger(corpus.repartition(parts, "path"), bounds, apart)
         return self._build(entries, log, run_id, bounds)
 
-    def index_corpus(
-        self,
-        corpus: DataFrame,
-        log: bool = True,
-        run_id: str | None = None,
-        bounds: Sequence[str] = (),
-    ) -> DataFrame:
-        return self._build(ledger(corpus), log, run_id, bounds)
+    def index_corpus(self, corpus: DataFrame, log: bool = True, run_id: str | None = None) -> DataFrame:
+        """Index a corpus, each row of which is read and counted once.
+
+        What is counted is stored first, so that ranges are cut from stored rows.
+        """
+        counted = new_location(self._spark, "counted", self._workspace)
+        try:
+            count_pieces(corpus, counted)
+            return self._build(ledger_of_pieces(self._spark, counted), log, run_id)
+        finally:
+            discard(self._spark, counted)
 
-    def _build(self, entries: DataFrame, log: bool, run_id: str | None, bounds: Sequence[str]) -> DataFrame:
+    def _build(self, entries: DataFrame, log: bool, run_id: str | None, bounds: Sequence[str] = ()) -> DataFrame:
         location = new_location(self._spark, "index", self._workspace)
         try:
             write_index(entries, location, bounds)
