@@ -8,6 +8,7 @@ from plans import shuffle_rows
 from wordloom.functions.text import query_words
 from wordloom.operators import search
 from wordloom.operators.postings import postings
+from wordloom.plans import catalog
 from wordloom.sources.tables import corpus_from_table
 
 
@@ -98,6 +99,69 @@ def test_top_beyond_the_window_limit(spark, monkeypatch):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
+def test_the_batch_query_reports_every_match(spark, tmp_path):
+    """More files than the 100 of each query that it once ended with."""
+    texts = {n: " ".join(["the", "cat"] * (n % 9) + ["dog"] * (n % 2)) for n in range(260)}
+    documents = [(n, text, f"src{n % 2}") for n, text in texts.items()]
+    queries = [(1, "The cat"), (2, "dog?"), (3, "zzz"), (4, "the dog")]
+    spark.createDataFrame(documents, "doc_id bigint, text string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    spark.createDataFrame(queries, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    paths = {row["doc_id"]: row["path"] for row in catalog.read_paths(spark, tmp_path).collect()}
+    counts = brute_force({paths[n]: text for n, text in texts.items()})
+    found = rows(catalog.search_batch(spark, str(tmp_path)))
+    expected = {
+        (q, *r, n + 1) for q, body in queries for n, r in enumerate(expected_results(counts, body))
+    }
+    assert set(found) == expected
+    assert len(found) == len(expected) > 3 * 100
+
+
+def many_matches(spark):
+    """Queries with 2,000, 900, 90 and 10 matches, of few scores; one has no name and one path is missing."""
+    sizes = {1: 2000, None: 900, 3: 90, 4: 10}
+    made = [
+        (q, None if n == 5 else f"f{n * 7919 % size:05d}", 1 + (n * n) % 4 * (n % 3 == 0), q == 1)
+        for q, size in sizes.items()
+        for n in range(size)
+    ]
+    return spark.createDataFrame(made, "query_id int, path string, score bigint, first boolean")
+
+
+@pytest.mark.parametrize("max_broadcast_bytes", [search.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("ranked_rows", [search.RANKED_ROWS, 100, 20])
+def test_all_ranks_are_exact_however_matches_are_cut(spark, monkeypatch, ranked_rows, max_broadcast_bytes):
+    monkeypatch.setattr(search, "RANKED_ROWS", ranked_rows)
+    monkeypatch.setattr(search, "SAMPLED_ROWS", 10)
+    results = many_matches(spark)
+    by_query = {}
+    for row in rows(results):
+        by_query.setdefault(row[0], []).append(row)
+    expected = [
+        (*row, n + 1)
+        for found in by_query.values()
+        for n, row in enumerate(sorted(found, key=lambda r: (-r[2], r[1] or "")))
+    ]
+    ranked = search.ranked_per_query(results, max_broadcast_bytes)
+    assert ranked.columns == [*results.columns, "rank"]
+    assert sorted(rows(ranked), key=str) == sorted(expected, key=str)
+    assert rows(search.ranked_per_query(results.where("false"), max_broadcast_bytes)) == []
+
+
+def test_matches_of_a_query_are_cut_into_pieces(spark, monkeypatch):
+    """No piece has to hold all matches of a query, also where nearly all score the same."""
+    monkeypatch.setattr(search, "RANKED_ROWS", 100)
+    monkeypatch.setattr(search, "SAMPLED_ROWS", 10)
+    results = many_matches(spark)
+    bounds = search._piece_bounds(results)
+    most = max(len(row["bounds"]) for row in bounds.collect())
+    pieces = search._in_pieces(results, bounds, most).groupBy("query_id", "piece").count()
+    sizes = {(q, piece): n for q, piece, n in rows(pieces)}
+    assert len([q for q, _ in sizes if q == 1]) > 10
+    assert max(sizes.values()) < 400
+
+
 def test_query_terms(spark):
     queries = spark.createDataFrame([(1, "the THE cat"), (2, "?"), (3, "Cat")], "q int, body string")
     found = rows(search.query_terms(queries, "q", "body"))

@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from wordloom.functions.text import distinct_terms, query_words, tokenize
 from wordloom.operators.classify import readable
 from wordloom.operators.sizing import BROADCAST_BYTES, GROUPED_ROWS, fits_broadcast, tasks_for
+from wordloom.sources.workspace import new_location
 
 #: Pieces a posting list is cut into when query terms are joined by shuffle, and
 #: the matches of a query before they are ranked. Adaptive execution splits a
 #: piece further if it is still far above the others.
 SALTS = 64
 
+#: Matches of a query that are ranked together, and how many of them are sampled to
+#: tell where they are cut, about.
+RANKED_ROWS, SAMPLED_ROWS = 50_000, 64
+
 
 def _add_up(matches: DataFrame, *keys: str) -> DataFrame:
     return matches.groupBy(*keys).agg(
@@ -147,14 +152,18 @@ def regrouped(index: DataFrame, terms: DataFrame, max_broadcast_bytes: int = BRO
 
 
 def search_batch(
-    index: DataFrame, terms: DataFrame, limit: int, max_broadcast_bytes: int = BROADCAST_BYTES
+    index: DataFrame,
+    terms: DataFrame,
+    limit: int | None = None,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Search with a whole table of queries at once: the ``limit`` best files of each.
+    """Search with a whole table of queries at once. All files of each unless a limit is asked for.
 
     ``terms`` comes from ``query_terms``. Returns (query_id, path, score,
     total_matches, matched_terms, rank).
     """
-    return top_per_query(all_matches(index, terms, max_broadcast_bytes), limit)
+    found = all_matches(index, terms, max_broadcast_bytes)
+    return ranked_per_query(found, max_broadcast_bytes) if limit is None else top_per_query(found, limit)
 
 
 def all_matches(
@@ -187,6 +196,84 @@ def top_per_query(results: DataFrame, k: int) -> DataFrame:
     )
 
 
+def ranked_per_query(
+    results: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, workspace: str | None = None
+) -> DataFrame:
+    """All files of each query, with their rank.
+
+    The matches of a query are cut, best first, into pieces of about ``RANKED_ROWS``
+    that are sorted apart, and the sizes of the pieces tell which rank each begins
+    with. A sample tells where to cut, so it moves the cuts and no rank. The matches
+    are stored first, so that they are computed once.
+    """
+    spark = results.sparkSession
+    location = new_location(spark, "ranks", workspace)
+    results.write.parquet(f"{location}/matches")
+    stored = spark.read.schema(results.schema).parquet(f"{location}/matches")
+    sampled = _piece_bounds(stored)
+    sampled.write.parquet(f"{location}/bounds")
+    bounds = spark.read.schema(sampled.schema).parquet(f"{location}/bounds")
+    tasks = tasks_for(stored, F.lit(1), GROUPED_ROWS)
+    most = bounds.agg(F.max(F.size("bounds"))).first()[0]
+    if most is None:
+        # No query has enough matches to be cut.
+        return _in_order(stored, tasks, "query_id")
+    # A row per cut, and a piece begins at each.
+    cuts = bounds.select("of", F.explode("bounds.path").alias("path"), F.lit(0).alias("below"))
+    sent = F.broadcast if fits_broadcast(cuts, max_broadcast_bytes) else lambda df: df
+    cut = _in_pieces(stored, sent(bounds), most)
+    before = F.sum("rows").over(Window.partitionBy("query_id").orderBy("piece")) - F.col("rows")
+    starts = (
+        cut.groupBy("query_id", "piece")
+        .agg(F.count("*").alias("rows"))
+        .select(F.col("query_id").alias("of"), F.col("piece").alias("begun"), before.alias("before"))
+        .where(F.col("begun") > 0)
+    )
+    same = F.col("query_id").eqNullSafe(F.col("of")) & (F.col("piece") == F.col("begun"))
+    rank = F.col("rank") + F.coalesce("before", F.lit(0).cast("bigint"))
+    placed = _in_order(cut, tasks, "query_id", "piece").join(sent(starts), same, "left")
+    return placed.select(*results.columns, rank.alias("rank"))
+
+
+def _in_order(matches: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """Matches with their rank among those of the same keys."""
+    place = Window.partitionBy(*keys).orderBy(F.desc("score"), F.asc("path"))
+    return matches.repartition(tasks, *keys).withColumn("rank", F.row_number().over(place).cast("bigint"))
+
+
+def _piece_bounds(results: DataFrame) -> DataFrame:
+    """Where to cut the matches of queries that have many: (of, bounds), of being the query.
+
+    Which matches are sampled follows from query and path.
+    """
+    drawn = F.pmod(F.xxhash64("query_id", "path"), F.lit(max(1, RANKED_ROWS // SAMPLED_ROWS)))
+    key = F.struct((-F.col("score")).alias("below"), F.coalesce("path", F.lit("")).alias("path"))
+    told = (
+        results.where(drawn == 0)
+        .groupBy(F.col("query_id").alias("of"))
+        .agg(F.sort_array(F.collect_list(key)).alias("told"))
+    )
+    cuts = F.filter("told", lambda _, at: at % SAMPLED_ROWS == SAMPLED_ROWS - 1)
+    return told.select("of", cuts.alias("bounds")).where(F.size("bounds") > 0)
+
+
+def _in_pieces(results: DataFrame, bounds: DataFrame, most: int) -> DataFrame:
+    """Rows with the number of their piece, which is how many bounds of the query do not come after a row.
+
+    It is found by halving, a step per projection. ``most`` is the greatest number of bounds.
+    """
+    below, path, at = -F.col("score"), F.coalesce("path", F.lit("")), F.col("piece")
+    cut = results.join(bounds, F.col("query_id").eqNullSafe(F.col("of")), "left")
+    cut = cut.withColumn("piece", F.lit(0))
+    step = 1 << (most.bit_length() - 1)
+    while step:
+        bound = F.get("bounds", at + (step - 1))
+        same = (bound["below"] == below) & (bound["path"] <= path)
+        cut = cut.withColumn("piece", F.when((bound["below"] < below) | same, at + step).otherwise(at))
+        step //= 2
+    return cut.drop("of", "bounds")
+
+
 # Fixed value: the form of a result line.
 RESULT_LINE = "%s | score=%d | matched_terms=%d"
 

@@ -30,9 +30,6 @@ from wordloom.sources.workspace import new_location
 #: Size rule of scan_size_cap and its like, low enough to leave out files of this data.
 CAP = 7000
 
-#: Files per query that batch searches report.
-BATCH_LIMIT = 100
-
 #: A query with a repeated term, upper case and a frequent word.
 QUERY = "the DER the pag"
 SINGLE = "the"
@@ -433,7 +430,7 @@ def search_scan_top20(spark, directory):
     return search.search_text(files(spark, directory), QUERY, limit=20)
 
 
-def _batch(spark, directory, limit):
+def _batch(spark, directory, limit=None):
     """Every text of ``benchmark`` as a query, over all documents."""
     terms = benchmark_terms(spark, directory)
     found = postings.postings_of(corpus(spark, directory), terms)
@@ -441,7 +438,7 @@ def _batch(spark, directory, limit):
 
 
 def search_batch(spark, directory):
-    return _batch(spark, directory, BATCH_LIMIT)
+    return _batch(spark, directory)
 
 
 def search_batch_top10(spark, directory):
