@@ -179,12 +179,17 @@ def counted_ledger(corpus: DataFrame, bounds: Sequence[str], apart: bool) -> Dat
 
     ``corpus`` has a text of at most ``WHOLE_BYTES`` as one row. With ``apart`` there
     may be rows that ``counted_apart`` tells; they are exploded, as in any corpus.
+    The rows are then told apart after they were dealt, so that both kinds come from
+    one reading of the texts and an executor never holds a long text twice.
     """
     alone = counted_apart("path", F.col("size_bytes"))
-    rows = _counted(corpus.where(~alone), bounds)
     if not apart:
-        return rows
-    return rows.unionByName(ranged(ledger(corpus.where(alone)), list(bounds)))
+        return _counted(corpus.where(~alone), bounds)
+    # A filter on a column that is not deterministic stays above the shuffle.
+    dealt = corpus.withColumn("dealt", F.spark_partition_id())
+    here = F.col("dealt") >= 0
+    rows = _counted(dealt.where(~alone & here), bounds)
+    return rows.unionByName(ranged(ledger(dealt.where(alone & here)), list(bounds)))
 
 
 def count_pieces(corpus: DataFrame, location: str) -> None:
